@@ -1,0 +1 @@
+"""Intentionally empty: every model here is a batch table; there is no stream to process."""
