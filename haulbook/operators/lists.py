@@ -15,6 +15,11 @@ def _set_text(values: Column) -> Column:
     return list_text(F.array_sort(F.collect_set(values)))
 
 
+def _tagged(values: Column, number: int) -> Column:
+    """Each element with the number of the list it belongs to."""
+    return F.transform(values, lambda v: F.struct(F.lit(number).alias("list"), v.alias("element")))
+
+
 def listagg_distinct(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Sorted ``;`` list of the distinct values per key.
 
@@ -33,10 +38,7 @@ def array_list_columns(df: DataFrame, key: str, arrays: dict[str, str]) -> DataF
     inside each task before anything is shuffled.
     """
     complete = df.filter(reduce(Column.__and__, [F.size(F.col(a)) > 0 for a in arrays]))
-    tagged = [
-        F.transform(F.col(a), lambda v, i=i: F.struct(F.lit(i).alias("list"), v.alias("element")))
-        for i, a in enumerate(arrays)
-    ]
+    tagged = [_tagged(F.col(a), i) for i, a in enumerate(arrays)]
     return (
         complete.select(key, F.explode(F.concat(*tagged)).alias("item"))
         .groupBy(key)

@@ -82,14 +82,17 @@ def account_domains(accounts: DataFrame) -> DataFrame:
 def with_parent(profiles: DataFrame, accounts: DataFrame) -> DataFrame:
     """Add ``parent_external_id`` to account profiles."""
     parents = live_parents(accounts).withColumnRenamed("id", "account_id")
-    return lookup_join(profiles, parents, ["account_id"], ["account_external_id"], counted=profiles)
+    return lookup_join(profiles, parents, ["account_id"], ["account_external_id"])
 
 
-def with_location_and_risk(profiles: DataFrame, serviceability: DataFrame, churn_risk: DataFrame, counted: DataFrame):
-    """Add the serviceability of the zip code and the churn risk of the account."""
+def with_serviceability(profiles: DataFrame, serviceability: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Add scores and grades of the zip code; a zip listed twice repeats the row."""
     zips = serviceability.withColumnRenamed("zip_code", "location_zip_code")
-    located = lookup_join(profiles, zips, ["location_zip_code"], ["account_external_id"], counted=counted)
-    return lookup_join(located, churn_risk, ["account_external_id"], ["account_id"], counted=counted)
+    return lookup_join(profiles, zips, ["location_zip_code"], ["account_external_id"], counted=counted)
+
+
+def with_churn_risk(profiles: DataFrame, churn_risk: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    return lookup_join(profiles, churn_risk, ["account_external_id"], ["account_id"], counted=counted)
 
 
 def accounts_model(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -105,7 +108,8 @@ def accounts_model(tables: Mapping[str, DataFrame]) -> DataFrame:
         .withColumnRenamed("id", "account_id")
     )
     wide = lookup_join(profiles, lineage, ["account_id"], ["account_external_id"], counted=profiles)
-    wide = with_location_and_risk(wide, tables["serviceability"], tables["churn_risk"], profiles)
+    wide = with_serviceability(wide, tables["serviceability"], counted=profiles)
+    wide = with_churn_risk(wide, tables["churn_risk"], counted=profiles)
 
     kind, parent = F.col("account_type"), F.col("parent_external_id")
     finished = wide.withColumns(

@@ -304,5 +304,13 @@ def sample_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return first
 
 
-def sample_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {table: sample_table(spark, sf_dir, table) for table in SAMPLE}
+class SampleTables(dict):
+    """All sample tables by name, each opened when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, table: str) -> DataFrame:
+        self[table] = sample_table(self.spark, self.sf_dir, table)
+        return self[table]
