@@ -15,6 +15,7 @@ ROWS_PER_SLOT = 1_000_000  # a key above this many rows is split
 MAX_HOT_KEYS = 1024  # so a key left unsplit holds under 1/1024 of the rows; bounds the broadcast
 NULL_SLOTS = 4096
 FANOUT_SLOTS = 1024
+COPIES_PER_PIECE = 10_000  # identical rows travel as one row with a count up to this
 
 
 def hot_keys(
@@ -47,11 +48,12 @@ def lookup_join(
     """``left LEFT JOIN right USING (keys)`` with hot keys and null keys of ``left`` spread out.
 
     Hot left rows get a slot from a hash of ``spread`` (columns that differ between the rows of one
-    key) and the matching right rows are repeated once per slot; all other keys keep one slot.
+    key) and of the input partition, which also parts exact copies and is the same again when a task
+    is rerun. The matching right rows are repeated once per slot; all other keys keep one slot.
     ``counted`` is a cheaper table with the same keys to find the hot ones in.
     """
     hot = F.broadcast(hot_keys(counted if counted is not None else left, keys, rows_per_slot))
-    row_hash = F.xxhash64(*spread)
+    row_hash = F.xxhash64(*spread, F.spark_partition_id())
     null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     slot = (
         F.when(null_key, F.pmod(row_hash, F.lit(NULL_SLOTS)))
@@ -67,22 +69,38 @@ def lookup_join(
     return slotted_left.join(slotted_right, [*keys, "_slot"], "left").drop("_slot")
 
 
-def fanout_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+def fanout_join(
+    left: DataFrame, right: DataFrame, keys: list[str], copies_per_piece: int = COPIES_PER_PIECE
+) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` where one key may match very many right rows.
 
-    Right rows are dealt into slots by a hash of ``spread``. Each left row is first joined to the
-    slots its key occupies (never more than its matches), then to the rows in each slot, so the
-    matches of one key are produced by many tasks.
+    Equal right rows are counted instead of carried, in pieces of bounded size, and the pieces are
+    dealt into slots by a hash. Each left row is first joined to the slots its key occupies (never
+    more than its matches), then to the pieces in each slot, so the matches of one key are produced
+    by many tasks; last, the counted copies are written out.
     """
-    dealt = right.dropna(subset=keys).withColumn("_slot", F.pmod(F.xxhash64(*spread), F.lit(FANOUT_SLOTS)))
+    counted = right.dropna(subset=keys).groupBy(*right.columns).agg(F.count("*").alias("_copies"))
+    last_piece = F.ceil(F.col("_copies") / copies_per_piece).cast("int") - 1
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), last_piece)))
+    dealt = pieces.select(
+        *right.columns,
+        F.least(F.lit(copies_per_piece), F.col("_copies") - F.col("_piece") * copies_per_piece).cast("int").alias("_copies"),
+        F.pmod(F.xxhash64(*right.columns, "_piece"), F.lit(FANOUT_SLOTS)).alias("_slot"),
+    )
     occupied = dealt.select(*keys, "_slot").distinct()
-    return left.join(occupied, keys, "left").join(dealt, [*keys, "_slot"], "left").drop("_slot")
+    joined = left.join(occupied, keys, "left").join(dealt, [*keys, "_slot"], "left")
+    every_copy = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1))))
+    return joined.withColumn("_copy", every_copy).drop("_slot", "_copies", "_copy")
 
 
-def exists_flag(left: DataFrame, right: DataFrame, key: str, flag: str) -> DataFrame:
+def exists_flag(
+    left: DataFrame, right: DataFrame, key: str, flag: str, spread: list[str] | None = None
+) -> DataFrame:
     """Add ``flag``: whether ``key`` occurs in ``right``. Two-valued, also for a null key.
 
     The keys are de-duplicated first (before the shuffle as well), so the row count is unchanged.
+    Give ``spread`` if ``left`` may repeat a key very often.
     """
     found = right.select(key).dropna().distinct().withColumn(flag, F.lit(True))
-    return left.join(found, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    joined = lookup_join(left, found, [key], spread) if spread else left.join(found, key, "left")
+    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from haulbook.functions import account_record_type, account_title, domain_list
 from haulbook.operators.filters import live_rows
 from haulbook.operators.joins import lookup_join
-from haulbook.plans.layout import SUFFIX, Out, same, select_layout
+from haulbook.plans.layout import SUFFIX, Out, format_own, same, select_layout
 
 GRADED = [
     ("Box_Trucks", "box_truck"),
@@ -59,6 +59,7 @@ LAYOUT = [
     *same("losing_account_external_ids"),
     Out("domain_list", "domain_list"),
 ]
+KEPT = "account_id account_external_id account_type account_name company location_zip_code".split()
 
 
 def live_parents(accounts: DataFrame, rows_per_slot: int | None = None) -> DataFrame:
@@ -98,6 +99,7 @@ def with_churn_risk(profiles: DataFrame, churn_risk: DataFrame, counted: DataFra
 def accounts_model(tables: Mapping[str, DataFrame]) -> DataFrame:
     """52 columns per live account profile; repeated rows removed; ordered by ``pk``."""
     profiles, accounts = live_rows(tables["account_profiles"]), tables["accounts"]
+    own = format_own(profiles, LAYOUT, KEPT)
 
     # Parent and domains hang on the same id: join them to each other (narrow) and to the wide
     # profiles once.
@@ -107,15 +109,15 @@ def accounts_model(tables: Mapping[str, DataFrame]) -> DataFrame:
         .join(live_parents(accounts).distinct(), "id", "left")
         .withColumnRenamed("id", "account_id")
     )
-    wide = lookup_join(profiles, lineage, ["account_id"], ["account_external_id"], counted=profiles)
+    wide = lookup_join(own, lineage, ["account_id"], ["account_external_id"], counted=profiles)
     wide = with_serviceability(wide, tables["serviceability"], counted=profiles)
     wide = with_churn_risk(wide, tables["churn_risk"], counted=profiles)
 
-    kind, parent = F.col("account_type"), F.col("parent_external_id")
+    family = F.col("account_type"), F.col("parent_external_id")
     finished = wide.withColumns(
         {
-            "title": account_title(F.col("account_name"), F.col("company"), kind, parent),
-            "record_type": account_record_type(kind, parent),
+            "title": account_title(F.col("account_name"), F.col("company"), *family),
+            "record_type": account_record_type(*family),
         }
     )
     result = select_layout(finished, LAYOUT).distinct()

@@ -11,7 +11,7 @@ from haulbook.operators.activity import active_entities
 from haulbook.operators.filters import not_blank
 from haulbook.operators.joins import fanout_join, lookup_join
 from haulbook.operators.scorecard import scorecard
-from haulbook.plans.layout import Out, made, same, select_layout
+from haulbook.plans.layout import Out, format_own, made, same, select_layout
 
 SCORECARD = """scorecard_driver_count__c scorecard_completed_deliveries__c scorecard_completion_violations__c
     scorecard_completion_rate__c scorecard_accurate_deliveries__c scorecard_delivery_accuracy__c
@@ -53,6 +53,7 @@ LAYOUT = [
     ),
     *made(SCORECARD),
 ]
+KEPT = ["external_id", "email_address"]
 
 
 def named_carriers(carriers: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def with_owner(carriers: DataFrame, drivers: DataFrame) -> DataFrame:
     owners = drivers.filter(F.col("carrier_permissions") == "owner").select(
         "email_address", F.col("carrier_external_id").alias("external_id"), "driver_external_id"
     )
-    return fanout_join(carriers, owners, ["email_address", "external_id"], ["driver_external_id"])
+    return fanout_join(carriers, owners, ["email_address", "external_id"])
 
 
 def carriers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) -> DataFrame:
@@ -80,5 +81,6 @@ def carriers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30)
     metrics = scorecard(ids, "external_id", deliveries, violations, tables["etas"], as_of=as_of, days=days).join(
         active.select(F.col("carrier_external_id").alias("external_id")), "external_id", "left"
     )
-    scored = lookup_join(carriers, metrics, ["external_id"], ["email_address", "name"], counted=carriers)
+    own = format_own(carriers, LAYOUT, KEPT)
+    scored = lookup_join(own, metrics, ["external_id"], ["email_address"], counted=carriers)
     return select_layout(with_owner(scored, tables["drivers"]), LAYOUT)

@@ -14,7 +14,7 @@ from haulbook.operators.latest import latest_per_key
 from haulbook.operators.lists import array_list_columns
 from haulbook.operators.routes import active_route_drivers, route_drivers
 from haulbook.operators.scorecard import DRIVER, scorecard
-from haulbook.plans.layout import Out, made, same, select_layout
+from haulbook.plans.layout import Out, format_own, made, same, select_layout
 
 CERTIFIED_TAG = "ppe-certified"
 PPE_ACCESSORY = "%(PPE)%"
@@ -85,8 +85,9 @@ LAYOUT = [
     *same("has_app_installed has_profile_photo went_through_carrier_flow"),
     Out("contact_record_type", "contact_record_type"),
     *made(" ".join(LISTS.values())),
-    Out("PPE_certification", "ppe_certification"),
+    Out("PPE_certification", "certification"),
 ]
+KEPT = ["driver_external_id", "last_request_viewed", "driver_tags"]
 
 
 def admitted_drivers(drivers: DataFrame, exclusions: DataFrame) -> DataFrame:
@@ -102,12 +103,13 @@ def ppe_certification(tags: Column, has_ppe: Column) -> Column:
     )
 
 
-def with_ppe_certification(drivers: DataFrame, all_drivers: DataFrame) -> DataFrame:
-    """Certified by tag, else unverified if any row of the driver lists a PPE accessory."""
+def with_ppe_certification(
+    drivers: DataFrame, all_drivers: DataFrame, spread: list[str] | None = None
+) -> DataFrame:
+    """Add ``certification``: by tag, else unverified if any row of the driver lists a PPE accessory."""
     equipped = all_drivers.filter(matches_any(F.col("driver_accessory_names"), PPE_ACCESSORY))
-    flagged = exists_flag(drivers, equipped, "driver_external_id", "has_ppe")
-    verdict = ppe_certification(F.col("driver_tags"), F.col("has_ppe"))
-    return flagged.withColumn("ppe_certification", verdict).drop("has_ppe")
+    flagged = exists_flag(drivers, equipped, DRIVER, "has_ppe", spread)
+    return flagged.withColumn("certification", ppe_certification(F.col("driver_tags"), F.col("has_ppe")))
 
 
 def drivers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) -> DataFrame:
@@ -119,7 +121,7 @@ def drivers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) -
     """
     all_drivers, routes = tables["drivers"], tables["routes"]
     admitted = admitted_drivers(all_drivers, tables["email_exclusions"])
-    picked = latest_per_key(admitted, "driver_external_id", "last_request_viewed")
+    picked = latest_per_key(format_own(admitted, LAYOUT, KEPT), DRIVER, "last_request_viewed")
 
     active = active_route_drivers(routes, tables["route_templates"], tables["route_drivers"], as_of)
     wide = scorecard(

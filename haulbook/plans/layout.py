@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulbook.functions import email_normalize, iso_utc, list_text, phone_normalize, rounded, state_code
@@ -56,9 +56,22 @@ def made(columns: str) -> list[Out]:
     return [Out(c, c) for c in columns.split()]
 
 
-def select_layout(df: DataFrame, layout: list[Out]) -> DataFrame:
-    return df.select(*[FORMATS[out.format](F.col(out.source)).alias(out.alias) for out in layout])
+def _formatted(out: Out) -> Column:
+    return FORMATS[out.format](F.col(out.source)).alias(out.alias)
+
+
+def format_own(df: DataFrame, layout: list[Out], keep: list[str]) -> DataFrame:
+    """Format the output columns that come from ``df`` itself, and keep ``keep`` for later steps.
 
+    Done right after the scan: once per row, in a stage of its own, instead of after the joins,
+    where the sampling for a final sort would evaluate everything twice.
+    """
+    have = set(df.columns)
+    own = [out for out in layout if out.source in have and out.alias not in keep]
+    return df.select(*keep, *map(_formatted, own))
 
-def sources(layout: list[Out]) -> list[str]:
-    return list(dict.fromkeys(out.source for out in layout))
+
+def select_layout(df: DataFrame, layout: list[Out]) -> DataFrame:
+    """All output columns in order; those not formatted before are formatted now."""
+    have = set(df.columns)
+    return df.select(*[F.col(out.alias) if out.alias in have else _formatted(out) for out in layout])

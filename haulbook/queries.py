@@ -18,7 +18,7 @@ from haulbook.plans import accounts_model, carriers_model, drivers_model
 from haulbook.plans.accounts import account_domains, with_churn_risk, with_parent, with_serviceability
 from haulbook.plans.carriers import named_carriers, with_owner
 from haulbook.plans.drivers import LISTS, PPE_ACCESSORY, with_ppe_certification
-from haulbook.sources.sample import AS_OF, SampleTables, sample_table
+from haulbook.sources.sample import AS_OF, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,7 +31,8 @@ def on(*tables: str):
 
     def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(*[sample_table(spark, sf_dir, t) for t in tables])
+            sample = SampleTables(spark, sf_dir)
+            return build(*[sample[t] for t in tables])
 
         QUERIES[build.__name__.rstrip("_")] = run
         return build
@@ -113,7 +114,10 @@ def active_drivers_(deliveries, violations):
 @on("carriers", "deliveries", "violations")
 def active_entities_fanout(carriers, deliveries, violations):
     active = active_entities(deliveries, violations, as_of=AS_OF).withColumnRenamed(CARRIER, "external_id")
-    return carriers.join(active, "external_id", "left").groupBy("external_id").agg(F.count("*").alias("copies"))
+    rows = carriers.groupBy("external_id").agg(F.count("*").alias("rows"))
+    names = active.groupBy("external_id").agg(F.count("*").alias("names"))
+    copies = F.col("rows") * F.coalesce(F.col("names"), F.lit(1))
+    return rows.join(names, "external_id", "left").select("external_id", copies.alias("copies"))
 
 
 # --- column rules -------------------------------------------------------------------------------
@@ -222,7 +226,8 @@ def composite_key_join(carriers, drivers):
 
 @on("drivers", "routes", "route_drivers")
 def existence_flag(drivers, routes, drivers_on_routes):
-    return exists_flag(drivers.select(DRIVER), route_drivers(routes, drivers_on_routes), DRIVER, "is_route_driver")
+    drove = route_drivers(routes, drivers_on_routes)
+    return exists_flag(drivers.select(DRIVER), drove, DRIVER, "is_route_driver", spread=[DRIVER])
 
 
 # --- routes and latest rows ---------------------------------------------------------------------
@@ -264,7 +269,9 @@ def tag_rows_(drivers):
 
 @on("drivers")
 def ppe_certification(drivers):
-    return with_ppe_certification(drivers, drivers).select(DRIVER, "ppe_certification")
+    tagged = drivers.select(DRIVER, "driver_tags")
+    certified = with_ppe_certification(tagged, drivers, spread=["driver_tags"])
+    return certified.select(DRIVER, F.col("certification").alias("ppe_certification"))
 
 
 # --- models -------------------------------------------------------------------------------------

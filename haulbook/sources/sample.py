@@ -285,11 +285,14 @@ def branch_expressions(table: str, key: str, given: dict[str, str]) -> dict[str,
     return {**given, **rest}
 
 
-def sample_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def sample_table(spark: SparkSession, sf_dir: str, table: str, files: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One input table; ``files`` remembers the base files already opened."""
+    files = {} if files is None else files
     parts = []
     for base, where, key, given in SAMPLE[table]:
-        df = spark.read.parquet(f"{sf_dir}/{base}.parquet")
-        df = df.filter(where) if where else df
+        if base not in files:
+            files[base] = spark.read.parquet(f"{sf_dir}/{base}.parquet")
+        df = files[base].filter(where) if where else files[base]
         expressions = branch_expressions(table, key, given)
         df = df.selectExpr(*[f"{sql} as {name}" for name, sql in expressions.items()])
         arrays = {
@@ -297,7 +300,7 @@ def sample_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
             for csv, array in CSV_ARRAYS.items()
             if csv in expressions
         }
-        parts.append(df.selectExpr("*", *[f"{sql} as {name}" for name, sql in arrays.items()]))
+        parts.append(df.selectExpr("*", *[f"{sql} as {name}" for name, sql in arrays.items()]) if arrays else df)
     first, *others = parts
     for other in others:
         first = first.unionByName(other)
@@ -309,8 +312,8 @@ class SampleTables(dict):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.files = spark, sf_dir, {}
 
     def __missing__(self, table: str) -> DataFrame:
-        self[table] = sample_table(self.spark, self.sf_dir, table)
+        self[table] = sample_table(self.spark, self.sf_dir, table, self.files)
         return self[table]

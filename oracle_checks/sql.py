@@ -234,7 +234,6 @@ def unlisted(table: str) -> str:
 
 def oracle_queries() -> dict[str, str]:
     carrier, driver = "carrier_external_id", "driver_external_id"
-    card_columns = "* replace (carrier_external_id as carrier_external_id)"
     facts = "deliveries violations"
     flag = (
         "exists (select 1 from routes r join route_drivers using (driver_id) "
@@ -428,7 +427,7 @@ def oracle_queries() -> dict[str, str]:
             f"""joined as (
                 select drivers.*, ar.active as active_route_driver, ar.route_template_id, card.*, lists.*,
                     {flag} as is_route_driver, 'Driver' as contact_record_type,
-                    {verdict.replace('driver_external_id in', 'drivers.driver_external_id in')} as ppe_certification
+                    {verdict.replace('driver_external_id in', 'drivers.driver_external_id in')} as certification
                 from drivers left join active_routes ar using (driver_external_id)
                     left join lists using (driver_external_id) left join card using (driver_external_id)
                 where {named_drivers} and {unlisted('email_exclusions')}
