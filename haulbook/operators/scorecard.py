@@ -115,6 +115,20 @@ def completion_rate(done: Column, failed: Column) -> Column:
     return exact_percent(done, done + failed)
 
 
+# Counts are zero for an entity without rows; rates and on-time figures are null.
+COUNTS = "driver_count completed_deliveries completion_violations accurate_deliveries rated_deliveries".split()
+
+
+def scorecard_columns(entity: str) -> dict[str, bool]:
+    """Names of the scorecard columns in output order, and whether each is a count."""
+    names = "completed_deliveries completion_violations completion_rate accurate_deliveries delivery_accuracy"
+    names += " avg_customer_rating" if entity == CARRIER else " average_customer_rating"
+    names += " rated_deliveries eta_delivery_count pickup_ontime_percent dropoff_ontime_percent"
+    if entity == CARRIER:
+        names = "driver_count " + names
+    return {f"scorecard_{name}__c": name in COUNTS for name in names.split()}
+
+
 def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0).cast("bigint"))
 
@@ -142,24 +156,29 @@ def scorecard(
     ]
     joined = entities
     for part in parts:
-        joined = joined.join(part.withColumnRenamed(entity, key), key, "left")
+        metrics = [c for c in part.columns if c != entity]
+        joined = joined.join(part.select(F.col(entity).alias(key), *metrics), key, "left")
+
+    return joined.select(*entities.columns, *[c.alias(name) for name, c in _card(entity).items()])
 
+
+def _card(entity: str) -> dict[str, Column]:
+    """Scorecard columns over the joined aggregates."""
     done, failed = _or_zero("completed_deliveries"), _or_zero("completion_violation_count")
     accurate, rated = _or_zero("accurate_deliveries"), _or_zero("rated_deliveries")
     rating = F.when(rated > 0, rounded(F.col("avg_customer_rating"), 2))
-    rating_name = "avg_customer_rating" if entity == CARRIER else "average_customer_rating"
-    columns = {
-        "completed_deliveries": done,
-        "completion_violations": failed,
-        "completion_rate": completion_rate(done, failed),
-        "accurate_deliveries": accurate,
-        "delivery_accuracy": exact_percent(accurate, done),
-        rating_name: rating,
-        "rated_deliveries": rated,
-        "eta_delivery_count": F.col("eta_delivery_count"),
-        "pickup_ontime_percent": F.col("pickup_ontime_pct"),
-        "dropoff_ontime_percent": F.col("dropoff_ontime_pct"),
-    }
+    values = [
+        done,
+        failed,
+        completion_rate(done, failed),
+        accurate,
+        exact_percent(accurate, done),
+        rating,
+        rated,
+        F.col("eta_delivery_count"),
+        F.col("pickup_ontime_pct"),
+        F.col("dropoff_ontime_pct"),
+    ]
     if entity == CARRIER:
-        columns = {"driver_count": _or_zero("driver_count"), **columns}
-    return joined.select(*entities.columns, *[c.alias(f"scorecard_{name}__c") for name, c in columns.items()])
+        values = [_or_zero("driver_count"), *values]
+    return dict(zip(scorecard_columns(entity), values, strict=True))

@@ -62,33 +62,33 @@ LAYOUT = [
 KEPT = "account_id account_external_id account_type account_name company location_zip_code".split()
 
 
-def live_parents(accounts: DataFrame, rows_per_slot: int | None = None) -> DataFrame:
-    """(id, parent_external_id) of live accounts; the parent must be live as well, else null.
+def live_parents(accounts: DataFrame) -> DataFrame:
+    """(account_id, parent_external_id) of live accounts; the parent must be live too, else null.
 
     One parent may own a large share of all accounts, so its children are spread out.
     """
     live = live_rows(accounts)
-    children = live.select("id", "parent_account_id")
+    children = live.select(F.col("id").alias("account_id"), "parent_account_id")
     parents = live.select(F.col("id").alias("parent_account_id"), F.col("external_id").alias("parent_external_id"))
-    limit = {"rows_per_slot": rows_per_slot} if rows_per_slot else {}
-    joined = lookup_join(children, parents, ["parent_account_id"], ["id"], **limit)
-    return joined.select("id", "parent_external_id")
+    joined = lookup_join(children, parents, ["parent_account_id"], ["account_id"])
+    return joined.select("account_id", "parent_external_id")
 
 
 def account_domains(accounts: DataFrame) -> DataFrame:
     """Readable e-mail domains of every account, deleted or not."""
-    return accounts.select("id", domain_list(F.col("account_regex")).alias("domain_list"))
+    return accounts.select(F.col("id").alias("account_id"), domain_list(F.col("account_regex")).alias("domain_list"))
 
 
 def with_parent(profiles: DataFrame, accounts: DataFrame) -> DataFrame:
     """Add ``parent_external_id`` to account profiles."""
-    parents = live_parents(accounts).withColumnRenamed("id", "account_id")
+    parents = live_parents(accounts)
     return lookup_join(profiles, parents, ["account_id"], ["account_external_id"])
 
 
 def with_serviceability(profiles: DataFrame, serviceability: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Add scores and grades of the zip code; a zip listed twice repeats the row."""
-    zips = serviceability.withColumnRenamed("zip_code", "location_zip_code")
+    measures = [c for c in serviceability.columns if c != "zip_code"]
+    zips = serviceability.select(F.col("zip_code").alias("location_zip_code"), *measures)
     return lookup_join(profiles, zips, ["location_zip_code"], ["account_external_id"], counted=counted)
 
 
@@ -103,12 +103,7 @@ def accounts_model(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     # Parent and domains hang on the same id: join them to each other (narrow) and to the wide
     # profiles once.
-    lineage = (
-        account_domains(accounts)
-        .distinct()
-        .join(live_parents(accounts).distinct(), "id", "left")
-        .withColumnRenamed("id", "account_id")
-    )
+    lineage = account_domains(accounts).distinct().join(live_parents(accounts).distinct(), "account_id", "left")
     wide = lookup_join(own, lineage, ["account_id"], ["account_external_id"], counted=profiles)
     wide = with_serviceability(wide, tables["serviceability"], counted=profiles)
     wide = with_churn_risk(wide, tables["churn_risk"], counted=profiles)

@@ -10,13 +10,8 @@ from pyspark.sql import functions as F
 from haulbook.operators.activity import active_entities
 from haulbook.operators.filters import not_blank
 from haulbook.operators.joins import fanout_join, lookup_join
-from haulbook.operators.scorecard import scorecard
-from haulbook.plans.layout import Out, format_own, made, same, select_layout
-
-SCORECARD = """scorecard_driver_count__c scorecard_completed_deliveries__c scorecard_completion_violations__c
-    scorecard_completion_rate__c scorecard_accurate_deliveries__c scorecard_delivery_accuracy__c
-    scorecard_avg_customer_rating__c scorecard_rated_deliveries__c scorecard_eta_delivery_count__c
-    scorecard_pickup_ontime_percent__c scorecard_dropoff_ontime_percent__c"""
+from haulbook.operators.scorecard import CARRIER, scorecard, scorecard_columns
+from haulbook.plans.layout import Out, format_own, same, select_layout, with_counts
 
 LAYOUT = [
     Out("pk", "external_id"),
@@ -51,7 +46,7 @@ LAYOUT = [
         """has_insurance has_vehicles_without_photos is_fleets_approved is_vetted motor_cargo_coverage
         occupational_accident_coverage workers_compensation_coverage stripe_payouts_enabled"""
     ),
-    *made(SCORECARD),
+    *with_counts(scorecard_columns(CARRIER)),
 ]
 KEPT = ["external_id", "email_address"]
 
@@ -79,7 +74,7 @@ def carriers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30)
     ids = carriers.select("external_id").dropna().distinct()
     active = active_entities(deliveries, violations, as_of=as_of, days=days)
     metrics = scorecard(ids, "external_id", deliveries, violations, tables["etas"], as_of=as_of, days=days).join(
-        active.select(F.col("carrier_external_id").alias("external_id")), "external_id", "left"
+        active.select(F.col(CARRIER).alias("external_id")), "external_id", "left"
     )
     own = format_own(carriers, LAYOUT, KEPT)
     scored = lookup_join(own, metrics, ["external_id"], ["email_address"], counted=carriers)

@@ -13,8 +13,8 @@ from haulbook.operators.joins import exists_flag
 from haulbook.operators.latest import latest_per_key
 from haulbook.operators.lists import array_list_columns
 from haulbook.operators.routes import active_route_drivers, route_drivers
-from haulbook.operators.scorecard import DRIVER, scorecard
-from haulbook.plans.layout import Out, format_own, made, same, select_layout
+from haulbook.operators.scorecard import DRIVER, scorecard, scorecard_columns
+from haulbook.plans.layout import Out, format_own, made, same, select_layout, with_counts
 
 CERTIFIED_TAG = "ppe-certified"
 PPE_ACCESSORY = "%(PPE)%"
@@ -29,11 +29,6 @@ LISTS = {
     "preferred_delivery_methods": "Preferred_Delivery_Methods__c",
     "upscale_delivery_methods": "Upscale_Delivery_Methods__c",
 }
-SCORECARD = """scorecard_completed_deliveries__c scorecard_completion_violations__c scorecard_completion_rate__c
-    scorecard_accurate_deliveries__c scorecard_delivery_accuracy__c scorecard_average_customer_rating__c
-    scorecard_rated_deliveries__c scorecard_eta_delivery_count__c scorecard_pickup_ontime_percent__c
-    scorecard_dropoff_ontime_percent__c"""
-
 LAYOUT = [
     Out("pk", "driver_external_id"),
     Out("FirstName", "first_name", "cut40"),
@@ -44,7 +39,8 @@ LAYOUT = [
     *same("activity_level_status activity_level active_route_driver status has_active_violation"),
     *same("acquisition_source carrier_permissions"),
     Out("Is_Carrier__c", "carrier_id", "known"),
-    *same("driver_notification_preference driver_type is_dsp is_preferred_driver is_route_driver"),
+    *same("driver_notification_preference driver_type is_dsp is_preferred_driver"),
+    *same("is_route_driver", "or_false"),
     *same("checkr_invitation_status"),
     *same(
         """created_at carrier_approved_at carrier_created_at checkr_invitation_created_at
@@ -81,7 +77,7 @@ LAYOUT = [
     *same("scorecard_unassignments vehicle_cargo_capacity vehicle_max_payload"),
     Out("Vehicle_Max_tow__c", "vehicle_max_tow"),
     *same("vehicle_teoalida_id vehicle_year vehicle_class vehicle_make vehicle_model vehicle_trim"),
-    *made(SCORECARD),
+    *with_counts(scorecard_columns(DRIVER)),
     *same("has_app_installed has_profile_photo went_through_carrier_flow"),
     Out("contact_record_type", "contact_record_type"),
     *made(" ".join(LISTS.values())),
@@ -103,32 +99,40 @@ def ppe_certification(tags: Column, has_ppe: Column) -> Column:
     )
 
 
-def with_ppe_certification(
-    drivers: DataFrame, all_drivers: DataFrame, spread: list[str] | None = None
-) -> DataFrame:
-    """Add ``certification``: by tag, else unverified if any row of the driver lists a PPE accessory."""
-    equipped = all_drivers.filter(matches_any(F.col("driver_accessory_names"), PPE_ACCESSORY))
-    flagged = exists_flag(drivers, equipped, DRIVER, "has_ppe", spread)
-    return flagged.withColumn("certification", ppe_certification(F.col("driver_tags"), F.col("has_ppe")))
+def equipped_drivers(drivers: DataFrame) -> DataFrame:
+    """Rows that list a PPE accessory."""
+    return drivers.filter(matches_any(F.col("driver_accessory_names"), PPE_ACCESSORY))
+
+
+def driver_facts(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) -> DataFrame:
+    """Everything computed per driver id, on a narrow table: scorecard, routes, lists, PPE flag."""
+    drivers, routes = tables["drivers"], tables["routes"]
+    ids = drivers.select(DRIVER).dropna().distinct()
+    active = active_route_drivers(routes, tables["route_templates"], tables["route_drivers"], as_of)
+    facts = scorecard(
+        ids, DRIVER, tables["deliveries"], tables["violations"], tables["etas"], DRIVER, as_of=as_of, days=days
+    )
+    active = active.select(DRIVER, "route_template_id", F.col("active").alias("active_route_driver"))
+    facts = facts.join(active, DRIVER, "left")
+    facts = exists_flag(facts, route_drivers(routes, tables["route_drivers"]), DRIVER, "is_route_driver")
+    facts = exists_flag(facts, equipped_drivers(drivers), DRIVER, "has_ppe")
+    return facts.join(array_list_columns(drivers, DRIVER, LISTS), DRIVER, "left")
 
 
 def drivers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) -> DataFrame:
     """121 columns, one row per driver, ordered by ``pk``.
 
-    Picking the latest row needs driver columns only, so it is done before the joins: everything
-    after it is one row per driver, and all joins use the partitioning the pick left behind.
-    Recent activity would contribute no column and the pick would undo its repeats; it is not read.
+    Picking the latest row needs driver columns only, so it is done before the joins. All facts are
+    brought together on driver ids first; the wide rows then pass one join, on the partitioning the
+    pick left behind. Recent activity would contribute no column, and the pick would undo its
+    repeats, so it is not read.
     """
-    all_drivers, routes = tables["drivers"], tables["routes"]
-    admitted = admitted_drivers(all_drivers, tables["email_exclusions"])
+    admitted = admitted_drivers(tables["drivers"], tables["email_exclusions"])
     picked = latest_per_key(format_own(admitted, LAYOUT, KEPT), DRIVER, "last_request_viewed")
-
-    active = active_route_drivers(routes, tables["route_templates"], tables["route_drivers"], as_of)
-    wide = scorecard(
-        picked, DRIVER, tables["deliveries"], tables["violations"], tables["etas"], DRIVER, as_of=as_of, days=days
+    wide = picked.join(driver_facts(tables, as_of, days), DRIVER, "left").withColumns(
+        {
+            "certification": ppe_certification(F.col("driver_tags"), F.col("has_ppe")),
+            "contact_record_type": F.lit("Driver"),
+        }
     )
-    wide = wide.join(active.withColumnRenamed("active", "active_route_driver"), DRIVER, "left")
-    wide = exists_flag(wide, route_drivers(routes, tables["route_drivers"]), DRIVER, "is_route_driver")
-    wide = wide.join(array_list_columns(all_drivers, DRIVER, LISTS), DRIVER, "left")
-    wide = with_ppe_certification(wide, all_drivers).withColumn("contact_record_type", F.lit("Driver"))
     return select_layout(wide, LAYOUT).orderBy(F.col("pk").asc_nulls_last())

@@ -36,6 +36,7 @@ FORMATS = {
     "email": email_normalize,
     "list": list_text,
     "or_false": lambda c: F.coalesce(c, F.lit(False)),
+    "or_zero": lambda c: F.coalesce(c, F.lit(0).cast("bigint")),
     "known": lambda c: c.isNotNull(),
 }
 
@@ -56,6 +57,11 @@ def made(columns: str) -> list[Out]:
     return [Out(c, c) for c in columns.split()]
 
 
+def with_counts(columns: dict[str, bool]) -> list[Out]:
+    """Computed columns under their own name; those marked as counts are zero where unknown."""
+    return [Out(name, name, "or_zero" if is_count else "copy") for name, is_count in columns.items()]
+
+
 def _formatted(out: Out) -> Column:
     return FORMATS[out.format](F.col(out.source)).alias(out.alias)
 
@@ -73,5 +79,5 @@ def format_own(df: DataFrame, layout: list[Out], keep: list[str]) -> DataFrame:
 
 def select_layout(df: DataFrame, layout: list[Out]) -> DataFrame:
     """All output columns in order; those not formatted before are formatted now."""
-    have = set(df.columns)
-    return df.select(*[F.col(out.alias) if out.alias in have else _formatted(out) for out in layout])
+    done = set(df.columns) - {out.source for out in layout}
+    return df.select(*[F.col(out.alias) if out.alias in done else _formatted(out) for out in layout])

@@ -17,7 +17,8 @@ from haulbook.operators.routes import active_route_drivers, route_drivers, route
 from haulbook.plans import accounts_model, carriers_model, drivers_model
 from haulbook.plans.accounts import account_domains, with_churn_risk, with_parent, with_serviceability
 from haulbook.plans.carriers import named_carriers, with_owner
-from haulbook.plans.drivers import LISTS, PPE_ACCESSORY, with_ppe_certification
+from haulbook.plans.drivers import LISTS, PPE_ACCESSORY, equipped_drivers
+from haulbook.plans.drivers import ppe_certification as certification
 from haulbook.sources.sample import AS_OF, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,7 +141,7 @@ def email_normalize(drivers):
 
 @on("accounts")
 def domain_list(accounts):
-    return account_domains(accounts)
+    return account_domains(accounts).withColumnRenamed("account_id", "id")
 
 
 def _family(profiles, accounts) -> tuple[DataFrame, list]:
@@ -270,8 +271,9 @@ def tag_rows_(drivers):
 @on("drivers")
 def ppe_certification(drivers):
     tagged = drivers.select(DRIVER, "driver_tags")
-    certified = with_ppe_certification(tagged, drivers, spread=["driver_tags"])
-    return certified.select(DRIVER, F.col("certification").alias("ppe_certification"))
+    flagged = exists_flag(tagged, equipped_drivers(drivers), DRIVER, "has_ppe", spread=["driver_tags"])
+    verdict = certification(F.col("driver_tags"), F.col("has_ppe"))
+    return flagged.select(DRIVER, verdict.alias("ppe_certification"))
 
 
 # --- models -------------------------------------------------------------------------------------

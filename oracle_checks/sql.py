@@ -112,6 +112,7 @@ FORMATS = {
     "cut40": "left({0}, 40)",
     "list": "array_to_string({0}, ';')",
     "or_false": "({0} is not distinct from true)",
+    "or_zero": "coalesce({0}, 0)",
     "known": "({0} is not null)",
     "email": "lower(trim({0}))",
 }

@@ -1,0 +1,117 @@
+"""Truth tables of the column rules."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from haulbook import functions as fx
+from haulbook.plans.drivers import PPE_ACCESSORY, ppe_certification
+
+STATES = {
+    "Texas": "TX", " tx ": "TX", "TX": "TX", "West Virginia": "VA", "Virginia": "VA", "WV": "WV", "Arkansas": "AR",
+    "Kansas": "KS", "Washington DC": "WA", "District of Columbia": "DC", "Washington, District of Columbia": "DC",
+    "Indianapolis": "IN", "Delaware County, Ohio": "DE", "New  York": "NY", "newyork": "NY", "Puerto Rico": None,
+    "PR": None, "": None, None: None, "D.C.": None, "Tx.": None, "\tTX": None,
+}
+
+PHONES = {
+    "5555550123": "+15555550123", "+15555550123": "+15555550123", "15555550123": "+15555550123",
+    "555-555-0123": "+15555550123", "555.555.0123": "+15555550123", "(555) 555-0123": "(555) 555-0123",
+    "+1 (555) 555-0123": "+1 (555) 555-0123", "1 (555) 555-0123": "1 (555) 555-0123",
+    "+1 555 555 0123": "+15555550123", "+1+15555550123": "+1+15555550123", "tel://+15555550123": "+15555550123",
+    "tel://5555550123": "+1tel://5555550123", "tel://15555550123": "+15555550123",
+    "tel://+15555550123;ext=5": "+15555550123;ext=5", "TEL://+15555550123": "+1TEL://+15555550123",
+    "tel:5555550123": None, "5555550123 x9": "+15555550123", "15555550123 x9": "+15555550123",
+    "5555550123deleted": None, "deleted": None, "DELETED": None, "--": None, "---": "---", "": None,
+    "555-0123": "555-0123", " 5555550123": " 5555550123", "+445555550123": "+445555550123", None: None,
+    "5555550123\n": "5555550123\n",
+}
+
+DOMAINS = {
+    "^(.*)(@foo.com|@bar.com)$": "foo.com, bar.com", "(.*)(@foo.com)$": "foo.com", "^(.*)@foo.com$": "(.*)foo.com$",
+    None: None, "": "", " @foo.com ": "foo.com", "@a.com)$|@b.com)$": "a.com, b.com",
+    r"^(.*)(@foo\.com|@bar\.com)$": "foo.com, bar.com", r"^(.*)@foo\.com$": "(.*)foo.com$",
+}
+
+
+@pytest.mark.parametrize(
+    ("rule", "table"),
+    [(fx.state_code, STATES), (fx.phone_normalize, PHONES), (fx.domain_list, DOMAINS)],
+    ids=["state", "phone", "domains"],
+)
+def test_text_rules(spark, rule, table):
+    df = spark.createDataFrame([(k,) for k in table], "text string")
+    assert {r.text: r.out for r in df.select("text", rule(F.col("text")).alias("out")).collect()} == table
+
+
+def test_account_title_and_type(spark):
+    cases = [
+        (" ", "Acme", "company", None, "Unnamed: Acme", "Company"),
+        (None, "Acme", "team", "P", "Unnamed: Acme", "Team Account"),
+        (None, None, "team", "P", None, "Team Account"),
+        ("", "Acme", "team", "P", "Acme | ", "Team Account"),
+        ("North", "Acme", "company", "P", "North", "Company"),
+        ("North", "Acme", "team", None, "North", "Company"),
+        ("North", "Acme", "team", "P", "Acme | North", "Team Account"),
+        ("North", "Acme", None, "P", "Acme | North", "Team Account"),
+        ("North", None, "team", "P", None, "Team Account"),
+        ("x" * 300, "Acme", "team", "P", ("Acme | " + "x" * 300)[:255], "Team Account"),
+    ]
+    df = spark.createDataFrame(cases, "name string, company string, kind string, parent string, t string, k string")
+    title = fx.account_title(F.col("name"), F.col("company"), F.col("kind"), F.col("parent"))
+    record = fx.account_record_type(F.col("kind"), F.col("parent"))
+    wrong = df.filter(~title.eqNullSafe(F.col("t")) | ~record.eqNullSafe(F.col("k")))
+    assert wrong.collect() == []
+
+
+def test_ppe_certification(spark):
+    cases = [
+        (["ppe-certified"], [], "Certified"),
+        (["PPE-certified"], [], "None"),
+        (None, ["Vest (PPE)"], "Unverified"),
+        (["x"], ["Vest (ppe)"], "Unverified"),
+        ([None], ["Vest (PPE)"], "Unverified"),
+        (["x"], [None, "Gloves"], "None"),
+        (None, None, "None"),
+    ]
+    df = spark.createDataFrame(cases, "tags array<string>, items array<string>, want string")
+    verdict = ppe_certification(F.col("tags"), fx.matches_any(F.col("items"), PPE_ACCESSORY))
+    assert df.filter(~verdict.eqNullSafe(F.col("want"))).collect() == []
+
+
+def test_percent_examples(spark):
+    cases = [(1, 3, 33.33), (2, 3, 66.67), (0, 3, 0.0), (0, 0, None), (50, 101, 49.51), (7, 7, 100.0), (None, 3, None)]
+    df = spark.createDataFrame(cases, "n long, d long, want double")
+    out = df.select(fx.exact_percent(F.col("n"), F.col("d")).alias("got"), "want").collect()
+    assert [r.got for r in out] == [r.want for r in out]
+
+
+def test_percent_equals_six_digit_decimals(spark):
+    pairs = spark.range(1, 401).select(F.col("id").alias("d"), F.explode(F.sequence(F.lit(0), F.col("id"))).alias("n"))
+    decimal = "round(round(cast(n as decimal(20,0)) / cast(d as decimal(20,0)), 6) * 100, 2)"
+    assert pairs.filter(fx.exact_percent(F.col("n"), F.col("d")) != F.expr(f"cast({decimal} as double)")).count() == 0
+    # The plain formula is not the same: it is why the exact form exists.
+    assert pairs.filter(fx.exact_percent(F.col("n"), F.col("d")) != F.expr("round(n / d * 100, 2)")).count() > 0
+
+
+def test_rounding_ties(spark):
+    df = spark.createDataFrame([(0.145, 0.15), (-0.145, -0.15), (2.675, 2.68), (1.005, 1.01), (None, None)], "x double, want double")
+    assert [r[0] for r in df.select(fx.rounded(F.col("x"), 2)).collect()] == [0.15, -0.15, 2.68, 1.01, None]
+
+
+def test_iso_cuts_microseconds(spark):
+    df = spark.createDataFrame([(datetime(2024, 3, 9, 21, 30, 0, 999600),), (None,)], "ts timestamp_ntz")
+    assert [r[0] for r in df.select(fx.iso_utc(F.col("ts"))).collect()] == ["2024-03-09T21:30:00.999Z", None]
+
+
+def test_list_text_skips_nulls(spark):
+    df = spark.createDataFrame([(["a", None, "b"],), ([],), (None,)], "xs array<string>")
+    assert [r[0] for r in df.select(fx.list_text(F.col("xs"))).collect()] == ["a;b", "", None]
+
+
+def test_as_of_defaults_to_today(spark):
+    row = spark.range(1).select(fx.days_before(None, 30) == F.date_sub(F.current_date(), 30)).first()
+    assert row[0] is True
