@@ -15,7 +15,7 @@ ROWS_PER_SLOT = 1_000_000  # a key above this many rows is split
 MAX_HOT_KEYS = 1024  # so a key left unsplit holds under 1/1024 of the rows; bounds the broadcast
 NULL_SLOTS = 4096
 FANOUT_SLOTS = 1024
-COPIES_PER_PIECE = 10_000  # identical rows travel as one row with a count up to this
+COPIES_PER_PIECE = 1_000  # identical rows travel as one row with a count up to this
 
 
 def hot_keys(
@@ -77,7 +77,8 @@ def fanout_join(
     Equal right rows are counted instead of carried, in pieces of bounded size, and the pieces are
     dealt into slots by a hash. Each left row is first joined to the slots its key occupies (never
     more than its matches), then to the pieces in each slot, so the matches of one key are produced
-    by many tasks; last, the counted copies are written out.
+    by many tasks; last, the counted copies are written out. The second join always shuffles: with a
+    broadcast, the task that holds a left row would produce all its matches.
     """
     counted = right.dropna(subset=keys).groupBy(*right.columns).agg(F.count("*").alias("_copies"))
     last_piece = F.ceil(F.col("_copies") / copies_per_piece).cast("int") - 1
@@ -88,7 +89,7 @@ def fanout_join(
         F.pmod(F.xxhash64(*right.columns, "_piece"), F.lit(FANOUT_SLOTS)).alias("_slot"),
     )
     occupied = dealt.select(*keys, "_slot").distinct()
-    joined = left.join(occupied, keys, "left").join(dealt, [*keys, "_slot"], "left")
+    joined = left.join(occupied, keys, "left").join(dealt.hint("merge"), [*keys, "_slot"], "left")
     every_copy = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1))))
     return joined.withColumn("_copy", every_copy).drop("_slot", "_copies", "_copy")
 
