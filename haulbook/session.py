@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # UTC makes the ISO-8601 columns independent of where the job runs; adaptive execution sizes the
-# shuffles, switches to broadcast joins on measured sizes and splits skewed join partitions.
+# shuffles, switches to broadcast joins on measured sizes and splits skewed join partitions. Recording
+# the Python call site of every column costs more than building a wide plan.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

@@ -19,7 +19,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def oracle_rows(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], Counter]:
-    table = con.execute(sql).to_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     return _rows(table.column_names, [tuple(r.values()) for r in table.to_pylist()])
 
 

@@ -66,16 +66,15 @@ def state(x: str) -> str:
 
 
 def phone(x: str) -> str:
-    return f"""case
-        when lower({x}) like 'tel://%' then '+1' || regexp_replace({x}, 'tel://.+(\\+1)?(\\d{{10}})', '\\2', 'g')
-        when regexp_full_match({x}, '(\\+1[\\s-]*)*(\\(\\d{{3}}\\)|\\d{{3}})([\\s.-]*)(\\d{{3}})([\\s.-]*)(\\d{{4}})')
-        then regexp_replace({x}, '^(\\+1[\\s-]*)?(\\d{{3}})[\\s.-]*(\\d{{3}})[\\s.-]*(\\d{{4}})$', '+1\\2\\3\\4')
-        when lower({x}) like 'tel%' or lower({x}) like '%del%' or {x} = '--' or {x} = '' then null
-        when regexp_full_match({x}, '\\d{{10}}') then '+1' || {x}
-        when regexp_full_match({x}, '1\\d{{10}}') then '+' || {x}
-        when regexp_full_match({x}, '1\\d{{10}}.*') then '+' || left({x}, 11)
-        when regexp_full_match({x}, '\\d{{10}}.*') then '+1' || left({x}, 10)
-        else {x} end"""
+    """Take the ten digits out where there are exactly ten to take, instead of rewriting the text."""
+    ten = "^(?:\\+1[\\s-]*)?(\\d{3})[\\s.-]*(\\d{3})[\\s.-]*(\\d{4})$"
+    digits = " || ".join(f"regexp_extract({x}, '{ten}', {group})" for group in (1, 2, 3))
+    eleven = f"regexp_extract({x}, '^(1\\d{{10}})[^\\n]*$', 1)"
+    leading = f"regexp_extract({x}, '^(\\d{{10}})[^\\n]*$', 1)"
+    link = f"regexp_replace({x}, 'tel://.+(\\+1)?(\\d{{10}})', '\\2', 'g')"
+    return f"""if({x} ilike 'tel://%', '+1' || {link},
+        if(regexp_matches({x}, '^tel|del', 'i') or {x} in ('', '--'), null,
+            coalesce('+1' || nullif({digits}, ''), '+' || nullif({eleven}, ''), '+1' || nullif({leading}, ''), {x})))"""
 
 
 def domains(x: str) -> str:
