@@ -18,9 +18,7 @@ FANOUT_SLOTS = 1024
 COPIES_PER_PIECE = 1_000  # identical rows travel as one row with a count up to this
 
 
-def hot_keys(
-    df: DataFrame, keys: list[str], rows_per_slot: int = ROWS_PER_SLOT, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], rows_per_slot: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """The heaviest keys and the number of slots to spread each over; at most ``max_keys`` rows.
 
     The count is combined before the shuffle, and any subset of keys gives a correct join, so the
@@ -43,7 +41,7 @@ def lookup_join(
     keys: list[str],
     spread: list[str],
     counted: DataFrame | None = None,
-    rows_per_slot: int = ROWS_PER_SLOT,
+    rows_per_slot: int | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` with hot keys and null keys of ``left`` spread out.
 
@@ -52,7 +50,7 @@ def lookup_join(
     is rerun. The matching right rows are repeated once per slot; all other keys keep one slot.
     ``counted`` is a cheaper table with the same keys to find the hot ones in.
     """
-    hot = F.broadcast(hot_keys(counted if counted is not None else left, keys, rows_per_slot))
+    hot = F.broadcast(hot_keys(left if counted is None else counted, keys, rows_per_slot or ROWS_PER_SLOT))
     row_hash = F.xxhash64(*spread, F.spark_partition_id())
     null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     slot = (
@@ -69,9 +67,7 @@ def lookup_join(
     return slotted_left.join(slotted_right, [*keys, "_slot"], "left").drop("_slot")
 
 
-def fanout_join(
-    left: DataFrame, right: DataFrame, keys: list[str], copies_per_piece: int = COPIES_PER_PIECE
-) -> DataFrame:
+def fanout_join(left: DataFrame, right: DataFrame, keys: list[str], copies_per_piece: int | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` where one key may match very many right rows.
 
     Equal right rows are counted instead of carried, in pieces of bounded size, and the pieces are
@@ -80,12 +76,13 @@ def fanout_join(
     by many tasks; last, the counted copies are written out. The second join always shuffles: with a
     broadcast, the task that holds a left row would produce all its matches.
     """
+    size = copies_per_piece or COPIES_PER_PIECE
     counted = right.dropna(subset=keys).groupBy(*right.columns).agg(F.count("*").alias("_copies"))
-    last_piece = F.ceil(F.col("_copies") / copies_per_piece).cast("int") - 1
+    last_piece = F.ceil(F.col("_copies") / size).cast("int") - 1
     pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), last_piece)))
     dealt = pieces.select(
         *right.columns,
-        F.least(F.lit(copies_per_piece), F.col("_copies") - F.col("_piece") * copies_per_piece).cast("int").alias("_copies"),
+        F.least(F.lit(size), F.col("_copies") - F.col("_piece") * size).cast("int").alias("_copies"),
         F.pmod(F.xxhash64(*right.columns, "_piece"), F.lit(FANOUT_SLOTS)).alias("_slot"),
     )
     occupied = dealt.select(*keys, "_slot").distinct()

@@ -294,7 +294,9 @@ def sample_table(spark: SparkSession, sf_dir: str, table: str, files: dict[str,
             files[base] = spark.read.parquet(f"{sf_dir}/{base}.parquet")
         df = files[base].filter(where) if where else files[base]
         expressions = branch_expressions(table, key, given)
-        df = df.selectExpr(*[f"{sql} as {name}" for name, sql in expressions.items()])
+        # Zoneless timestamps, like those in the files, whatever the session time zone.
+        zoneless = {name: sql.replace("as timestamp)", "as timestamp_ntz)") for name, sql in expressions.items()}
+        df = df.selectExpr(*[f"{sql} as {name}" for name, sql in zoneless.items()])
         arrays = {
             array: f"case when {csv} = '' then array() else split({csv}, ';') end"
             for csv, array in CSV_ARRAYS.items()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from haulbook.operators import joins
 from oracle_checks.compare import connect, difference, oracle_rows, spark_rows
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -26,5 +27,26 @@ def test_query(spark, small, con, name):
     assert difference(ours, oracle_rows(con, ORACLE[name])) is None
 
 
+@pytest.mark.parametrize(
+    "name", ["accounts_model", "carriers_model", "route_templates", "dimension_enrich", "existence_flag", "parent_lookup"]
+)
+def test_query_with_every_key_hot(spark, small, con, name, monkeypatch, shuffled_joins):
+    """The same results when all repeated keys are split and every join shuffles."""
+    monkeypatch.setattr(joins, "ROWS_PER_SLOT", 2)
+    monkeypatch.setattr(joins, "COPIES_PER_PIECE", 1)
+    ours = spark_rows(QUERIES[name](spark, small))
+    assert difference(ours, oracle_rows(con, ORACLE[name])) is None
+
+
+def test_queries_in_another_time_zone(spark, small, con):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("latest_per_key", "accounts_model", "rolling_lookback"):
+            ours = spark_rows(QUERIES[name](spark, small))
+            assert difference(ours, oracle_rows(con, ORACLE[name])) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
