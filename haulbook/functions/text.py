@@ -53,13 +53,18 @@ def state_code(text: Column) -> Column:
     """Postal code for free-text state input, or null.
 
     No state name has two letters, so testing the short codes first gives the same result as testing
-    them last and spares the common case fifty substring searches.
+    them last and spares the common case fifty substring searches. Names of several words may have
+    anything between them; that needs a pattern, tried only where the first word occurs.
     """
     code = F.upper(F.trim(text))
     name = F.lower(F.trim(text))
     rule = F.when(code.isin([c for _, c in STATES]), code)
-    for words, value in STATES:
-        rule = rule.when(name.like("%" + words.replace(" ", "%") + "%"), value)
+    for state, value in STATES:
+        words = state.split()
+        found = name.contains(words[0])
+        if len(words) > 1:
+            found = found & name.like("%" + "%".join(words) + "%")
+        rule = rule.when(found, value)
     return rule
 
 
