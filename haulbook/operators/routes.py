@@ -22,7 +22,12 @@ def _driver_ids(drivers: DataFrame) -> DataFrame:
 
 
 def route_history(
-    routes: DataFrame, templates: DataFrame, drivers: DataFrame, carriers: DataFrame, as_of=None, days: int = ACTIVE_DAYS
+    routes: DataFrame,
+    templates: DataFrame,
+    drivers: DataFrame,
+    carriers: DataFrame,
+    as_of=None,
+    days: int = ACTIVE_DAYS,
 ) -> DataFrame:
     """Distinct (driver, carrier, template, date, active flag); unknown ids give nulls.
 
@@ -32,7 +37,11 @@ def route_history(
     carrier_ids = carriers.select(F.col("id").alias("carrier_id"), F.col("external_id").alias("carrier")).distinct()
     runs = routes.select("route_template_id", "driver_id", "carrier_id", "fulfilled_on").distinct()
     named = runs
-    lookups = {"route_template_id": _template_ids(templates), "driver_id": _driver_ids(drivers), "carrier_id": carrier_ids}
+    lookups = {
+        "route_template_id": _template_ids(templates),
+        "driver_id": _driver_ids(drivers),
+        "carrier_id": carrier_ids,
+    }
     for key, lookup in lookups.items():
         spread = [c for c in runs.columns if c != key]
         named = lookup_join(named, lookup, [key], spread, counted=routes)

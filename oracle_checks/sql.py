@@ -302,7 +302,9 @@ def oracle_queries() -> dict[str, str]:
         "phone_normalize": query(
             "drivers", f"select driver_external_id, phone_number, {phone('phone_number')} as phone from drivers"
         ),
-        "email_normalize": query("drivers", "select driver_external_id, trim(lower(email_address)) as email from drivers"),
+        "email_normalize": query(
+            "drivers", "select driver_external_id, trim(lower(email_address)) as email from drivers"
+        ),
         "domain_list": query("accounts", f"select id, {domains('account_regex')} as domain_list from accounts"),
         "account_name": query(
             "account_profiles accounts",

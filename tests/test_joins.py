@@ -11,7 +11,8 @@ from haulbook.operators.joins import exists_flag, fanout_join, hot_keys, lookup_
 @pytest.fixture(scope="module")
 def skewed(spark):
     """600 rows: a third on one key, a sixth on null, exact copies among them."""
-    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 6 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 40))
+    other = F.concat(F.lit("k"), F.col("id") % 40)
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 6 == 1, None).otherwise(other)
     return spark.range(0, 600, 1, 6).select(key.alias("k"), (F.col("id") % 50).alias("v"))
 
 
@@ -28,9 +29,11 @@ def test_lookup_join_equals_left_join(skewed, lookup, rows, rows_per_slot, shuff
 
 
 def test_lookup_join_with_two_keys(spark, rows, shuffled_joins):
-    left = spark.createDataFrame([("a", 1, i) for i in range(50)] + [(None, 1, 1), ("b", None, 2), ("b", 2, 3)], "x string, y int, z int")
+    data = [("a", 1, i) for i in range(50)] + [(None, 1, 1), ("b", None, 2), ("b", 2, 3)]
+    left = spark.createDataFrame(data, "x string, y int, z int")
     right = spark.createDataFrame([("a", 1, "w"), ("b", 2, "q"), (None, 1, "no")], "x string, y int, w string")
-    assert rows(lookup_join(left, right, ["x", "y"], ["z"], rows_per_slot=5)) == rows(left.join(right, ["x", "y"], "left"))
+    got = lookup_join(left, right, ["x", "y"], ["z"], rows_per_slot=5)
+    assert rows(got) == rows(left.join(right, ["x", "y"], "left"))
 
 
 def test_hot_keys_are_bounded(skewed):

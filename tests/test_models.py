@@ -44,7 +44,8 @@ def test_accounts_has_no_repeats_and_is_ordered(tables):
 
 
 def test_repeated_account_rows_collapse(tables):
-    twice = dict(tables, **{t: tables[t].union(tables[t]) for t in ("account_profiles", "accounts", "serviceability", "churn_risk")})
+    inputs = ("account_profiles", "accounts", "serviceability", "churn_risk")
+    twice = dict(tables, **{t: tables[t].union(tables[t]) for t in inputs})
     assert accounts_model(twice).exceptAll(accounts_model(tables)).count() == 0
 
 

@@ -14,10 +14,12 @@ from haulbook.operators.lists import array_list_columns, listagg_distinct, tag_r
 from haulbook.operators.routes import active_route_drivers, route_drivers, route_history
 
 AS_OF = date(2024, 5, 31)  # the window opens on 2024-05-01
-IN, EDGE, OUT, FUTURE = datetime(2024, 5, 20), datetime(2024, 5, 1), datetime(2024, 4, 30, 23, 59, 59), datetime(2025, 1, 1)
+IN, EDGE = datetime(2024, 5, 20), datetime(2024, 5, 1)
+OUT, FUTURE = datetime(2024, 4, 30, 23, 59, 59), datetime(2025, 1, 1)
 DELIVERY = """delivery_id long, delivery_external_id string, carrier_external_id string, carrier_name string,
     driver_external_id string, driver_name string, delivery_type string, created_at timestamp_ntz,
     is_completed_delivery boolean, customer_rating double"""
+ETA = "delivery_id long, seconds_to_origin_delta long, seconds_to_destination_delta long"
 VIOLATION = """delivery_external_id string, carrier_external_id string, carrier_name string, driver_external_id string,
     driver_name string, delivery_type string, created_at timestamp_ntz, violation_type_code string"""
 
@@ -27,7 +29,8 @@ def delivery(id, carrier="C1", driver="D1", kind="hotshot", at=IN, done=True, ra
 
 
 def violation(id, code, carrier="C1", driver="D1", kind="hotshot", at=IN, name=None):
-    return (f"X{id}", carrier, name or f"name of {carrier}", driver, f"name of {driver}", kind, at, code)
+    name = name or f"name of {carrier}"
+    return (f"X{id}", carrier, name, driver, f"name of {driver}", kind, at, code)
 
 
 @pytest.fixture(scope="module")
@@ -69,7 +72,7 @@ def violations(spark):
 @pytest.fixture(scope="module")
 def etas(spark):
     data = [(1, -1800, -1801), (1, 1620, 720), (2, 1621, 721), (4, None, None), (11, 0, 0), (None, 0, 0), (99, 0, 0)]
-    return spark.createDataFrame(data, "delivery_id long, seconds_to_origin_delta long, seconds_to_destination_delta long")
+    return spark.createDataFrame(data, ETA)
 
 
 def test_lookback_bounds(deliveries):
@@ -111,8 +114,8 @@ def test_scorecard_of_entities_without_data(spark, deliveries, violations, etas)
 
 def test_one_hot_delivery_id_does_not_multiply(spark, rows):
     """Delivery id and ETA id repeat 2000 times each: four million pairs are counted, none is built."""
-    same = spark.createDataFrame([delivery(1)], DELIVERY).crossJoin(spark.range(2000)).drop("id")
-    eta = spark.range(2000).selectExpr("1L as delivery_id", "0L as seconds_to_origin_delta", "9999L as seconds_to_destination_delta")
+    same = spark.createDataFrame([delivery(1)] * 2000, DELIVERY)
+    eta = spark.createDataFrame([(1, 0, 9999)] * 2000, ETA)
     assert rows(scorecard.on_time(same, eta, as_of=AS_OF)) == [("C1", 4_000_000, 100.0, 0.0)]
 
 
@@ -167,7 +170,8 @@ def test_not_blank_and_exclusions(spark, rows):
 
 def test_routes(spark, rows):
     day = date(2024, 5, 24)
-    data = [(1, 1, 1, day), (2, 1, 1, day), (2, 1, 1, date(2024, 5, 23)), (3, 2, 1, date(2024, 5, 23)), (9, None, 1, day), (1, 2, 9, None)]
+    early = date(2024, 5, 23)
+    data = [(1, 1, 1, day), (2, 1, 1, day), (2, 1, 1, early), (3, 2, 1, early), (9, None, 1, day), (1, 2, 9, None)]
     routes = spark.createDataFrame(data, "route_template_id long, driver_id long, carrier_id long, fulfilled_on date")
     templates = spark.createDataFrame([(1, "T1"), (2, "T0"), (3, "T3")], "id long, external_id string")
     drivers = spark.createDataFrame([(1, "D1"), (2, "D2"), (3, "D3")], "driver_id long, driver_external_id string")
@@ -180,8 +184,8 @@ def test_routes(spark, rows):
         [
             ("D1", "C1", "T1", day, True),
             ("D1", "C1", "T0", day, True),
-            ("D1", "C1", "T0", date(2024, 5, 23), False),
-            ("D2", "C1", "T3", date(2024, 5, 23), False),
+            ("D1", "C1", "T0", early, False),
+            ("D2", "C1", "T3", early, False),
             (None, "C1", None, day, True),
             ("D2", None, "T1", None, None),
         ],

@@ -28,7 +28,8 @@ def test_query(spark, small, con, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["accounts_model", "carriers_model", "route_templates", "dimension_enrich", "existence_flag", "parent_lookup"]
+    "name",
+    "accounts_model carriers_model drivers_model route_templates dimension_enrich existence_flag parent_lookup".split(),
 )
 def test_query_with_every_key_hot(spark, small, con, name, monkeypatch, shuffled_joins):
     """The same results when all repeated keys are split and every join shuffles."""
