@@ -11,9 +11,8 @@ from haulbook.functions import list_text
 from haulbook.operators.joins import exists_flag
 
 
-def _set_text(values: Column) -> Column:
-    """Sorted list text of the distinct non-null values of a group; '' if there are none."""
-    return list_text(F.array_sort(F.collect_set(values)))
+def _sorted_text(values: Column) -> Column:
+    return list_text(F.array_sort(values))
 
 
 def _tagged(values: Column, number: int) -> Column:
@@ -24,14 +23,15 @@ def _tagged(values: Column, number: int) -> Column:
 def listagg_distinct(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Sorted ``;`` list of the distinct values per key.
 
-    Duplicates go before the shuffle; what remains of a key is what its one output cell holds.
+    Duplicates go before the shuffle; what remains of a key is what its one output cell holds, '' if
+    there are only nulls.
     """
-    return df.select(key, value).distinct().groupBy(key).agg(_set_text(F.col(value)).alias(name))
+    return df.select(key, value).distinct().groupBy(key).agg(_sorted_text(F.collect_list(value)).alias(name))
 
 
 def _row_text(values: Column) -> Column:
     """Sorted list text of the distinct non-null elements of one array."""
-    return list_text(F.array_sort(F.array_distinct(F.filter(values, lambda v: v.isNotNull()))))
+    return _sorted_text(F.array_distinct(F.filter(values, lambda v: v.isNotNull())))
 
 
 def _merged_lists(rows: DataFrame, key: str, arrays: dict[str, str]) -> DataFrame:
@@ -43,7 +43,7 @@ def _merged_lists(rows: DataFrame, key: str, arrays: dict[str, str]) -> DataFram
     """
     tagged = F.concat(*[_tagged(F.col(a), i) for i, a in enumerate(arrays)])
     sets = [
-        _set_text(F.when(F.col("item.list") == i, F.col("item.element"))).alias(name)
+        _sorted_text(F.collect_set(F.when(F.col("item.list") == i, F.col("item.element")))).alias(name)
         for i, name in enumerate(arrays.values())
     ]
     return rows.select(key, F.explode(tagged).alias("item")).groupBy(key).agg(*sets)
