@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SLOT = 1_000_000  # a key above this many rows is split
+ROWS_PER_SLOT = 250_000  # a key above this many rows is split; of wide rows that is some 250 MB
 MAX_HOT_KEYS = 1024  # so a key left unsplit holds under 1/1024 of the rows; bounds the broadcast
 NULL_SLOTS = 4096
 FANOUT_SLOTS = 1024
