@@ -11,7 +11,8 @@ def exact_percent(part: Column, whole: Column) -> Column:
 
     The warehouse divides whole numbers to six decimals, rounds half up there, and only then scales
     to a percentage and rounds to two. Doing both steps in whole numbers gives the same digits
-    everywhere; a plain double division differs from about one pair in three hundred.
+    everywhere; a plain double division differs from about one pair in three hundred. Counts may
+    reach four trillion; beyond that the multiplication fails loudly rather than wrap around.
     """
     n, d = part.cast("bigint"), F.nullif(whole.cast("bigint"), F.lit(0).cast("bigint"))
     millionths = F.call_function("div", n * 2_000_000 + d, d * 2)

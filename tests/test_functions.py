@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,17 @@ def test_percent_equals_six_digit_decimals(spark):
     assert pairs.filter(fx.exact_percent(F.col("n"), F.col("d")) != F.expr("round(n / d * 100, 2)")).count() > 0
 
 
+def test_percent_of_large_counts(spark):
+    pairs = [(123_456_789_012, 987_654_321_098), (4_000_000_000_000, 4_000_000_000_001), (1, 3_999_999_999_999)]
+    half_up = {"rounding": ROUND_HALF_UP}
+    want = [
+        float(((Decimal(n) / Decimal(d)).quantize(Decimal("1e-6"), **half_up) * 100).quantize(Decimal("0.01"), **half_up))
+        for n, d in pairs
+    ]
+    df = spark.createDataFrame(pairs, "n long, d long")
+    assert [r[0] for r in df.select(fx.exact_percent(F.col("n"), F.col("d"))).collect()] == want
+
+
 def test_rounding_ties(spark):
     ties = {0.145: 0.15, -0.145: -0.15, 2.675: 2.68, 1.005: 1.01, None: None}
     df = spark.createDataFrame([(x,) for x in ties], "x double")
