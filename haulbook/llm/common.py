@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,7 +82,7 @@ def crc_fold(column: str, parts: int) -> Column:
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose texts have about SLICE_CHARS bytes; a longer text is a run alone."""
     column = batch.column(batch.schema.get_field_index(text))
-    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, size in enumerate(sizes):
         if i > start and total + size > SLICE_CHARS:

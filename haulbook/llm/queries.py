@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulbook.llm import bpe, langid, linededup, mixing, simhash
+from haulbook.llm import bpe, langid, linededup, mixing, simhash, sketch, warc
 from haulbook.llm.common import crc_fold, ship
 
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(crc_fold("doc_id", langid.FOLDS) == langid.HELD_OUT_FOLD, F.lit(False))
@@ -24,6 +29,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edit_report(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
@@ -51,11 +60,21 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 ALL = [
+    op1_warc,
     op2_language,
+    op4_sketch,
     op5_byte_bpe,
     op7_line_dedup,
     op9_mixing,
     op10_simhash,
 ]
 QUERIES = {q.__name__: shipped(q) for q in ALL}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest,
+            CASE WHEN octet_length(encode(body)) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END
+                AS record_type,
+            CASE WHEN octet_length(encode(body)) >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM (SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+            FROM pages)""",
+}
