@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulbook.llm import bpe, langid, linededup, mixing, simhash, sketch, warc
+from haulbook.llm import bpe, forest, langid, linededup, lmscore, mixing, simhash, sketch, toxicity, warc
 from haulbook.llm.common import crc_fold, ship
 
 
@@ -29,6 +29,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op4_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edit_report(table(spark, sf_dir, "documents"))
 
@@ -37,11 +41,28 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_fold("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT_FOLD, F.lit(False))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    found = toxicity.with_toxicity(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.without_repeated_lines(docs, stats=True).select("doc_id", "n_lines", "removed_lines", "text")
 
 
+def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as of good quality, but for a held-out fold of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_fold("doc_id", lmscore.FOLDS) == lmscore.HELD_OUT_FOLD, F.lit(False))
+    good = table(spark, sf_dir, "labels").filter((F.col("quality") == 1) & ~held_out)
+    found = lmscore.cross_entropy_difference(docs, good)
+    return found.withColumn("held_out", held_out)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -62,9 +83,12 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 ALL = [
     op1_warc,
     op2_language,
+    op3_hash_forest,
     op4_sketch,
     op5_byte_bpe,
+    op6_toxicity,
     op7_line_dedup,
+    op8_cross_entropy,
     op9_mixing,
     op10_simhash,
 ]
