@@ -37,11 +37,12 @@ SAMPLE = 4096
 BLOCK_ROWS = 20_000
 PART_ROWS = 5_000
 AT_ONCE = 4096
+AROUND = 8
 
 
 def candidates(rows: int) -> int:
     """Candidates per query for a table of so many vectors."""
-    return max(128, int(1.6 * rows**0.7))
+    return max(512, int(1.6 * rows**0.7))
 
 
 class Forest:
@@ -156,7 +157,8 @@ def nearest(
                     yield pd.concat(found)
 
     def descend(frame: pd.DataFrame) -> pd.DataFrame:
-        """The rows around each query in one block that share its first symbol, at most ``budget`` to either side."""
+        """The rows around each query in one block: those that share its first symbol, at most ``budget`` and at
+        least AROUND to either side."""
         forest = Forest(1, 1)
         forest.bits = max(1, int(2 * dimensions - 1).bit_length())
         forest.symbols = max(1, min(SYMBOLS, 48 // forest.bits))
@@ -170,6 +172,8 @@ def nearest(
             at, first = int(np.searchsorted(keys, key)), key // step * step
             low = max(int(np.searchsorted(keys, first)), at - budget)
             high = min(int(np.searchsorted(keys, first + step)), at + budget + 1)
+            beside = len(keys) if len(keys) <= budget else AROUND  # a small table is taken whole
+            low, high = max(0, min(low, at - beside)), min(len(keys), max(high, at + beside + 1))
             if low < high:
                 out.append((node, nodes[low:high], forest.shared(keys[low:high], key)))
         return pd.DataFrame(out, columns=["query", "found", "shared"])
@@ -188,7 +192,7 @@ def nearest(
                 ids, at = np.unique(ids, return_inverse=True)
                 most = np.zeros(len(ids), np.int64)
                 np.maximum.at(most, at, depth)
-                order = np.lexsort((ids, -np.bincount(at), -most))[:budget]
+                order = np.lexsort((ids, -np.bincount(at, depth > 0), -most))[:budget]
                 ids = ids[order]
                 part = _mix(ids) % parts
                 for p in np.unique(part).tolist():

@@ -228,7 +228,7 @@ def without_repeated_lines(
     marked = skew_join(plain, found, [row_id], "left").drop(row_id)
     added = ["n_lines", "removed_lines"] if stats else []
     kept = marked.select(*[F.col(f"`{c}`") for c in marked.columns if c not in added])
-    schema = kept.drop(lines).schema
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.drop(lines).schema])
     for name in added:
         schema = schema.add(name, T.IntegerType())
 
@@ -253,7 +253,8 @@ def without_repeated_lines(
                 if n_chars:
                     lengths = [None if t is None else len(t) for t in texts]
                     columns[n_chars] = pa.array(lengths, pa.int64()).cast(columns[n_chars].type)
-                columns |= {"n_lines": pa.array(counts, pa.int32()), "removed_lines": pa.array(gone, pa.int32())}
+                if stats:
+                    columns |= {"n_lines": pa.array(counts, pa.int32()), "removed_lines": pa.array(gone, pa.int32())}
                 yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], names=schema.names)
 
     return kept.mapInArrow(cut, schema)
