@@ -37,6 +37,15 @@ URN = "urn:haulbook:record:"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 6
+# Hadoop looks up a file's codec by the longest ending in order; one for "!.gz" hides that of ".gz" and does nothing itself.
+# The second name of its option is that of Hadoop's shaded client, which Spark ships.
+READ_RAW = {
+    "lineSep": MAGIC.decode("latin-1"),
+    "encoding": "ISO-8859-1",
+    "io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec",
+    "io.compress.passthrough.extension": "!.gz",
+    "org.apache.hadoop.shaded.io.compress.passthrough.extension": "!.gz",
+}
 RECORD = T.StructType(
     [
         T.StructField("record_id", T.StringType()),
@@ -248,10 +257,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     keeps it from inflating them.
     """
     raw = (
-        spark.read.option("lineSep", MAGIC.decode("latin-1"))
-        .option("encoding", "ISO-8859-1")
-        .option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
-        .option("io.compress.passthrough.extension", "!.gz")
+        spark.read.options(**READ_RAW)
         .text(path)
         .select(
             F.col("value").cast("binary").alias("piece"),
