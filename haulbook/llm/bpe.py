@@ -10,8 +10,7 @@ or empty text has no ids and decodes to no bytes; a null list of ids decodes to
 vocabulary raises ValueError. Repeated rows give equal results. An empty table gives an empty result.
 Other columns are kept; those named like a result are replaced.
 
-Words and their ids are kept in a bounded memory of the Python worker, which only saves repeated
-work. A word of over LONG_WORD bytes (base64, a text without spaces) would take one recursion per
+Each batch of texts is reduced to its distinct words first. A word of over LONG_WORD bytes (base64, a text without spaces) would take one recursion per
 merge over all its positions, so it is contracted with a heap instead: same order, same result.
 """
 
@@ -21,11 +20,14 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
+from itertools import pairwise
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +38,12 @@ from haulbook.llm.common import add_columns
 RANKS = "byte_bpe_50k.tiktoken"
 LONG_WORD = 512
 WORDS_AT_ONCE = 50_000
-BYTES_AT_ONCE = 1_000_000
-REMEMBERED = 400_000  # words and pieces kept per Python worker
-CHUNK = 4 << 20  # characters of one text cut into words at a time
-DUCKDB_MEMORY = "500MB"
+LONGEST_CUT = 4096
+SLICE = 12_000_000  # bytes of text worked on together, so that common words are encoded once
+CHUNK = 4 << 20  # characters of one text cut by the pattern at a time
+DUCKDB_MEMORY = "300MB"
+SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+ODD_PIECE = rf"^ (?:\z|{SPACE})|{SPACE}\z"
 SAFE_CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])(?= [^\s\x1c-\x1f])")
 
 ENCODE = """
@@ -73,14 +77,11 @@ from tokens join vocabulary using (token) group by list order by list
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary; one for each Python worker."""
+    """Encoder and decoder of one vocabulary; one for each Python worker. Lists are pairs of offsets and values."""
 
     def __init__(self, rank_lines: bytes, pattern: str):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_lines.splitlines() or [])}
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_lines.splitlines())}
         self.pattern = regex.compile(pattern)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes | None] = {}
-        self.lists: dict[bytes, bytes] = {}
         merges = [
             (self.ranks[t[:i]] << 32 | self.ranks[t[i:]], rank)
             for t, rank in self.ranks.items()
@@ -94,15 +95,16 @@ class Codec:
         self.db.execute("create table merges as select * from pairs")
         self.db.execute("create table vocabulary as select * from vocabulary")
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.starts_word = np.zeros(max(self.ranks.values()) + 1, bool)
+        self.tokens = pa.array(list(self.ranks), pa.binary())
+        self.token_ids = np.array(list(self.ranks.values()), np.uint32)
+        self.starts_word = np.zeros(int(self.token_ids.max()) + 1, bool)
         self.known = np.zeros(len(self.starts_word), bool)
-        for token, rank in self.ranks.items():
-            self.known[rank] = True
-            self.starts_word[rank] = token[:1] == b" "
+        self.known[self.token_ids] = True
+        self.starts_word[[rank for token, rank in self.ranks.items() if token[:1] == b" "]] = True
 
     # --- encoding
 
-    def _long(self, word: bytes) -> bytes:
+    def _long(self, word: bytes) -> np.ndarray:
         """Contract a long word pair by pair with a heap of (rank, position)."""
         token, n = [int(self.single[b]) for b in word], len(word)
         size, left, right = [1] * n, list(range(-1, n - 1)), list(range(1, n + 1))
@@ -127,141 +129,160 @@ class Codec:
             push(i)
             if left[i] >= 0:
                 push(left[i])
-        return np.array([t for t, ok in zip(token, alive, strict=True) if ok], "<u4").tobytes()
-
-    def _contract(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words by the recursive query."""
-        lengths = np.array([len(w) for w in words])
-        token = self.single[np.frombuffer(b"".join(words), np.uint8)]
-        ends = np.cumsum(lengths)
-        at = np.arange(len(token)) - np.repeat(ends - lengths, lengths)
-        next_token, next_spot = np.append(token[1:], -1), at + 1
+        return np.array([t for t, ok in zip(token, alive, strict=True) if ok], np.uint32)
+
+    def _contract(self, lengths: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids and ids of words, given one after another as bytes, by the recursive query."""
+        token, ends = self.single[data], np.cumsum(lengths)
+        spot = np.arange(len(token)) - np.repeat(ends - lengths, lengths)
+        next_token, next_spot = np.append(token[1:], -1), spot + 1
         next_token[ends - 1] = next_spot[ends - 1] = -1
-        columns = {"word": np.repeat(np.arange(len(words)), lengths), "spot": at, "token": token}
+        columns = {"word": np.repeat(np.arange(len(lengths)), lengths), "spot": spot, "token": token}
         columns |= {"next_token": next_token, "next_spot": next_spot}
         start = pa.table({k: pa.array(v.astype(np.int32)) for k, v in columns.items()})
         self.db.register("start", start)
         out = self.db.execute(ENCODE).fetchnumpy()
         self.db.unregister("start")
-        cuts = np.searchsorted(out["word"], np.arange(len(words) + 1)) * 4
-        ids = np.asarray(out["token"]).astype("<u4").tobytes()
-        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-
-    def _learn_words(self, words: set[str]) -> None:
-        todo: list[tuple[str, bytes]] = []
-
-        def run() -> None:
-            if todo:
-                self.words.update(zip([w for w, _ in todo], self._contract([b for _, b in todo]), strict=True))
-                todo.clear()
-
-        size = 0
-        for word in words:
-            data = word.encode()
-            if (rank := self.ranks.get(data)) is not None:
-                self.words[word] = rank.to_bytes(4, "little")
-            elif len(data) > LONG_WORD:
-                self.words[word] = self._long(data)
-            else:
-                todo.append((word, data))
-                size += len(data)
-                if len(todo) >= WORDS_AT_ONCE or size >= BYTES_AT_ONCE:
-                    run()
-                    size = 0
-        run()
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        """Ids of texts that fit in memory as lists of words, as little-endian 32-bit integers.
-
-        Between two characters that are not white space a single space starts a word, so the pieces
-        between spaces are encoded once each; a text with other spaces is cut by the pattern as a whole.
+        return np.bincount(out["word"], minlength=len(lengths)), np.asarray(out["token"]).astype(np.uint32)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words: a word in the vocabulary is one token, the others are contracted."""
+        words = words.cast(pa.binary())
+        found = pc.fill_null(pc.index_in(words, value_set=self.tokens), -1).to_numpy()
+        counts = np.ones(len(words), np.int64)
+        lengths = pc.binary_length(words).to_numpy().astype(np.int64)
+        long = np.flatnonzero((found < 0) & (lengths > LONG_WORD))
+        ids = {int(i): self._long(words[int(i)].as_py()) for i in long}
+        for i, x in ids.items():
+            counts[i] = len(x)
+        todo = np.flatnonzero((found < 0) & (lengths <= LONG_WORD))
+        parts = []
+        for start in range(0, len(todo), WORDS_AT_ONCE):
+            at = todo[start : start + WORDS_AT_ONCE]
+            some = words.take(pa.array(at))
+            offsets, data = _buffers(some)
+            counts[at], values = self._contract(np.diff(offsets), data)
+            parts.append(values)
+        offsets = np.concatenate(([0], np.cumsum(counts)))
+        out = np.zeros(offsets[-1], np.uint32)
+        direct = np.flatnonzero(found >= 0)
+        out[offsets[direct]] = self.token_ids[found[direct]]
+        for i, x in ids.items():
+            out[offsets[i] : offsets[i + 1]] = x
+        if parts:
+            out[_places(offsets, todo)] = np.concatenate(parts)
+        return offsets, out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and ids of whole texts (nulls are empty).
+
+        Between two characters that are not white space a single space starts a word, so texts are split at spaces
+        and each distinct piece is cut by the pattern once; a text with other spaces is cut as a whole.
         """
-        if len(self.pieces) > REMEMBERED or len(self.words) > REMEMBERED:
-            self.pieces, self.words = {}, {}
-        split = [c.split(" ") for c in chunks]
-        pieces = {p for s in split for p in s[1:]}
-        fresh = {p: self.pattern.findall(" " + p) for p in pieces.difference(self.pieces) if _plain(p)}
-        firsts = [self.pattern.findall(s[0]) if _plain(s[0]) else None for s in split]
-        bad = {p for p in pieces if not _plain(p)}
-        whole = {
-            i: self.pattern.findall(c)
-            for i, c in enumerate(chunks)
-            if firsts[i] is None or (bad and not bad.isdisjoint(split[i][1:]))
-        }
-        met: set[str] = set()
-        for group in (fresh.values(), (f for f in firsts if f), whole.values()):
-            for found in group:
-                met.update(found)
-        self._learn_words(met.difference(self.words))
-        word, piece = self.words.__getitem__, self.pieces
-        for p, found in fresh.items():
-            piece[p] = b"".join(map(word, found))
-        out = []
-        for i, s in enumerate(split):
-            if i in whole:
-                out.append(b"".join(map(word, whole[i])))
-            else:
-                out.append(b"".join(map(word, firsts[i])) + b"".join(map(piece.__getitem__, s[1:])))
-        return out
-
-    def encode(self, texts: list) -> list[bytes]:
-        chunks, owner = [], []
-        for i, text in enumerate(texts):
-            for chunk in _chunks(text or ""):
-                chunks.append(chunk)
-                owner.append(i)
-        out = [b""] * len(texts)
-        start = 0
-        while start < len(chunks):  # a few MB of text at once
-            end, size = start, 0
-            while end < len(chunks) and (end == start or size + len(chunks[end]) <= CHUNK):
-                size += len(chunks[end])
-                end += 1
-            for i, ids in zip(owner[start:end], self._encode(chunks[start:end]), strict=True):
-                out[i] = out[i] + ids if out[i] else ids
-            start = end
-        return out
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        split = pc.split_pattern(texts, " ")
+        starts, pieces = np.asarray(split.offsets), split.values
+        first = np.zeros(len(pieces), bool)
+        first[starts[:-1]] = True
+        blank = [pa.scalar(x, pa.large_string()) for x in ("", " ")]
+        rest = pc.binary_join_element_wise(blank[0], pieces.filter(pa.array(~first)), blank[1])
+        rest, heads = rest.dictionary_encode(), pieces.filter(pa.array(first)).dictionary_encode()
+        at = np.empty(len(pieces), np.int64)
+        at[~first] = rest.indices.to_numpy()
+        at[first] = heads.indices.to_numpy() + len(rest.dictionary)
+        odd = [pc.match_substring_regex(x, ODD_PIECE).to_numpy(zero_copy_only=False) for x in (rest.dictionary, heads.dictionary)]
+        odd_text = np.add.reduceat(np.concatenate(odd)[at], starts[:-1]) > 0 if len(texts) else np.zeros(0, bool)
+
+        # the words of each distinct piece, of pieces that start texts, and of texts cut as a whole
+        plain = rest.dictionary.filter(pa.array(~odd[0]))
+        words = self.pattern.findall(_buffers(plain)[1].tobytes().decode())
+        joined = pa.array(words, pa.large_string())
+        begins = np.flatnonzero(pc.starts_with(joined, " ").to_numpy(zero_copy_only=False))
+        sizes = np.zeros(len(rest.dictionary) + len(heads.dictionary) + int(odd_text.sum()), np.int64)
+        sizes[np.flatnonzero(~odd[0])] = np.diff(np.append(begins, len(words)))
+        more: list[str] = []
+        for i, (head, skip) in enumerate(zip(heads.dictionary.to_pylist(), odd[1], strict=True)):
+            found = [] if skip else self.pattern.findall(head)
+            sizes[len(rest.dictionary) + i] = len(found)
+            more += found
+        for i, n in enumerate(np.flatnonzero(odd_text).tolist()):
+            before = len(more)
+            for chunk in _chunks(texts[n].as_py()):
+                more += self.pattern.findall(chunk)
+            sizes[len(sizes) - int(odd_text.sum()) + i] = len(more) - before
+        known = pa.concat_arrays([joined, pa.array(more, pa.large_string())]).dictionary_encode()
+        offsets, ids = self._words(known.dictionary)
+        offsets, ids = _gather(offsets, ids, known.indices.to_numpy(), sizes)
+
+        keep = np.repeat(~odd_text, np.diff(starts))
+        counts = np.where(odd_text, 1, np.diff(starts))
+        where = np.empty(int(counts.sum()), np.int64)
+        ends = np.cumsum(counts)
+        whole = (ends - counts)[odd_text]
+        mask = np.ones(len(where), bool)
+        mask[whole] = False
+        where[mask] = at[keep]
+        where[whole] = np.arange(len(sizes) - len(whole), len(sizes))
+        return _gather(offsets, ids, where, counts)
 
     # --- decoding
 
-    def _join(self, lists: list[bytes]) -> list[bytes]:
-        """Bytes of lists of ids by ordered aggregation."""
-        lengths = np.array([len(x) // 4 for x in lists])
-        ends = np.cumsum(lengths)
-        place = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
-        token = np.frombuffer(b"".join(lists), "<u4").astype(np.int32)
-        rows = {"list": np.repeat(np.arange(len(lists)), lengths).astype(np.int32), "place": place.astype(np.int32)}
-        self.db.register("tokens", pa.table({k: pa.array(v) for k, v in (rows | {"token": token}).items()}))
-        texts = self.db.execute(DECODE).to_arrow_table().column("text").to_pylist()
-        self.db.unregister("tokens")
-        return [t.encode("latin-1") for t in texts]
-
-    def decode(self, lists: list) -> list[bytes]:
-        """Bytes of lists of ids (arrays, or None); lists are cut where a token starts with a space, and each
-        distinct cut is joined once."""
-        if len(self.lists) > REMEMBERED:
-            self.lists = {}
-        cut: list[list[bytes]] = []
-        for ids in lists:
-            if ids is None or not len(ids):
-                cut.append([])
-                continue
-            ids = np.asarray(ids, np.int64)
-            if ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all():
-                raise ValueError("an id outside the vocabulary")
-            at = np.flatnonzero(self.starts_word[ids])
-            at = np.unique(np.concatenate((at, np.arange(0, len(ids), 4096)))) * 4
-            data = ids.astype("<u4").tobytes()
-            cut.append([data[a:b] for a, b in zip(at.tolist(), [*at[1:].tolist(), len(data)], strict=True)])
-        todo = list({x for c in cut for x in c}.difference(self.lists))
-        for i in range(0, len(todo), WORDS_AT_ONCE):
-            part = todo[i : i + WORDS_AT_ONCE]
-            self.lists.update(zip(part, self._join(part), strict=True))
-        return [b"".join(map(self.lists.__getitem__, c)) for c in cut]
-
-
-def _plain(piece: str) -> bool:
-    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+    def decode(self, offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+        """Bytes of lists of ids. Lists are cut where a token starts with a space, and each distinct cut is joined once."""
+        ids = np.asarray(ids)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
+            raise ValueError("an id outside the vocabulary")
+        if not len(ids):
+            return pa.array([b""] * (len(offsets) - 1), pa.large_binary())
+        begin = self.starts_word[ids]
+        begin[offsets[:-1][offsets[:-1] < len(ids)]] = True
+        begin[::LONGEST_CUT] = True
+        cuts = np.flatnonzero(begin)
+        data = pa.py_buffer(np.ascontiguousarray(ids, "<u4").tobytes())
+        edges = pa.py_buffer(np.append(cuts, len(ids)).astype(np.int64) * 4)
+        lists = pa.Array.from_buffers(pa.large_binary(), len(cuts), [None, edges, data]).dictionary_encode()
+        joined = []
+        for start in range(0, len(lists.dictionary), WORDS_AT_ONCE):
+            edge, some = _buffers(lists.dictionary.slice(start, WORDS_AT_ONCE))
+            edge, token = edge // 4, some.view("<u4").astype(np.int32)
+            place = np.arange(len(token)) - np.repeat(edge[:-1], np.diff(edge))
+            rows = {"list": np.repeat(np.arange(len(edge) - 1), np.diff(edge)), "place": place, "token": token}
+            self.db.register("tokens", pa.table({k: pa.array(v.astype(np.int32)) for k, v in rows.items()}))
+            joined.append(self.db.sql(DECODE).to_arrow_table().column("text").combine_chunks())
+            self.db.unregister("tokens")
+        text = pa.concat_arrays([j.cast(pa.large_string()) for j in joined])
+        sizes = np.cumsum(pc.utf8_length(text).to_numpy())  # a character stands for a byte
+        plain = _buffers(text)[1].tobytes().decode().encode("latin-1")
+        edges = pa.py_buffer(np.concatenate(([0], sizes)).astype(np.int64))
+        found = pa.Array.from_buffers(pa.large_binary(), len(text), [None, edges, pa.py_buffer(plain)])
+        found = found.take(lists.indices)
+        edge, _ = _buffers(found)
+        edges = edge[np.searchsorted(cuts, offsets)]  # every list begins a cut
+        return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(edges), found.buffers()[2]])
+
+
+def _buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (from 0) and bytes of an array of texts or binaries."""
+    large = array.type in (pa.large_string(), pa.large_binary())
+    offsets = np.frombuffer(array.buffers()[1], np.int64 if large else np.int32)[array.offset :][: len(array) + 1]
+    if not len(offsets):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    data = array.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return offsets.astype(np.int64) - offsets[0], data[offsets[0] : offsets[-1]]
+
+
+def _places(offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Where the values of these rows of a list array are, one row after another."""
+    counts = np.diff(offsets)[rows]
+    ends = np.cumsum(counts)
+    return np.repeat(offsets[:-1][rows] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _gather(offsets: np.ndarray, values: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists that are each made of the next ``sizes`` of the given rows."""
+    ends = np.concatenate(([0], np.cumsum(np.diff(offsets)[rows])))
+    return ends[np.concatenate(([0], np.cumsum(sizes)))], values[_places(offsets, rows)]
 
 
 def _chunks(text: str) -> Iterator[str]:
@@ -296,20 +317,16 @@ def with_tokens(
     def work():
         encoder = codec(lines, cut)
 
-        def apply(texts: list) -> list[pa.Array]:
-            found = encoder.encode(texts)
-            offsets = np.cumsum([0, *(len(x) // 4 for x in found)])
-            values = pa.array(np.frombuffer(b"".join(found), "<u4").astype(np.int32))
-            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)]
+        def apply(texts: pa.Array) -> list[pa.Array]:
+            offsets, values = encoder.encode(texts)
+            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(np.int32)))]
 
         return apply
 
-    return add_columns(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], work)
+    return add_columns(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], work, limit=SLICE, arrow=True)
 
 
-def with_decoded(
-    df: DataFrame, path: str | None = None, ids: str = "token_ids", decoded: str = "decoded"
-) -> DataFrame:
+def with_decoded(df: DataFrame, path: str | None = None, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the bytes that each list of ids stands for; no shuffle."""
     lines = rank_file(path)
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != decoded.lower()])
@@ -321,34 +338,36 @@ def with_decoded(
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
                 lists = part.column(part.schema.get_field_index(ids))
-                found = decoder.decode([x.values.to_numpy() if x.is_valid else None for x in lists])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=schema.names)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+                found = decoder.decode(offsets, lists.flatten().to_numpy()).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
 def token_digests(df: DataFrame, path: str | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256."""
-    rows = with_tokens(df.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")), path).drop("text")
-    decoded = with_decoded(rows, path)
-    schema = T.StructType([df.select(F.col(id_column).alias("doc_id")).schema[0]])
-    schema = schema.add("n_tokens", T.LongType())
-    schema = schema.add("ids_sha256", T.StringType()).add("decoded_sha256", T.StringType())
+    """doc_id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256: texts are encoded and their
+    ids decoded in one pass."""
+    lines = rank_file(path)
+    rows = df.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
+    fields = [T.StructField("n_tokens", T.LongType())]
+    fields += [T.StructField(c, T.StringType()) for c in ("ids_sha256", "decoded_sha256")]
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from hashlib import sha256
+    def work():
+        both = codec(lines, public_tokenizers.PATTERN)
+
+        def apply(texts: pa.Array) -> list[pa.Array]:
+            offsets, ids = both.encode(texts)
+            edges, data = _buffers(both.decode(offsets, ids))
+            ids, ends = memoryview(ids.astype("<u4").tobytes()), (offsets * 4).tolist()
+            data, edges = memoryview(data.tobytes()), edges.tolist()
+            return [
+                pa.array(np.diff(offsets), pa.int64()),
+                pa.array([sha256(ids[a:b]).hexdigest() for a, b in pairwise(ends)], pa.string()),
+                pa.array([sha256(data[a:b]).hexdigest() for a, b in pairwise(edges)], pa.string()),
+            ]
 
-        for batch in batches:
-            lists, texts = batch.column(1), batch.column(2)
-            arrays = [x.values.to_numpy().astype("<u4").tobytes() for x in lists]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(x) // 4 for x in arrays], pa.int64()),
-                    pa.array([sha256(x).hexdigest() for x in arrays], pa.string()),
-                    pa.array([sha256(x.as_buffer()).hexdigest() for x in texts], pa.string()),
-                ],
-                names=schema.names,
-            )
-
-    return decoded.mapInArrow(digest, schema)
+        return apply
+
+    return add_columns(rows, "text", fields, work, limit=SLICE, arrow=True).drop("text")

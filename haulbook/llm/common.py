@@ -79,13 +79,13 @@ def crc_fold(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """``batch`` in runs of rows whose texts have about SLICE_CHARS bytes; a longer text is a run alone."""
+def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose texts have about ``limit`` bytes; a longer text is a run alone."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, size in enumerate(sizes):
-        if i > start and total + size > SLICE_CHARS:
+        if i > start and total + size > limit:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += int(size)
@@ -94,12 +94,17 @@ def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
 
 
 def add_columns(
-    df: DataFrame, text: str, fields: list[T.StructField], work: Callable[[], Callable[[list], list[pa.Array]]]
+    df: DataFrame,
+    text: str,
+    fields: list[T.StructField],
+    work: Callable[[], Callable[[list | pa.Array], list[pa.Array]]],
+    limit: int = SLICE_CHARS,
+    arrow: bool = False,
 ) -> DataFrame:
     """``df`` with columns computed in Python from the whole texts in ``text``; no shuffle.
 
-    ``work()`` is called once per task and gives the function from a list of texts (or nulls) to one
-    Arrow array per field. Columns of ``df`` with the name of a new one are replaced.
+    ``work()`` is called once per task and gives the function from a list of texts (or nulls), with ``arrow``
+    an Arrow array of them, to one Arrow array per field. Columns of ``df`` with the name of a new one are replaced.
     """
     new = {f.name.lower() for f in fields}
     if text.lower() in new:
@@ -110,9 +115,9 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply, names = work(), [f.name for f in fields]
         for batch in batches:
-            for part in slices(batch, text):
-                texts = part.column(part.schema.get_field_index(text)).to_pylist()
-                arrays = [*part.columns, *apply(texts)]
+            for part in slices(batch, text, limit):
+                texts = part.column(part.schema.get_field_index(text))
+                arrays = [*part.columns, *apply(texts if arrow else texts.to_pylist())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, *names])
 
     return kept.mapInArrow(run, schema)

@@ -5,6 +5,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -43,6 +44,14 @@ def test_bpe_equals_the_library_on_odd_texts(shipped):
     assert {r.doc_id: r.token_ids for r in rows} == {i: known.encode_ordinary(t or "") for i, t in enumerate(ODD)}
 
 
+def test_bpe_decodes_what_it_encodes(shipped):
+    df = bpe.with_tokens(documents(shipped, ODD))
+    rows = bpe.with_decoded(df.withColumn("decoded", F.lit(1))).orderBy("doc_id").collect()
+    assert [bytes(r.decoded).decode() for r in rows] == [t or "" for t in ODD]
+    nothing = df.select("doc_id", F.lit(None).cast("array<int>").alias("token_ids"))
+    assert bytes(bpe.with_decoded(nothing).first().decoded) == b""
+
+
 def test_bpe_round_trip_on_the_sample(shipped, small):
     known, texts = reference(), {}
     for r in shipped.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect():
@@ -58,17 +67,21 @@ def test_bpe_round_trip_on_the_sample(shipped, small):
 def test_bpe_long_text_is_cut_where_words_end():
     codec, known = bpe.codec(bpe.rank_file(), public_tokenizers.PATTERN), reference()
     text = "Some words, a\n\nfew   more don't 12 " * 200_000
-    ids = codec.encode([text])[0]
-    assert np.frombuffer(ids, "<u4").tolist() == known.encode_ordinary(text)
-    assert codec.decode([np.frombuffer(ids, "<u4")])[0] == text.encode()
+    offsets, ids = codec.encode(pa.array([text, None, "x"]))
+    assert offsets.tolist() == [0, len(ids) - 1, len(ids) - 1, len(ids)]
+    assert ids[:-1].tolist() == known.encode_ordinary(text)
+    assert codec.decode(offsets, ids).to_pylist() == [text.encode(), b"", b"x"]
 
 
 def test_bpe_decodes_any_ids_and_refuses_unknown_ones():
     codec = bpe.codec(bpe.rank_file(), public_tokenizers.PATTERN)
     ids = np.random.default_rng(1).integers(0, 50_256, 20_000)
-    assert codec.decode([ids, None, []]) == [reference().decode_bytes(ids.tolist()), b"", b""]
+    offsets = np.array([0, 0, 7, 7, 20_000, 20_000])
+    expected = [reference().decode_bytes(ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:])]
+    assert codec.decode(offsets, ids).to_pylist() == expected
+    assert codec.decode(np.array([0, 0]), np.array([], int)).to_pylist() == [b""]
     with pytest.raises(ValueError):
-        codec.decode([np.array([50_256])])
+        codec.decode(np.array([0, 1]), np.array([50_256]))
 
 
 def test_language_of_held_out_documents(shipped, small):
