@@ -66,9 +66,10 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
 
     A side that is already partitioned by ``keys`` (an aggregate) would be used as it is, and adaptive
     execution splits a hot key only between two fresh shuffles. A hash of the keys as a further join
-    column makes Spark shuffle both.
+    column makes Spark shuffle both. Keys must hash alike where they are equal: no floating-point zeros of either sign.
     """
-    tag, name = F.xxhash64(*keys), "_tag"
+    kinds = left.select(*keys).union(right.select(*keys)).schema  # the types in which both are compared
+    tag, name = F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in kinds]), "_tag"
     while name in left.columns or name in right.columns:
         name = f"_{name}"
     return left.withColumn(name, tag).join(right.withColumn(name, tag), [name, *keys], how).drop(name)

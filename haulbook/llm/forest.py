@@ -96,6 +96,7 @@ def usable(df: DataFrame, id_column: str, vector: str) -> DataFrame:
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0))
     rows = rows.filter(F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0))
+    rows = rows.withColumn("v", F.transform("v", lambda x: F.when(x == 0, 0.0).otherwise(x)))  # one kind of zero
     sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), F.desc("n"))
     most = sizes.first()
     return rows.filter(F.size("v") == (most["n"] if most else 0)).distinct()
