@@ -23,5 +23,14 @@ def days_before(as_of: Column | date | str | None, days: int) -> Column:
 
 
 def iso_utc(ts: Column) -> Column:
-    """ISO-8601 text with milliseconds (cut, not rounded) and a Z; the session zone must be UTC."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """ISO-8601 text of the instant in UTC, with milliseconds (cut, not rounded) and a Z.
+
+    A timestamp with a zone is the same instant in any session; one without is local time of the session zone, and
+    an hour that the zone skips counts as the one after it. The text is made from the microseconds since 1970, so
+    no step depends on the session zone again.
+    """
+    micros = F.unix_micros(ts.cast("timestamp"))
+    since = F.make_dt_interval(secs=(micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)"))
+    text = (F.lit("1970-01-01").cast("timestamp_ntz") + since).cast("string")
+    millis = F.lpad(F.pmod(F.floor(micros / F.lit(1000)), F.lit(1000)).cast("string"), 3, "0")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis, F.lit("Z"))

@@ -48,8 +48,9 @@ def not_blank(column: Column, *blanks: str) -> Column:
 
 
 def without_listed(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
-    """``column NOT IN (list)`` for a list held as a table: null values of ``column`` go as well.
+    """Rows whose ``column`` is known and not in a list held as a table.
 
+    A null in the list is no address and excludes nothing, where SQL's NOT IN would return no row at all.
     The list is compared as stored (case and spaces count). It is broadcast only if Spark finds it
     below ``spark.sql.autoBroadcastJoinThreshold``; a longer list becomes a shuffled anti join.
     """

@@ -1,7 +1,7 @@
 """Left joins that stay balanced when one key holds a large share of the rows.
 
-Adaptive execution splits a skewed partition only if both join inputs come straight from a shuffle.
-Several joins here read an aggregate, or reuse an existing partitioning, so they need their own way.
+Adaptive execution splits a skewed partition only between two shuffles that were made for the join. A side
+that is an aggregate, or that already has the partitioning, gets no such shuffle, so the joins here ask for one.
 """
 
 from __future__ import annotations
@@ -11,84 +11,72 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SLOT = 250_000  # a key above this many rows is split; of wide rows that is some 250 MB
-MAX_HOT_KEYS = 1024  # so a key left unsplit holds under 1/1024 of the rows; bounds the broadcast
-NULL_SLOTS = 4096
-FANOUT_SLOTS = 1024
+ROWS_PER_SLOT = 250_000  # fewer matches of one key are left to one task
 COPIES_PER_PIECE = 1_000  # identical rows travel as one row with a count up to this
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_slot: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """The heaviest keys and the number of slots to spread each over; at most ``max_keys`` rows.
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` with hot keys and null keys of ``left`` spread out.
 
-    The count is combined before the shuffle, and any subset of keys gives a correct join, so the
-    limit decides only how far the work is spread, never the result.
+    A hash of the keys is a further join column, so that Spark shuffles both sides for this join (or
+    broadcasts a right side it has measured to be small) and adaptive execution may split any number of hot
+    keys of ``left``, whatever their size. Where a key is null the hash is of ``spread``: such rows
+    match nothing and are dealt over all tasks. The hash depends on the row alone, so a task that is run again
+    deals its rows in the same way. Keys may differ in integer or text type between the sides, but must not be
+    floating-point numbers, of which equal ones can hash differently.
     """
-    return (
-        df.dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > rows_per_slot)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(max_keys)
-        .select(*keys, F.ceil(F.col("_rows") / rows_per_slot).cast("int").alias("_slots"))
-    )
+    null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    kinds = left.select(*keys).union(right.select(*keys)).schema  # the types in which both are compared
+    tag = F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in kinds])
+    tagged = left.withColumn("_tag", F.when(null_key, F.xxhash64(*spread)).otherwise(tag))
+    known = right.dropna(subset=keys).withColumn("_tag", tag)
+    return tagged.join(known, ["_tag", *keys], "left").drop("_tag")
+
 
+def fanout_keys(counted: DataFrame, keys: list[str], rows: Column, rows_per_slot: int) -> DataFrame:
+    """Keys with more than ``rows_per_slot`` matches and the number of slots for them.
 
-def lookup_join(
+    At least a tenth of what a partition holds on average counts as many, so there are at most ten such keys for
+    each partition, however many rows there are.
+    """
+    partitions = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_key = counted.groupBy(*keys).agg(F.sum(rows).alias("_rows"))
+    share = per_key.agg((F.sum("_rows") / (10 * partitions)).alias("share")).scalar()
+    size = F.greatest(F.lit(float(rows_per_slot)), F.coalesce(share, F.lit(0.0)))
+    slots = F.ceil(F.col("_rows") / size).cast("int").alias("_slots")
+    return per_key.filter(F.col("_rows") > size).select(*keys, slots)
+
+
+def fanout_join(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
     spread: list[str],
-    counted: DataFrame | None = None,
+    copies_per_piece: int | None = None,
     rows_per_slot: int | None = None,
 ) -> DataFrame:
-    """``left LEFT JOIN right USING (keys)`` with hot keys and null keys of ``left`` spread out.
-
-    Hot left rows get a slot from a hash of ``spread`` (columns that differ between the rows of one
-    key) and of the input partition, which also parts exact copies and is the same again when a task
-    is rerun. The matching right rows are repeated once per slot; all other keys keep one slot.
-    ``counted`` is a cheaper table with the same keys to find the hot ones in.
-    """
-    hot = F.broadcast(hot_keys(left if counted is None else counted, keys, rows_per_slot or ROWS_PER_SLOT))
-    row_hash = F.xxhash64(*spread, F.spark_partition_id())
-    null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    slot = (
-        F.when(null_key, F.pmod(row_hash, F.lit(NULL_SLOTS)))
-        .when(F.col("_slots").isNotNull(), F.pmod(row_hash, F.col("_slots")))
-        .otherwise(0)
-        .cast("int")
-    )
-    slotted_left = left.join(hot, keys, "left").withColumn("_slot", slot).drop("_slots")
-    every_slot = F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1)
-    slotted_right = (
-        right.dropna(subset=keys).join(hot, keys, "left").withColumn("_slot", F.explode(every_slot)).drop("_slots")
-    )
-    return slotted_left.join(slotted_right, [*keys, "_slot"], "left").drop("_slot")
-
-
-def fanout_join(left: DataFrame, right: DataFrame, keys: list[str], copies_per_piece: int | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` where one key may match very many right rows.
 
-    Equal right rows are counted instead of carried, in pieces of bounded size, and the pieces are
-    dealt into slots by a hash. Each left row is first joined to the slots its key occupies (never
-    more than its matches), then to the pieces in each slot, so the matches of one key are produced
-    by many tasks; last, the counted copies are written out. The second join always shuffles: with a
-    broadcast, the task that holds a left row would produce all its matches.
+    Equal right rows are counted instead of carried, in pieces of bounded size. The pieces of a key with
+    very many are dealt into slots, and left rows of such a key repeat once per slot, so that its matches are
+    produced by many tasks; a slot without a piece adds nothing. There are few such keys (see ``fanout_keys``), so
+    their list is broadcast and ``left`` is shuffled once. Last, the counted copies are written out.
     """
     size = copies_per_piece or COPIES_PER_PIECE
     counted = right.dropna(subset=keys).groupBy(*right.columns).agg(F.count("*").alias("_copies"))
     last_piece = F.ceil(F.col("_copies") / size).cast("int") - 1
-    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), last_piece)))
-    dealt = pieces.select(
-        *right.columns,
-        F.least(F.lit(size), F.col("_copies") - F.col("_piece") * size).cast("int").alias("_copies"),
-        F.pmod(F.xxhash64(*right.columns, "_piece"), F.lit(FANOUT_SLOTS)).alias("_slot"),
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), last_piece))).withColumn(
+        "_copies", F.least(F.lit(size), F.col("_copies") - F.col("_piece") * size).cast("int")
     )
-    occupied = dealt.select(*keys, "_slot").distinct()
-    joined = left.join(occupied, keys, "left").join(dealt.hint("merge"), [*keys, "_slot"], "left")
+    many = F.broadcast(fanout_keys(counted, keys, F.col("_copies"), rows_per_slot or ROWS_PER_SLOT))
+    slots = F.coalesce(F.col("_slots"), F.lit(1))
+    dealt = pieces.join(many, keys, "left").withColumn("_slot", F.pmod(F.xxhash64(*right.columns, "_piece"), slots))
+    every_slot = F.explode(F.sequence(F.lit(0).cast("long"), slots.cast("long") - 1))
+    slotted = left.join(many, keys, "left").withColumn("_slot", every_slot)
+    joined = lookup_join(slotted, dealt.drop("_slots", "_piece"), [*keys, "_slot"], spread)
+    found = joined.filter(F.col("_slots").isNull() | F.col("_copies").isNotNull())
     every_copy = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1))))
-    return joined.withColumn("_copy", every_copy).drop("_slot", "_copies", "_copy")
+    return found.withColumn("_copy", every_copy).drop("_slot", "_slots", "_copies", "_copy")
 
 
 def exists_flag(

@@ -11,8 +11,8 @@ def latest_per_key(df: DataFrame, key: str, newest: str, tiebreak: list[Column]
 
     ``row_number() = 1`` is planned with a per-task top-1 before the shuffle, so a key holding a
     large share of the rows sends one row per task. Ties go to ``tiebreak``, by default to a hash of
-    the whole row, so that a recomputed task picks the same row again.
+    the whole row and of where it is null, so that a recomputed task picks the same row again.
     """
-    ties = tiebreak or [F.xxhash64(*df.columns)]
+    ties = tiebreak or [F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns])]
     order = Window.partitionBy(key).orderBy(F.col(newest).desc_nulls_last(), *ties)
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulbook.functions import list_text
-from haulbook.operators.joins import exists_flag
 
 
 def _sorted_text(values: Column) -> Column:
@@ -29,40 +28,22 @@ def listagg_distinct(df: DataFrame, key: str, value: str, name: str) -> DataFram
     return df.select(key, value).distinct().groupBy(key).agg(_sorted_text(F.collect_list(value)).alias(name))
 
 
-def _row_text(values: Column) -> Column:
-    """Sorted list text of the distinct non-null elements of one array."""
-    return _sorted_text(F.array_distinct(F.filter(values, lambda v: v.isNotNull())))
-
-
-def _merged_lists(rows: DataFrame, key: str, arrays: dict[str, str]) -> DataFrame:
-    """The list columns of keys with several rows.
-
-    The arrays are laid end to end (each element tagged with its list) and unnested once; elements
-    are de-duplicated per key inside each task, so what is shuffled and collected for a key is what
-    its output cells hold.
-    """
-    tagged = F.concat(*[_tagged(F.col(a), i) for i, a in enumerate(arrays)])
-    sets = [
-        _sorted_text(F.collect_set(F.when(F.col("item.list") == i, F.col("item.element")))).alias(name)
-        for i, name in enumerate(arrays.values())
-    ]
-    return rows.select(key, F.explode(tagged).alias("item")).groupBy(key).agg(*sets)
-
-
 def array_list_columns(df: DataFrame, key: str, arrays: dict[str, str]) -> DataFrame:
     """Per key, one sorted ``;`` list of distinct elements for each of several array columns.
 
     ``arrays`` maps input columns to output names. A row counts only if *all* its arrays are
     non-empty: unnesting them side by side leaves nothing of a row with an empty one. The cross
-    product of the arrays is never formed. A key with one such row, the usual case, needs array
-    functions only; the rows of other keys are merged.
+    product of the arrays is never formed: they are laid end to end (each element tagged with its list)
+    and unnested once. Elements are de-duplicated per key inside each task, so there is one read and one shuffle, and what
+    is shuffled and collected for a key is what its output cells hold.
     """
     complete = df.filter(reduce(Column.__and__, [F.size(F.col(a)) > 0 for a in arrays])).select(key, *arrays)
-    repeated = complete.dropna(subset=[key]).groupBy(key).agg(F.count("*").alias("_rows")).filter("_rows > 1")
-    flagged = exists_flag(complete, repeated, key, "_repeated", spread=list(arrays))
-    merge = F.col("_repeated") | F.col(key).isNull()
-    single = flagged.filter(~merge).select(key, *[_row_text(F.col(a)).alias(name) for a, name in arrays.items()])
-    return single.unionByName(_merged_lists(flagged.filter(merge), key, arrays))
+    tagged = F.concat(*[_tagged(F.col(a), i) for i, a in enumerate(arrays)])
+    sets = [
+        _sorted_text(F.collect_set(F.when(F.col("item.list") == i, F.col("item.element")))).alias(name)
+        for i, name in enumerate(arrays.values())
+    ]
+    return complete.select(key, F.explode(tagged).alias("item")).groupBy(key).agg(*sets)
 
 
 def tag_rows(df: DataFrame, key: str, array: str, pattern: str, name: str) -> DataFrame:

@@ -44,7 +44,7 @@ def route_history(
     }
     for key, lookup in lookups.items():
         spread = [c for c in runs.columns if c != key]
-        named = lookup_join(named, lookup, [key], spread, counted=routes)
+        named = lookup_join(named, lookup, [key], spread)
     return named.select(
         "driver_external_id",
         F.col("carrier").alias("carrier_id"),
@@ -67,11 +67,9 @@ def active_route_drivers(
         .groupBy("driver_id", "route_template_id")
         .agg(F.max("fulfilled_on").alias("fulfilled_on"))
     )
-    named = (
-        latest.join(_template_ids(templates), "route_template_id", "left")
-        .join(_driver_ids(drivers), "driver_id", "left")
-        .select("driver_external_id", F.col("template").alias("route_template_id"), "fulfilled_on")
-    )
+    named = lookup_join(latest, _template_ids(templates), ["route_template_id"], ["driver_id"])
+    named = lookup_join(named, _driver_ids(drivers), ["driver_id"], ["route_template_id"])
+    named = named.select("driver_external_id", F.col("template").alias("route_template_id"), "fulfilled_on")
     first = latest_per_key(named, "driver_external_id", "fulfilled_on", [F.col("route_template_id").asc_nulls_last()])
     return first.select("driver_external_id", "route_template_id", F.lit(True).alias("active"))
 

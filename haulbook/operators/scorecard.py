@@ -1,8 +1,8 @@
 """30-day performance scorecard of a carrier or a driver.
 
 Each metric is aggregated on its own before it is joined, so the joins see one row per entity. The
-two joins between fact tables are on delivery ids; both sides are reduced to one row per id (and
-entity) with a count first, which keeps a repeated id from multiplying rows or filling one task.
+two joins between fact tables are on delivery ids: the rows of the window are shuffled once, to a
+table of one row per id, which keeps a repeated id from multiplying rows; a hot id can be split.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from haulbook.operators.filters import (
     in_lookback,
     scored_deliveries,
 )
+from haulbook.operators.joins import lookup_join
 
 CARRIER = "carrier_external_id"
 DRIVER = "driver_external_id"
@@ -40,7 +41,7 @@ def completions(deliveries: DataFrame, violations: DataFrame, entity: str = CARR
     """
     by = [entity, DRIVER] if entity == CARRIER else [entity]
     recent = in_lookback(finished_deliveries(deliveries, entity), as_of, days)
-    per_delivery = recent.groupBy("delivery_external_id", *by).agg(F.count("*").alias("n"))
+    rows = recent.select("delivery_external_id", *by)
     inaccurate = (
         in_lookback(scored_deliveries(violations), as_of, days)
         .filter(F.col("violation_type_code").isin(ACCURACY_VIOLATIONS))
@@ -49,12 +50,12 @@ def completions(deliveries: DataFrame, violations: DataFrame, entity: str = CARR
         .withColumn("inaccurate", F.lit(True))
     )
     metrics = [
-        F.sum("n").alias("completed_deliveries"),
-        F.sum(F.when(F.col("inaccurate").isNull(), F.col("n")).otherwise(0)).alias("accurate_deliveries"),
+        F.count("*").alias("completed_deliveries"),
+        F.count_if(F.col("inaccurate").isNull()).alias("accurate_deliveries"),
     ]
     if entity == CARRIER:
         metrics.append(F.count_distinct(DRIVER).alias("driver_count"))
-    return per_delivery.join(inaccurate, "delivery_external_id", "left").groupBy(entity).agg(*metrics)
+    return lookup_join(rows, inaccurate, ["delivery_external_id"], by).groupBy(entity).agg(*metrics)
 
 
 def distinct_drivers(deliveries: DataFrame, as_of=None, days: int = 30) -> DataFrame:
@@ -87,11 +88,11 @@ def completion_violations(violations: DataFrame, entity: str = CARRIER, as_of=No
 def on_time(deliveries: DataFrame, etas: DataFrame, entity: str = CARRIER, as_of=None, days: int = 30) -> DataFrame:
     """Share of ETA rows picked up and dropped off on time, for completed deliveries in the window.
 
-    An unknown delta counts in the denominator only. Rows that share a delivery id pair up, so the
-    counts are products of the counts per id; no pair is ever built.
+    An unknown delta counts in the denominator only. Rows that share a delivery id pair up, so each
+    delivery adds the counts of its id; no pair is ever built.
     """
     recent = in_lookback(finished_deliveries(deliveries, entity), as_of, days)
-    per_delivery = recent.groupBy("delivery_id", entity).agg(F.count("*").alias("n"))
+    rows = recent.filter(F.col("delivery_id").isNotNull()).select("delivery_id", entity)
     per_eta = (
         etas.filter(F.col("delivery_id").isNotNull())
         .groupBy("delivery_id")
@@ -101,8 +102,8 @@ def on_time(deliveries: DataFrame, etas: DataFrame, entity: str = CARRIER, as_of
             F.count_if(F.col("seconds_to_destination_delta").between(*DROPOFF_ON_TIME)).alias("dropoffs"),
         )
     )
-    total = per_delivery.join(per_eta, "delivery_id").groupBy(entity)
-    counts = total.agg(*[F.sum(F.col("n") * F.col(c)).alias(c) for c in ("etas", "pickups", "dropoffs")])
+    known = lookup_join(rows, per_eta, ["delivery_id"], [entity]).filter(F.col("etas").isNotNull())
+    counts = known.groupBy(entity).agg(*[F.sum(c).alias(c) for c in ("etas", "pickups", "dropoffs")])
     return counts.select(
         entity,
         F.col("etas").alias("eta_delivery_count"),
@@ -116,17 +117,37 @@ def completion_rate(done: Column, failed: Column) -> Column:
 
 
 # Counts are zero for an entity without rows; rates and on-time figures are null.
-COUNTS = "driver_count completed_deliveries completion_violations accurate_deliveries rated_deliveries".split()
+# The column names.
+CARRIER_CARD = {
+    "scorecard_driver_count__c": True,
+    "scorecard_completed_deliveries__c": True,
+    "scorecard_completion_violations__c": True,
+    "scorecard_completion_rate__c": False,
+    "scorecard_accurate_deliveries__c": True,
+    "scorecard_delivery_accuracy__c": False,
+    "scorecard_avg_customer_rating__c": False,
+    "scorecard_rated_deliveries__c": True,
+    "scorecard_eta_delivery_count__c": False,
+    "scorecard_pickup_ontime_percent__c": False,
+    "scorecard_dropoff_ontime_percent__c": False,
+}
+DRIVER_CARD = {
+    "scorecard_completed_deliveries__c": True,
+    "scorecard_completion_violations__c": True,
+    "scorecard_completion_rate__c": False,
+    "scorecard_accurate_deliveries__c": True,
+    "scorecard_delivery_accuracy__c": False,
+    "scorecard_average_customer_rating__c": False,
+    "scorecard_rated_deliveries__c": True,
+    "scorecard_eta_delivery_count__c": False,
+    "scorecard_pickup_ontime_percent__c": False,
+    "scorecard_dropoff_ontime_percent__c": False,
+}
 
 
 def scorecard_columns(entity: str) -> dict[str, bool]:
     """Names of the scorecard columns in output order, and whether each is a count."""
-    names = "completed_deliveries completion_violations completion_rate accurate_deliveries delivery_accuracy"
-    names += " avg_customer_rating" if entity == CARRIER else " average_customer_rating"
-    names += " rated_deliveries eta_delivery_count pickup_ontime_percent dropoff_ontime_percent"
-    if entity == CARRIER:
-        names = "driver_count " + names
-    return {f"scorecard_{name}__c": name in COUNTS for name in names.split()}
+    return dict(CARRIER_CARD if entity == CARRIER else DRIVER_CARD)
 
 
 def _or_zero(name: str) -> Column:

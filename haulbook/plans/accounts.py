@@ -10,18 +10,7 @@ from pyspark.sql import functions as F
 from haulbook.functions import account_record_type, account_title, domain_list
 from haulbook.operators.filters import live_rows
 from haulbook.operators.joins import lookup_join
-from haulbook.plans.layout import SUFFIX, Out, format_own, same, select_layout
-
-GRADED = [
-    ("Box_Trucks", "box_truck"),
-    ("Cars_SUVs", "car_suv"),
-    ("Cargos_Sprinters", "cargo_sprinter"),
-    ("Open_Decks", "opendeck"),
-    ("Serviceability", "overall"),
-    ("Tractor_Trailers", "tractor"),
-    ("Trucks", "truck"),
-]
-SCORE_ALIAS = {"Serviceability": "Serviceability_Score"}
+from haulbook.plans.layout import Out, format_own, same, select_layout
 
 LAYOUT = [
     Out("pk", "account_external_id"),
@@ -38,17 +27,34 @@ LAYOUT = [
     Out("CBSA__c", "location_cbsa_name"),
     Out("Latitude__c", "location_latitude", "round3"),
     Out("Longitude__c", "location_longitude", "round3"),
-    *[
-        Out(f"Location_{name}{SUFFIX}", name.lower(), "iso")
-        for name in "First_Signup First_Ordered_At First_Order_Booked_At Last_Ordered_At Last_Order_Booked_At".split()
-    ],
+    Out("Location_First_Signup__c", "first_signup", "iso"),
+    Out("Location_First_Ordered_At__c", "first_ordered_at", "iso"),
+    Out("Location_First_Order_Booked_At__c", "first_order_booked_at", "iso"),
+    Out("Location_Last_Ordered_At__c", "last_ordered_at", "iso"),
+    Out("Location_Last_Order_Booked_At__c", "last_order_booked_at", "iso"),
     Out("Location_Pending_Invites__c", "pending_invites"),
     Out("Total_Revenue__c", "total_revenue_dollars"),
-    *[Out(f"Total_{kind}_Revenue__c", f"{kind.lower()}_revenue_dollars") for kind in ("Hotshot", "Route", "CMS")],
+    Out("Total_Hotshot_Revenue__c", "hotshot_revenue_dollars"),
+    Out("Total_Route_Revenue__c", "route_revenue_dollars"),
+    Out("Total_CMS_Revenue__c", "cms_revenue_dollars"),
     *same("total_orders"),
-    *[Out(f"Total_{kind}_Orders__c", f"{kind.lower()}_orders") for kind in ("Hotshot", "Route", "CMS")],
-    *[Out(SCORE_ALIAS.get(name, name) + SUFFIX, f"{source}_score", "round2") for name, source in GRADED],
-    *[Out(f"{name}_Grade{SUFFIX}", f"{source}_grade") for name, source in GRADED],
+    Out("Total_Hotshot_Orders__c", "hotshot_orders"),
+    Out("Total_Route_Orders__c", "route_orders"),
+    Out("Total_CMS_Orders__c", "cms_orders"),
+    Out("Box_Trucks__c", "box_truck_score", "round2"),
+    Out("Cars_SUVs__c", "car_suv_score", "round2"),
+    Out("Cargos_Sprinters__c", "cargo_sprinter_score", "round2"),
+    Out("Open_Decks__c", "opendeck_score", "round2"),
+    Out("Serviceability_Score__c", "overall_score", "round2"),
+    Out("Tractor_Trailers__c", "tractor_score", "round2"),
+    Out("Trucks__c", "truck_score", "round2"),
+    Out("Box_Trucks_Grade__c", "box_truck_grade"),
+    Out("Cars_SUVs_Grade__c", "car_suv_grade"),
+    Out("Cargos_Sprinters_Grade__c", "cargo_sprinter_grade"),
+    Out("Open_Decks_Grade__c", "opendeck_grade"),
+    Out("Serviceability_Grade__c", "overall_grade"),
+    Out("Tractor_Trailers_Grade__c", "tractor_grade"),
+    Out("Trucks_Grade__c", "truck_grade"),
     Out("Churn_Priority_Score__c", "priority_score"),
     Out("Churn_Revenue_Last_90_Days__c", "revenue_last_90_days"),
     Out("Churn_Revenue_Prior_90_Day_Period__c", "revenue_prior_90_days"),
@@ -85,15 +91,15 @@ def with_parent(profiles: DataFrame, accounts: DataFrame) -> DataFrame:
     return lookup_join(profiles, parents, ["account_id"], ["account_external_id"])
 
 
-def with_serviceability(profiles: DataFrame, serviceability: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def with_serviceability(profiles: DataFrame, serviceability: DataFrame) -> DataFrame:
     """Add scores and grades of the zip code; a zip listed twice repeats the row."""
     measures = [c for c in serviceability.columns if c != "zip_code"]
     zips = serviceability.select(F.col("zip_code").alias("location_zip_code"), *measures)
-    return lookup_join(profiles, zips, ["location_zip_code"], ["account_external_id"], counted=counted)
+    return lookup_join(profiles, zips, ["location_zip_code"], ["account_external_id"])
 
 
-def with_churn_risk(profiles: DataFrame, churn_risk: DataFrame, counted: DataFrame | None = None) -> DataFrame:
-    return lookup_join(profiles, churn_risk, ["account_external_id"], ["account_id"], counted=counted)
+def with_churn_risk(profiles: DataFrame, churn_risk: DataFrame) -> DataFrame:
+    return lookup_join(profiles, churn_risk, ["account_external_id"], ["account_id"])
 
 
 def accounts_model(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -103,10 +109,12 @@ def accounts_model(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     # Parent and domains hang on the same id: join them to each other (narrow) and to the wide
     # profiles once.
-    lineage = account_domains(accounts).distinct().join(live_parents(accounts).distinct(), "account_id", "left")
-    wide = lookup_join(own, lineage, ["account_id"], ["account_external_id"], counted=profiles)
-    wide = with_serviceability(wide, tables["serviceability"], counted=profiles)
-    wide = with_churn_risk(wide, tables["churn_risk"], counted=profiles)
+    lineage = lookup_join(
+        account_domains(accounts).distinct(), live_parents(accounts).distinct(), ["account_id"], ["domain_list"]
+    )
+    wide = lookup_join(own, lineage, ["account_id"], ["account_external_id"])
+    wide = with_serviceability(wide, tables["serviceability"])
+    wide = with_churn_risk(wide, tables["churn_risk"])
 
     family = F.col("account_type"), F.col("parent_external_id")
     finished = wide.withColumns(

@@ -49,6 +49,7 @@ LAYOUT = [
     *with_counts(scorecard_columns(CARRIER)),
 ]
 KEPT = ["external_id", "email_address"]
+PAIR = ["_id", "_mail", "_id_null", "_mail_null"]
 
 
 def named_carriers(carriers: DataFrame) -> DataFrame:
@@ -60,13 +61,21 @@ def with_owner(carriers: DataFrame, drivers: DataFrame) -> DataFrame:
     owners = drivers.filter(F.col("carrier_permissions") == "owner").select(
         "email_address", F.col("carrier_external_id").alias("external_id"), "driver_external_id"
     )
-    return fanout_join(carriers, owners, ["email_address", "external_id"])
+    return fanout_join(carriers, owners, ["email_address", "external_id"], ["external_id"])
+
+
+def _paired(df: DataFrame) -> DataFrame:
+    """Id and e-mail as columns without nulls, so that rows with a null one meet as well."""
+    pair = {"_id": "external_id", "_mail": "email_address"}
+    columns = {k: F.coalesce(F.col(c), F.lit("")) for k, c in pair.items()}
+    return df.withColumns(columns | {f"{k}_null": F.col(c).isNull() for k, c in pair.items()})
 
 
 def carriers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) -> DataFrame:
     """79 columns. A carrier repeats per owner, and per name it was recently active under.
 
-    All metrics meet on a narrow table of distinct carrier ids; the wide carrier rows join it once.
+    Metrics, names and owners meet on narrow tables of the distinct ids and e-mails; the wide carrier rows
+    are shuffled once, to join all of it.
     """
     carriers = named_carriers(tables["carriers"])
     deliveries, violations = tables["deliveries"], tables["violations"]
@@ -77,5 +86,7 @@ def carriers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30)
         active.select(F.col(CARRIER).alias("external_id")), "external_id", "left"
     )
     own = format_own(carriers, LAYOUT, KEPT)
-    scored = lookup_join(own, metrics, ["external_id"], ["email_address"], counted=carriers)
-    return select_layout(with_owner(scored, tables["drivers"]), LAYOUT)
+    owned = with_owner(carriers.select(*KEPT).distinct(), tables["drivers"])
+    facts = lookup_join(owned, metrics, ["external_id"], ["email_address"])
+    wide = fanout_join(_paired(own), _paired(facts).drop(*KEPT), PAIR, KEPT)
+    return select_layout(wide, LAYOUT)

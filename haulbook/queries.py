@@ -211,7 +211,7 @@ def distinct_rows(deliveries):
 
 @on("account_profiles", "serviceability", "churn_risk")
 def dimension_enrich(profiles, serviceability, churn_risk):
-    df = with_churn_risk(with_serviceability(profiles, serviceability), churn_risk, profiles)
+    df = with_churn_risk(with_serviceability(profiles, serviceability), churn_risk)
     return df.select("account_id", F.col("location_zip_code").alias("zip_code"), "overall_grade", "priority_score")
 
 

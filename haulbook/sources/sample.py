@@ -5,6 +5,8 @@ Every expression is SQL that Spark and the oracle engine read alike, so both see
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from haulbook.sources.tables import COLUMNS
@@ -40,13 +42,15 @@ def pick(values: list[str | None], key: str) -> str:
 
 
 def filler(kind: str, column: str, key: str) -> str:
-    """Stand-in expression for a column the sample says nothing about."""
+    """Stand-in expression for a column the sample says nothing about; another one for each column."""
+    n = zlib.crc32(column.encode()) % 99_991
+    clock = f"{n % 24:02}:{n // 24 % 60:02}:{n // 1440 % 60:02}.125"
     return {
         "string": f"concat('{column}-', {key})",
-        "bigint": f"cast({key} % 97 as bigint)",
-        "double": f"cast({key} % 1000 as double) / 8",
-        "boolean": f"case {key} % 3 when 0 then true when 1 then false else null end",
-        "timestamp": june_morning(key),
+        "bigint": f"cast({key} % 97 + {n} as bigint)",
+        "double": f"cast({key} % 1000 + {n} as double) / 8",
+        "boolean": f"case when ({key} + {n % 5}) % 5 = 0 then null else ({key} + {n % 61}) % {7 + n % 53} < {3 + n % 4} end",
+        "timestamp": f"cast(concat('2001-06-0', {key} % 9 + 1, ' {clock}') as timestamp)",
     }[kind]
 
 

@@ -2,14 +2,14 @@
 
 The rules are written a second time here, in another shape where there is one: patterns sit in a
 table instead of a CASE, fact rows are joined one by one instead of by counts, membership is an IN
-list instead of a join. Shared with the pipelines are only the sample data and the plain renames.
+list instead of a join. Shared with the pipelines are only the sample data; names and sources are in contract.py.
 """
 
 from __future__ import annotations
 
-from haulbook.plans import accounts, carriers, drivers
-from haulbook.plans.layout import Out
+from haulbook.plans import drivers
 from haulbook.sources.sample import AS_OF, CSV_ARRAYS, SAMPLE, branch_expressions
+from oracle_checks import contract
 
 DAY = f"date '{AS_OF}'"
 RECENT = f"created_at >= {DAY} - 30"
@@ -20,13 +20,59 @@ FAILURE = """violation_type_code in ('self_unassignment', 'scheduled_delivery_fa
     'did_not_complete_multistop_delivery')"""
 
 # State names in test order, with postal codes.
-STATE_TABLE = """Alabama AL, Alaska AK, Arizona AZ, Arkansas AR, California CA, Colorado CO, Connecticut CT,
-Delaware DE, District Of Columbia DC, Florida FL, Georgia GA, Hawaii HI, Idaho ID, Illinois IL, Indiana IN, Iowa IA,
-Kansas KS, Kentucky KY, Louisiana LA, Maine ME, Maryland MD, Massachusetts MA, Michigan MI, Minnesota MN,
-Mississippi MS, Missouri MO, Montana MT, Nebraska NE, Nevada NV, New Hampshire NH, New Jersey NJ, New Mexico NM,
-New York NY, North Carolina NC, North Dakota ND, Ohio OH, Oklahoma OK, Oregon OR, Pennsylvania PA, Rhode Island RI,
-South Carolina SC, South Dakota SD, Tennessee TN, Texas TX, Utah UT, Vermont VT, Virginia VA, Washington WA,
-West Virginia WV, Wisconsin WI, Wyoming WY"""
+STATE_TABLE = [
+    ("Alabama", "AL"),
+    ("Alaska", "AK"),
+    ("Arizona", "AZ"),
+    ("Arkansas", "AR"),
+    ("California", "CA"),
+    ("Colorado", "CO"),
+    ("Connecticut", "CT"),
+    ("Delaware", "DE"),
+    ("District Of Columbia", "DC"),
+    ("Florida", "FL"),
+    ("Georgia", "GA"),
+    ("Hawaii", "HI"),
+    ("Idaho", "ID"),
+    ("Illinois", "IL"),
+    ("Indiana", "IN"),
+    ("Iowa", "IA"),
+    ("Kansas", "KS"),
+    ("Kentucky", "KY"),
+    ("Louisiana", "LA"),
+    ("Maine", "ME"),
+    ("Maryland", "MD"),
+    ("Massachusetts", "MA"),
+    ("Michigan", "MI"),
+    ("Minnesota", "MN"),
+    ("Mississippi", "MS"),
+    ("Missouri", "MO"),
+    ("Montana", "MT"),
+    ("Nebraska", "NE"),
+    ("Nevada", "NV"),
+    ("New Hampshire", "NH"),
+    ("New Jersey", "NJ"),
+    ("New Mexico", "NM"),
+    ("New York", "NY"),
+    ("North Carolina", "NC"),
+    ("North Dakota", "ND"),
+    ("Ohio", "OH"),
+    ("Oklahoma", "OK"),
+    ("Oregon", "OR"),
+    ("Pennsylvania", "PA"),
+    ("Rhode Island", "RI"),
+    ("South Carolina", "SC"),
+    ("South Dakota", "SD"),
+    ("Tennessee", "TN"),
+    ("Texas", "TX"),
+    ("Utah", "UT"),
+    ("Vermont", "VT"),
+    ("Virginia", "VA"),
+    ("Washington", "WA"),
+    ("West Virginia", "WV"),
+    ("Wisconsin", "WI"),
+    ("Wyoming", "WY"),
+]
 
 
 def adapter(table: str) -> str:
@@ -47,8 +93,7 @@ def adapter(table: str) -> str:
 
 def states_cte() -> str:
     rows = []
-    for order, entry in enumerate(STATE_TABLE.replace("\n", " ").split(", ")):
-        name, code = entry.strip().rsplit(" ", 1)
+    for order, (name, code) in enumerate(STATE_TABLE):
         rows.append(f"({order}, '%{name.lower().replace(' ', '%')}%', '{code}')")
     return f"states(rank, pattern, code) as (values {', '.join(rows)})"
 
@@ -87,7 +132,8 @@ def iso(x: str) -> str:
 
 
 def rounded(x: str, places: int) -> str:
-    return f"cast(round(cast({x} as decimal(18, 6)), {places}) as double)"
+    """Round the shortest text of the double, which a decimal holds exactly."""
+    return f"cast(round(cast(cast({x} as varchar) as decimal(38, 16)), {places}) as double)"
 
 
 def percent(part: str, whole: str) -> str:
@@ -124,7 +170,7 @@ BUILDERS = {
 }
 
 
-def layout_sql(layout: list[Out]) -> str:
+def layout_sql(layout: list[tuple[str, str, str]]) -> str:
     items = []
     for alias, source, form in layout:
         sql = BUILDERS[form](source) if form in BUILDERS else FORMATS[form].format(source)
@@ -387,7 +433,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "accounts_model": query(
             "account_profiles accounts serviceability churn_risk",
-            f"select distinct {layout_sql(accounts.LAYOUT)} from joined",
+            f"select distinct {layout_sql(contract.ACCOUNTS)} from joined",
             LIVE_PARENTS,
             states_cte(),
             f"""joined as (
@@ -403,7 +449,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "carriers_model": query(
             f"carriers drivers {facts} etas",
-            f"select {layout_sql(carriers.LAYOUT)} from joined",
+            f"select {layout_sql(contract.CARRIERS)} from joined",
             states_cte(),
             CARRIER_IDS,
             *scorecard(carrier),
@@ -418,7 +464,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "drivers_model": query(
             f"drivers {facts} etas routes route_templates route_drivers carriers email_exclusions",
-            f"select {layout_sql(drivers.LAYOUT)} from joined",
+            f"select {layout_sql(contract.DRIVERS)} from joined",
             states_cte(),
             DRIVER_IDS,
             *scorecard(driver),

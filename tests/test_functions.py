@@ -5,6 +5,9 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import ROUND_HALF_UP, Decimal
 
+from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +131,30 @@ def test_list_text_skips_nulls(spark):
 def test_as_of_defaults_to_today(spark):
     row = spark.range(1).select(fx.days_before(None, 30) == F.date_sub(F.current_date(), 30)).first()
     assert row[0] is True
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_iso_utc_in_any_session_zone(spark, zone):
+    """Instants are the same everywhere; a local time is one of the session zone, and a skipped hour the next."""
+    local = ["2024-06-01 12:00:00.9999", "2024-03-10 02:30:00", "1969-12-31 23:59:59.5", "2024-11-03 01:30:00"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in local], "t string").select("t", F.col("t").cast("timestamp_ntz").alias("ntz"))
+        rows = df.withColumn("ltz", F.col("ntz").cast("timestamp")).select(fx.iso_utc(F.col("ntz")), fx.iso_utc(F.col("ltz")), "t")
+        got = {r[2]: (r[0], r[1]) for r in rows.collect()}
+        same = spark.range(1).select(fx.iso_utc(F.timestamp_seconds(F.lit(1717257600.125)))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for text, (ntz, ltz) in got.items():
+        moment = datetime.fromisoformat(text).replace(tzinfo=ZoneInfo(zone)).astimezone(timezone.utc)
+        want = moment.strftime("%Y-%m-%dT%H:%M:%S.") + f"{moment.microsecond // 1000:03}Z"
+        assert ntz == ltz == want
+    assert same == "2024-06-01T16:00:00.125Z"
+
+
+def test_large_counts_and_amounts(spark):
+    df = spark.createDataFrame([(5 * 10**12, 5 * 10**12), (9 * 10**18, 9 * 10**18), (1, 3 * 10**18)], "n long, d long")
+    assert [r[0] for r in df.select(fx.exact_percent(F.col("n"), F.col("d"))).collect()] == [100.0, 100.0, 0.0]
+    values = [4.3449996, 0.1449999996, 1e13, 0.145, -0.145, 2.675, None]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select(fx.rounded(F.col("x"), 2)).collect()
+    assert [r[0] for r in rows] == [4.34, 0.14, 1e13, 0.15, -0.15, 2.68, None]

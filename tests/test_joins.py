@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from haulbook.operators.joins import exists_flag, fanout_join, hot_keys, lookup_join
+from haulbook.operators.joins import exists_flag, fanout_join, fanout_keys, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -22,45 +22,81 @@ def lookup(spark):
     return spark.createDataFrame(data, "k string, w string")
 
 
-@pytest.mark.parametrize("rows_per_slot", [10, 1_000_000])
-def test_lookup_join_equals_left_join(skewed, lookup, rows, rows_per_slot, shuffled_joins):
-    got = lookup_join(skewed, lookup, ["k"], ["v"], rows_per_slot=rows_per_slot)
+def test_lookup_join_equals_left_join(skewed, lookup, rows, shuffled_joins):
+    got = lookup_join(skewed, lookup, ["k"], ["v"])
     assert rows(got) == rows(skewed.join(lookup, "k", "left"))
 
 
+def test_lookup_join_of_different_integer_types(spark, rows, shuffled_joins):
+    left = spark.range(0, 9).select(F.col("id").cast("int").alias("k"), F.col("id").alias("v"))
+    right = spark.range(3, 12).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    assert rows(lookup_join(left, right, ["k"], ["v"])) == rows(left.join(right, "k", "left"))
+
+
 def test_lookup_join_with_two_keys(spark, rows, shuffled_joins):
     data = [("a", 1, i) for i in range(50)] + [(None, 1, 1), ("b", None, 2), ("b", 2, 3)]
     left = spark.createDataFrame(data, "x string, y int, z int")
     right = spark.createDataFrame([("a", 1, "w"), ("b", 2, "q"), (None, 1, "no")], "x string, y int, w string")
-    got = lookup_join(left, right, ["x", "y"], ["z"], rows_per_slot=5)
+    got = lookup_join(left, right, ["x", "y"], ["z"])
     assert rows(got) == rows(left.join(right, ["x", "y"], "left"))
 
 
-def test_hot_keys_are_bounded(skewed):
-    hot = hot_keys(skewed, ["k"], rows_per_slot=10, max_keys=3).collect()
-    assert len(hot) == 1 and hot[0].k == "hot" and hot[0]._slots == 20
-    assert len(hot_keys(skewed, ["k"], rows_per_slot=1, max_keys=3).collect()) == 3
+SPLIT = {
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+}
 
 
-def test_lookup_join_spreads_the_hot_key(spark, shuffled_joins):
-    """With shuffles only, no task gets most of a key that holds a third of the rows."""
-    left = spark.range(0, 30_000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 3 == 1, None).otherwise(F.col("id")).alias("k"),
-        F.lit("same").alias("v"),
-    )
+@pytest.fixture
+def split(spark, shuffled_joins):
+    """Adaptive execution at the scale of a test."""
+    before = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def task_rows(df):
+    """Rows that each task of the last join gives."""
+    tasks = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum("w"), F.max("v"))
+    return sorted(r.n for r in tasks.collect())
+
+
+@pytest.mark.parametrize("hot", [1, 20])
+def test_lookup_join_splits_every_hot_key(spark, split, hot):
+    """One key, or twenty, with a third of the rows, and null keys with a third."""
+    key = F.when(F.col("id") % 3 == 0, -1 - (F.col("id") / 3).cast("long") % hot)
+    key = key.when(F.col("id") % 3 == 1, None).otherwise(F.col("id"))
+    text = F.sha2(F.col("id").cast("string"), 256)  # does not compress, so bytes go by rows
+    left = spark.range(0, 120_000, 1, 16).select(key.alias("k"), text.alias("v"))
     right = left.select("k").dropna().distinct().withColumn("w", F.lit(1))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    try:
-        def largest(df):  # reads w, or the optimizer would drop the join
-            tasks = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum("w").alias("w"))
-            return tasks.agg(F.max("n"), F.sum("w")).first()[0]
+    tasks = task_rows(lookup_join(left, right, ["k"], ["v"]))
+    assert sum(tasks) == 120_000 and tasks[-1] < 2.5 * 120_000 / 64
+
+
+def test_fanout_keys_are_few(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    counted = spark.range(0, 30_000).select((F.col("id") % 1_000).alias("k"), F.lit(1).alias("n"))
+    assert fanout_keys(counted, ["k"], F.col("n"), 40).count() == 0  # 30 matches each
+    assert fanout_keys(counted, ["k"], F.col("n"), 10).count() == 0  # no key above a fortieth of all
+    hot = counted.unionByName(spark.range(0, 9_000).select(F.lit(-1).alias("k"), F.lit(1).alias("n")))
+    found = fanout_keys(hot, ["k"], F.col("n"), 10).collect()
+    assert [(r.k, r._slots) for r in found] == [(-1, 10)]
+
 
-        assert largest(left.join(right, "k", "left")) > 10_000
-        assert largest(lookup_join(left, right, ["k"], ["v"], rows_per_slot=100)) < 6_000
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+def test_fanout_join_splits_a_left_key_and_its_matches(spark, split):
+    left = spark.range(0, 60, 1, 4).select(F.when(F.col("id") < 20, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 9_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 60).alias("k"), F.col("id").alias("w"))
+    got = fanout_join(left, right, ["k"], ["v"], rows_per_slot=50)
+    want = left.join(right, "k", "left")
+    assert got.agg(F.count("*"), F.sum("w"), F.sum("v")).first() == want.agg(F.count("*"), F.sum("w"), F.sum("v")).first()
+    tasks = task_rows(got)
+    assert tasks[-1] < sum(tasks) / 8  # a plain join gives most of them in one task
 
 
 def test_fanout_join_equals_left_join(spark, rows, shuffled_joins):
@@ -70,8 +106,9 @@ def test_fanout_join_equals_left_join(spark, rows, shuffled_joins):
         "k string, w string",
     )
     want = rows(left.join(right, "k", "left"))
-    assert rows(fanout_join(left, right, ["k"])) == want
-    assert rows(fanout_join(left, right, ["k"], copies_per_piece=4)) == want
+    assert rows(fanout_join(left, right, ["k"], ["v"])) == want
+    assert rows(fanout_join(left, right, ["k"], ["v"], copies_per_piece=4)) == want
+    assert rows(fanout_join(left, right, ["k"], ["v"], copies_per_piece=2, rows_per_slot=3)) == want
 
 
 def test_exists_flag_is_two_valued(spark, rows):

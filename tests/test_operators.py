@@ -191,3 +191,18 @@ def test_routes(spark, rows):
         ],
         key=repr,
     )
+
+
+def test_latest_per_key_tells_shifted_nulls_apart(spark):
+    data = [("k", None, "x"), ("k", "x", None)]
+    picks = set()
+    for rows in (data, data[::-1]):
+        df = spark.createDataFrame(rows, "k string, a string, b string").withColumn("t", F.lit(1))
+        picks.add(tuple(latest_per_key(df.coalesce(1), "k", "t").select("a", "b").first()))
+    assert len(picks) == 1
+
+
+def test_null_in_the_exclusion_list_excludes_nothing(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "e string")
+    listed = spark.createDataFrame([("a",), (None,)], "e string")
+    assert [r.e for r in filters.without_listed(df, listed, "e").collect()] == ["b"]

@@ -47,3 +47,27 @@ def test_wide_driver_rows_move_seldom(spark, small, shuffled_joins):
     moves = [line for line in text[: text.index("FileScan")].splitlines() if " Exchange" in line]
     assert ["rangepartitioning" in m for m in moves] == [True, False, False]
     assert "email_address" in moves[2]
+
+
+def exchanges(text: str) -> list[str]:
+    return [line for line in text.splitlines() if " Exchange " in line]
+
+
+@pytest.mark.parametrize("name", ["accurate_deliveries", "eta_ontime"])
+def test_window_is_shuffled_once_before_the_entities(spark, small, name, shuffled_joins):
+    """Rows by delivery id, then partial results by entity (and driver); no other shuffle above the scan of the window."""
+    text = plan(QUERIES[name](spark, small))
+    branch = text[: text.index("FileScan")]
+    assert sum("delivery" in e and "_tag" in e for e in exchanges(branch)) == 1
+    assert not any("delivery" in e and "_tag" not in e for e in exchanges(branch))
+
+
+def test_list_columns_read_once_and_shuffle_once(spark, small, shuffled_joins):
+    text = plan(QUERIES["array_list_columns"](spark, small))
+    assert len(exchanges(text)) == 1
+
+
+def test_wide_carrier_rows_move_once(spark, small, shuffled_joins):
+    text = plan(QUERIES["carriers_model"](spark, small))
+    wide = [e for e in exchanges(text[: text.index("FileScan")])]
+    assert len(wide) == 1 and "_mail" in wide[0]
