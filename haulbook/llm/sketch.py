@@ -29,6 +29,7 @@ K = 128
 SHINGLE_WORDS = 5
 AT_ONCE = 1 << 16
 BUCKETS_PER_PARTITION = 8
+MANY_BUCKETS = 2000
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -190,10 +191,11 @@ def edit_report(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     """
     spark = df.sparkSession
     docs = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    count = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = max(parts, min(BUCKETS_PER_PARTITION * parts, MANY_BUCKETS))  # several ranges per task even out
     shares = F.array(*[F.lit(i / count) for i in range(count)])
     cuts = docs.agg(
-        F.percentile_approx("doc_id", shares, F.lit(20 * count)).alias("cuts"), F.count_if(F.isnull("doc_id")).alias("none")
+        F.percentile_approx("doc_id", shares, F.lit(5 * count)).alias("cuts"), F.count_if(F.isnull("doc_id")).alias("none")
     ).first()
     bounds = np.unique(np.array(cuts["cuts"] or [], np.int64))  # ids of the table, so no range is empty
     lowest, highest = (-1 if cuts["none"] or not len(bounds) else 0), len(bounds) - 1
@@ -219,7 +221,6 @@ def edit_report(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
         F.lit(0).cast("long").alias("tie"), F.lit(True).alias("closing"),
     )
     rows = dealt.withColumn("closing", F.lit(False)).unionByName(closing)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartition(parts, "bucket").sortWithinPartitions(
         "bucket", "closing", F.desc_nulls_last("doc_id"), F.desc("tie")
     )
