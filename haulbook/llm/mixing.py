@@ -27,6 +27,7 @@ SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS = 40
 BUCKET_BITS = 12
+FILL_ROUNDS = 4
 
 
 def words(text: str) -> Column:
@@ -146,22 +147,34 @@ def mix(docs: DataFrame, quota: dict, copies: int = MAX_COPIES, seed: int = SEED
     last = fits.groupBy("tag").agg(F.max("hash").alias("last"), F.max(F.col("before") + F.col("words")).alias("filled"))
     left = (F.col("need") - F.coalesce("filled", F.lit(0))).alias("left")
     limits = cut.join(last, "tag", "left").select("tag", "cut", F.coalesce("last", F.lit(-1)).alias("last"), left)
-    limits = {r["tag"]: r for r in limits.collect()}  # a row per pattern
-    name = {c: fresh(rows, c) for c in ("tag", "base", "cut", "last", "one", "one_size")}
-    spark, none = docs.sparkSession, (None, None, None)
-    borders = [(t, *tuple(limits[t])[1:]) for t in limits]
-    # what is left at the cut goes to the one document not yet taken whose size is nearest to it
-    rest = sized.join(F.broadcast(spark.createDataFrame(borders, "tag long, cut long, last long, left long")), "tag")
-    rest = rest.filter((part > F.col("cut")) | (part == F.col("cut")) & (F.col("hash") > F.col("last")))
-    off = F.abs(F.col("size") - F.col("left"))
-    best = rest.filter(off < F.col("left")).groupBy("tag").agg(F.min(F.struct(off, "hash", "size")).alias("best"))
-    ones = {r["tag"]: (r["best"]["hash"], r["best"]["size"]) for r in best.collect()}  # a row per pattern
-    plan = [(t, base, *tuple(limits.get(t, none))[-3:-1], *ones.get(t, (None, None))) for t, base, _ in plan]
-    schema = ", ".join(f"{c} long" for c in name.values())
+    limits = {r["tag"]: r.asDict() for r in limits.collect()}  # a row per pattern
+    spark = docs.sparkSession
+    # what is left at the cut goes to the largest document not yet taken that fits, a few times over, and at last to one
+    # that overshoots if that comes nearer
+    left, ones = {t: r["left"] for t, r in limits.items()}, {t: [] for t in limits}
+    for step in range(FILL_ROUNDS):
+        borders = [(t, limits[t]["cut"], limits[t]["last"], left[t], ones[t]) for t in limits if left[t] > 0]
+        if not borders:
+            break
+        table = spark.createDataFrame(borders, "tag long, cut long, last long, left long, ones array<long>")
+        rest = sized.join(F.broadcast(table), "tag").filter(~F.array_contains("ones", F.col("hash")))
+        rest = rest.filter((part > F.col("cut")) | (part == F.col("cut")) & (F.col("hash") > F.col("last")))
+        off = F.abs(F.col("size") - F.col("left"))
+        fits = F.col("size") <= F.col("left") if step + 1 < FILL_ROUNDS else off < F.col("left")
+        best = rest.filter(fits).groupBy("tag").agg(F.min(F.struct(off, "hash", "size")).alias("best"))
+        found = {r["tag"]: r["best"] for r in best.collect()}  # a row per pattern
+        for t, r in found.items():
+            left[t] -= r["size"]
+            ones[t].append(r["hash"])
+    name = {c: fresh(rows, c) for c in ("tag", "base", "cut", "last", "ones")}
+    plan = [
+        (t, base, *((limits[t]["cut"], limits[t]["last"], ones[t]) if t in limits else (None, None, []))) for t, base, _ in plan
+    ]
+    schema = "{tag} long, {base} long, {cut} long, {last} long, {ones} array<long>".format(**name)
     marked = rows.withColumn(name["tag"], tag).join(F.broadcast(spark.createDataFrame(plan, schema)), name["tag"], "left")
     range_of = F.shiftright(value, HASH_BITS - BUCKET_BITS)
     in_rest = (range_of < F.col(name["cut"])) | (range_of == F.col(name["cut"])) & (value <= F.col(name["last"]))
-    in_rest = in_rest | (value == F.col(name["one"])) & (F.col("size") == F.col(name["one_size"]))
+    in_rest = in_rest | F.array_contains(name["ones"], value)
     times = F.coalesce(F.col(name["base"]), F.lit(0)) + F.when(in_rest, 1).otherwise(0)
     times = F.when(F.col("size") > 0, F.least(times, F.lit(copies))).otherwise(0)
     return marked.withColumn("copies", times.cast("int")).drop(*name.values())
