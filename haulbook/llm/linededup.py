@@ -9,7 +9,7 @@ least ``min_words`` words are deleted from the later document. The first holder
 Lines are what ``\\n`` separates, compared without ASCII white space at their ends; blank lines pair
 nothing, and one inside a block goes with it. A null text stays null and an empty one empty; a document
 all of whose lines go becomes empty. Documents with a null doc_id stay as they are. Rows that repeat a
-doc_id are parts of the same document for pairing, and none is deleted against another. An
+doc_id hold the same document for pairing: none is deleted against another, and each loses its own lines only. An
 empty table gives an empty result. Other columns are kept, whatever their names.
 """
 
@@ -95,15 +95,15 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def aligned_lines(hashes: list[int], places: list[list[int]], other_places: list[list[int]]) -> set[int]:
-    """Lines of the later document aligned with one earlier document.
+def aligned_lines(hashes: list[int], places: list[list[int]], other_places: list[list[int]]) -> set[tuple[int, int]]:
+    """(place, hash) of the lines of the later document aligned with one earlier document.
 
     Of each shared line: its hash and its places in either. Lines that are not shared cannot be aligned and are left out.
     """
     later = sorted((p, h) for h, ps in zip(hashes, places, strict=True) for p in ps)
     earlier = sorted((p, h) for h, ps in zip(hashes, other_places, strict=True) for p in ps)
     pairs = patience([h for _, h in later], [h for _, h in earlier])
-    return {later[i][0] for i, _ in pairs}
+    return {later[i] for i, _ in pairs}
 
 
 def blocks(aligned: set[int], words: dict[int, int], blank: set[int], min_words: int) -> set[int]:
@@ -185,12 +185,13 @@ def shared_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", r
 def repeated_lines(
     df: DataFrame, id_column: str = "doc_id", text: str = "text", rare: int = RARE
 ) -> DataFrame:
-    """(doc, lines): the lines of each document that are aligned with an earlier document's, in order."""
+    """(doc, lines): the lines of each document that are aligned with an earlier document's, in order; of each
+    its place and its hash, one after the other."""
     pairs = shared_lines(df, id_column, text, rare)
     entry = F.struct("earlier", "hash", "places", "other")
     gathered = pairs.groupBy(F.col("later").alias("doc")).agg(F.collect_list(entry).alias("shared"))
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<long>")
     def align(shared: pd.Series) -> pd.Series:
         out = []
         for entries in shared:
@@ -200,10 +201,10 @@ def repeated_lines(
                 h.append(e["hash"])
                 p.append(e["places"].tolist())
                 o.append(e["other"].tolist())
-            found: set[int] = set()
+            found: set[tuple[int, int]] = set()
             for h, p, o in by.values():
                 found |= aligned_lines(h, p, o)
-            out.append(np.array(sorted(found), np.int32))
+            out.append(np.array(sorted(found), np.int64).ravel())
         return pd.Series(out)
 
     return gathered.select("doc", align("shared").alias("lines"))
@@ -244,7 +245,9 @@ def without_repeated_lines(
                     if some:
                         hashes, words = line_hashes(value)
                         blank = {i for i, h in enumerate(hashes) if h is None}
-                        drop = blocks({x for x in some if x < len(pieces)}, dict(enumerate(words)), blank, min_words)
+                        pairs = zip(some[::2], some[1::2], strict=True)
+                        here = {x for x, h in pairs if x < len(hashes) and hashes[x] == h}  # not of another row of this id
+                        drop = blocks(here, dict(enumerate(words)), blank, min_words)
                     texts.append("\n".join(p for i, p in enumerate(pieces) if i not in drop) if drop else value)
                     counts.append(len(pieces))
                     gone.append(len(drop))

@@ -141,10 +141,11 @@ def test_passages_go_from_later_documents_only(shipped):
 
 def test_repeated_rows_and_null_ids_stay(shipped):
     text = "\n".join(line(x) for x in "abc")
-    rows = [(1, text), (1, text), (None, text), (2, text)]
+    other = "\n".join(line(x) for x in "xyz")
+    rows = [(1, text), (1, text), (None, text), (2, text), (2, other)]
     df = shipped.createDataFrame(rows, "doc_id long, text string")
     found = sorted((str(r.doc_id), r.text) for r in linededup.without_repeated_lines(df).collect())
-    assert found == [("1", text), ("1", text), ("2", ""), ("None", text)]
+    assert found == [("1", text), ("1", text), ("2", ""), ("2", other), ("None", text)]
 
 
 def test_shared_lines_against_brute_force(shipped):
