@@ -31,6 +31,7 @@ FOLDS, HELD_OUT_FOLD = 5, 0
 MAX_ROWS = 20_000
 MAX_FEATURES = 4096
 MIN_ROWS_OF_FEATURE = 3
+MIN_RATIO = 8.0
 BEGINNINGS = (4, 5)
 PENALTY = 1.0  # of squared weights, for the whole sample
 COUNTERFACTUAL = 10.0
@@ -188,8 +189,13 @@ def learn(
     max_rows: int = MAX_ROWS,
     groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
     counterfactual: float = COUNTERFACTUAL,
+    min_ratio: float = MIN_RATIO,
 ) -> Model:
-    """A model from the labelled rows where ``train`` (a condition on the id) holds."""
+    """A model from the labelled rows where ``train`` (a condition on the id) holds.
+
+    Features are at most MAX_FEATURES words and beginnings, those whose presence tells most about the class: their log
+    likelihood ratio is at least ``min_ratio``, which chance gives to one feature in some ten thousand.
+    """
     known = labels.filter(train & F.col(label).isin(0, 1) & F.col(id_column).isNotNull())
     known = known.groupBy(F.col(id_column).alias("id")).agg(F.max(label).cast("int").alias("toxic"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(max_rows)
@@ -206,7 +212,8 @@ def learn(
         return F.when(seen > 0, seen * F.log(seen * n / ((a + b) * of))).otherwise(0.0)
 
     ratio = part(a, n1) + part(b, n - n1)
-    chosen = _feature_counts(rows).filter(a + b >= MIN_ROWS_OF_FEATURE).orderBy(F.desc(ratio), "feature")
+    counted = _feature_counts(rows).filter((a + b >= MIN_ROWS_OF_FEATURE) & (ratio >= min_ratio))
+    chosen = counted.orderBy(F.desc(ratio), "feature")
     names = [r["feature"] for r in chosen.limit(MAX_FEATURES).select("feature").collect()]
     index = {f: i for i, f in enumerate(names)}
 
