@@ -145,7 +145,8 @@ def cross_entropy_difference(
     words = vocabulary(rows, size)
     numbered = written(_numbered(rows, words), "tokens")
     chosen = targets.select(F.col(id_column).alias("doc")).dropna().distinct().withColumn("target", F.lit(True))
-    marked = skew_join(numbered, chosen, ["doc"], "left").fillna(False, ["target"])
+    # target ids grow with the corpus, so they are shuffled whatever their number is: the same plan at every size
+    marked = skew_join(numbered, chosen.hint("merge"), ["doc"], "left").fillna(False, ["target"])
     width = size + 2
     table = _bigram_counts(marked, size).toArrow()  # at most width * width rows of three numbers
     pair, target, every = (table.column(c).to_numpy() for c in ("pair", "target", "every"))
