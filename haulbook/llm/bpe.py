@@ -37,11 +37,11 @@ from haulbook.llm.common import add_columns
 
 RANKS = "byte_bpe_50k.tiktoken"
 LONG_WORD = 512
-WORDS_AT_ONCE = 50_000
+WORDS_AT_ONCE = 30_000
 LONGEST_CUT = 4096
-SLICE = 12_000_000  # bytes of text worked on together, so that common words are encoded once
+SLICE = 8_000_000  # bytes of text worked on together, so that common words are encoded once
 CHUNK = 4 << 20  # characters of one text cut by the pattern at a time
-DUCKDB_MEMORY = "300MB"
+DUCKDB_MEMORY = "200MB"
 SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 ODD_PIECE = rf"^ (?:\z|{SPACE})|{SPACE}\z"
 SAFE_CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])(?= [^\s\x1c-\x1f])")
@@ -276,7 +276,11 @@ def _places(offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Where the values of these rows of a list array are, one row after another."""
     counts = np.diff(offsets)[rows]
     ends = np.cumsum(counts)
-    return np.repeat(offsets[:-1][rows] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, int(offsets[-1])) < 1 << 31 else np.int64
+    out = np.repeat((offsets[:-1][rows] - (ends - counts)).astype(kind), counts)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def _gather(offsets: np.ndarray, values: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

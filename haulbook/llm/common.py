@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -94,6 +95,14 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterat
         yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on from task to task and would keep the most they ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def add_columns(
     df: DataFrame,
     text: str,
@@ -120,6 +129,8 @@ def add_columns(
                 texts = part.column(part.schema.get_field_index(text))
                 arrays = [*part.columns, *apply(texts if arrow else texts.to_pylist())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, *names])
+                del texts, arrays
+            give_back()
 
     return kept.mapInArrow(run, schema)
 

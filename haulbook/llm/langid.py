@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulbook.llm.common import add_columns, slices
+from haulbook.llm.common import add_columns, give_back, slices
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -148,6 +148,7 @@ def learn(
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array(values, pa.list_(pa.int64()))], names=["lang", "bundle"]
         )
+        give_back()
 
     parts = rows.mapInArrow(bundle, "lang string, bundle array<long>")
     place = parts.select("lang", F.posexplode("bundle").alias("i", "v"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulbook.llm.common import fresh, skew_join, slices, written
+from haulbook.llm.common import fresh, give_back, skew_join, slices, written
 
 MIN_WORDS = 20
 RARE = 8
@@ -148,6 +148,7 @@ def _lines(df: DataFrame, id_column: str, text: str) -> DataFrame:
                     ],
                     names=["doc", "hash", "places", "words"],
                 )
+        give_back()
 
     return rows.mapInArrow(split, f"doc {kind}, hash long, places array<int>, words int")
 
@@ -259,5 +260,6 @@ def without_repeated_lines(
                 if stats:
                     columns |= {"n_lines": pa.array(counts, pa.int32()), "removed_lines": pa.array(gone, pa.int32())}
                 yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], names=schema.names)
+        give_back()
 
     return kept.mapInArrow(cut, schema)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from haulbook.llm.common import add_columns, fresh, skew_join, word_chunks, written
+from haulbook.llm.common import add_columns, fresh, give_back, skew_join, word_chunks, written
 from haulbook.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -178,6 +178,7 @@ def _block_links(max_bits: int):
             held = [(key[last:], fp[last:])]
         if held:
             yield linked(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        give_back()
 
     return run
 
@@ -193,6 +194,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 part = fp[i : i + BATCH]
                 keys = table.keys(part.view(np.uint64)).view(np.int64)
                 yield pd.DataFrame({"key": keys.ravel(), "fp": np.repeat(part, keys.shape[1])})
+        give_back()
 
     blocks = fps.mapInPandas(spread, "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
     return blocks.mapInPandas(_block_links(max_bits), "a long, b long")
