@@ -15,8 +15,11 @@ ROWS_PER_SLOT = 250_000  # fewer matches of one key are left to one task
 COPIES_PER_PIECE = 1_000  # identical rows travel as one row with a count up to this
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
-    """``left LEFT JOIN right USING (keys)`` with hot keys and null keys of ``left`` spread out.
+def lookup_join(
+    left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "left"
+) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` with hot keys and null keys of ``left`` spread out; an inner join, for rows
+    that are known to match, can split hot keys of ``right`` as well.
 
     A hash of the keys is a further join column, so that Spark shuffles both sides for this join (or
     broadcasts a right side it has measured to be small) and adaptive execution may split any number of hot
@@ -30,21 +33,14 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     tag = F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in kinds])
     tagged = left.withColumn("_tag", F.when(null_key, F.xxhash64(*spread)).otherwise(tag))
     known = right.dropna(subset=keys).withColumn("_tag", tag)
-    return tagged.join(known, ["_tag", *keys], "left").drop("_tag")
+    return tagged.join(known, ["_tag", *keys], how).drop("_tag")
 
 
 def fanout_keys(counted: DataFrame, keys: list[str], rows: Column, rows_per_slot: int) -> DataFrame:
-    """Keys with more than ``rows_per_slot`` matches and the number of slots for them.
-
-    At least a tenth of what a partition holds on average counts as many, so there are at most ten such keys for
-    each partition, however many rows there are.
-    """
-    partitions = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Keys with more than ``rows_per_slot`` matches and the number of slots for them, which grows with the matches."""
     per_key = counted.groupBy(*keys).agg(F.sum(rows).alias("_rows"))
-    share = per_key.agg((F.sum("_rows") / (10 * partitions)).alias("share")).scalar()
-    size = F.greatest(F.lit(float(rows_per_slot)), F.coalesce(share, F.lit(0.0)))
-    slots = F.ceil(F.col("_rows") / size).cast("int").alias("_slots")
-    return per_key.filter(F.col("_rows") > size).select(*keys, slots)
+    slots = F.ceil(F.col("_rows") / rows_per_slot).cast("int").alias("_slots")
+    return per_key.filter(F.col("_rows") > rows_per_slot).select(*keys, slots)
 
 
 def fanout_join(
@@ -59,8 +55,8 @@ def fanout_join(
 
     Equal right rows are counted instead of carried, in pieces of bounded size. The pieces of a key with
     very many are dealt into slots, and left rows of such a key repeat once per slot, so that its matches are
-    produced by many tasks; a slot without a piece adds nothing. There are few such keys (see ``fanout_keys``), so
-    their list is broadcast and ``left`` is shuffled once. Last, the counted copies are written out.
+    produced by many tasks; a slot without a piece adds nothing. The list of such keys, usually empty, is joined as
+    Spark decides on its size. Last, the counted copies are written out.
     """
     size = copies_per_piece or COPIES_PER_PIECE
     counted = right.dropna(subset=keys).groupBy(*right.columns).agg(F.count("*").alias("_copies"))
@@ -68,7 +64,7 @@ def fanout_join(
     pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), last_piece))).withColumn(
         "_copies", F.least(F.lit(size), F.col("_copies") - F.col("_piece") * size).cast("int")
     )
-    many = F.broadcast(fanout_keys(counted, keys, F.col("_copies"), rows_per_slot or ROWS_PER_SLOT))
+    many = fanout_keys(counted, keys, F.col("_copies"), rows_per_slot or ROWS_PER_SLOT)
     slots = F.coalesce(F.col("_slots"), F.lit(1))
     dealt = pieces.join(many, keys, "left").withColumn("_slot", F.pmod(F.xxhash64(*right.columns, "_piece"), slots))
     every_slot = F.explode(F.sequence(F.lit(0).cast("long"), slots.cast("long") - 1))

@@ -88,5 +88,5 @@ def carriers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30)
     own = format_own(carriers, LAYOUT, KEPT)
     owned = with_owner(carriers.select(*KEPT).distinct(), tables["drivers"])
     facts = lookup_join(owned, metrics, ["external_id"], ["email_address"])
-    wide = fanout_join(_paired(own), _paired(facts).drop(*KEPT), PAIR, KEPT)
+    wide = lookup_join(_paired(own), _paired(facts).drop(*KEPT), PAIR, KEPT, "inner")  # every carrier has its pair there
     return select_layout(wide, LAYOUT)
