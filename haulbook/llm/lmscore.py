@@ -1,10 +1,14 @@
 """Cross-entropy difference: how much better a target model than a background model predicts a text.
 
-Both are bigram models over one vocabulary, the most frequent words of the whole corpus and a sign for all other
-words, with the same smoothing: p(w|u) = (c(u,w) + m p(w)) / (c(u) + m). The background's counts, of all documents, are scaled
+Both are bigram models over one vocabulary, all words of the whole corpus, with the same smoothing:
+p(w|u) = (c(u,w) + m p(w)) / (c(u) + m). The background's counts, of all documents, are scaled
 to the size of the target's, so that the smoothing weighs the same in both. Counts are of whole texts of
-all rows. The model is a table of (vocabulary + 2) squared numbers whatever the corpus is, which bounds what
-the driver gets and sends.
+all rows. The driver gets three numbers.
+
+Texts are numbered in batches of about ``BATCH_TOKENS`` tokens. A batch sums its bigrams, first words and second words before
+they are shuffled, and sends each once, by ranges of a 64-bit hash; a range sums what it gets from all batches and answers each
+with the sums of what it sent. A frequent bigram is thus at most one entry per batch, and a range has about ``RANGE_TOKENS``
+entries at most whatever the corpus is. Nothing is left out: all words and all bigrams count.
 
 A text's score is its mean loss per token under the background model less that under the target
 model; positive is like the target. A null or empty text, or one without words, has no tokens and
@@ -15,21 +19,27 @@ gives an empty result. Only the id and text columns are read.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count as numbers
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulbook.llm.common import skew_join, slices, word_chunks, written
+from haulbook.llm.common import give_back, skew_join, slices, word_chunks, written
 
-VOCABULARY = 2048
 SMOOTHING = 20.0
 FOLDS, HELD_OUT_FOLD = 5, 0
 AT_ONCE = 1 << 19
+BATCH_TOKENS = 1 << 21
+RANGE_TOKENS = 1 << 21
+START, OTHER = 1, 2  # in place of a word's hash
+PAIR, BEGIN, END = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
@@ -57,73 +67,162 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, size: int) -> list[str]:
     """The most frequent words of the column ``text``, ties to the smaller word."""
     return [r["word"] for r in _word_counts(docs).orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
-def _numbered(docs: DataFrame, words: list[str]) -> DataFrame:
-    """(doc, tokens): each text's words as 16-bit numbers in a binary; 0 is any other word."""
-    number = {w.encode(): i + 1 for i, w in enumerate(words)}
-    kind = docs.schema["doc"].dataType.simpleString()
+def _pack(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers, all first bytes, then all second bytes and so on, compressed."""
+    planes = numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = number.get
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = []
-                for text in part.column(1).to_pylist():
-                    pieces = [np.array([get(w, 0) for w in ws], "<u2").tobytes() for ws in word_chunks(text)]
-                    found.append(b"".join(pieces))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["doc", "tokens"])
 
-    return docs.select("doc", "text").mapInArrow(run, f"doc {kind}, tokens binary")
+def _unpack(data: bytes, count: int, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, count * size, codec="zstd"), np.uint8).reshape(size, count)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _pairs(tokens: bytes, size: int) -> np.ndarray:
-    """Keys of the bigrams of a text; the number after the vocabulary's stands for the start."""
-    ids = np.frombuffer(tokens, "<u2").astype(np.int64)
-    return np.concatenate(([size + 1], ids[:-1])) * (size + 2) + ids if len(ids) else ids
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
 
 
-def _bigram_counts(numbered: DataFrame, size: int) -> DataFrame:
-    """(pair, target, every) from rows (tokens, target), summed per task first."""
+def _batches(docs: DataFrame, words: list[str] | None) -> DataFrame:
+    """(batch, place, doc, n, tokens): each text's words as numbers of its batch; place -1 has the hashes of the batch's words.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[bool, list] = {True: [], False: []}
-        table = {True: np.zeros((0, 2), np.int64), False: np.zeros((0, 2), np.int64)}
-
-        def fold(kind: bool) -> None:
-            if not total[kind]:
-                return
-            keys, counts = np.unique(np.concatenate(total[kind]), return_counts=True)
-            both = np.concatenate((table[kind], np.stack((keys, counts), 1)))
-            keys, at = np.unique(both[:, 0], return_inverse=True)
-            table[kind] = np.stack((keys, np.bincount(at, both[:, 1]).astype(np.int64)), 1)
-            total[kind] = []
-
-        held = 0
+    Words not in ``words`` are one symbol; None keeps all words.
+    """
+    known = None if words is None else {w.encode() for w in words}
+    kind = docs.schema["doc"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["batch", "place", "doc", "n", "tokens"]
+        here, held, place = TaskContext.get().partitionId() << 32, 0, 0
+        number: defaultdict[bytes, int] = defaultdict(numbers(2).__next__)  # 0 is the start, 1 any other word
+        for batch in batches:
+            doc_kind = batch.schema.field("doc").type
+            for part in slices(batch, "text"):
+                found: list[tuple] = []
+                for doc, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    pieces = []
+                    for ws in word_chunks(text):
+                        if known is None:
+                            pieces.append(np.array([number[w] for w in ws], "<u4"))
+                        else:
+                            pieces.append(np.array([number[w] if w in known else 1 for w in ws], "<u4"))
+                    tokens = np.concatenate(pieces) if pieces else np.empty(0, "<u4")
+                    found.append((here, place, doc, len(tokens), _pack(tokens)))
+                    held, place = held + len(tokens), place + 1
+                    if held >= BATCH_TOKENS:
+                        found.append(hashes(here, number))
+                        here, held, place = here + 1, 0, 0
+                        number = defaultdict(numbers(2).__next__)
+                kinds = [pa.int64(), pa.int32(), doc_kind, pa.int64(), pa.binary()]
+                arrays = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+        if place:
+            arrays = [pa.array([x], k) for x, k in zip(hashes(here, number), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        give_back()
+
+    def hashes(here: int, number: dict[bytes, int]) -> tuple:
+        out = np.array([START, OTHER, *(xxhash.xxh3_64_intdigest(w) for w in number)], "<u8")
+        return here, -1, None, len(out), _pack(out)
+
+    return docs.select("doc", "text").mapInArrow(run, f"batch long, place int, doc {kind}, n long, tokens binary")
+
+
+class Batch:
+    """The distinct bigrams, first and second words of a batch's texts, in the order of their hashes."""
+
+    def __init__(self, table: pa.Table):
+        place, n = table.column("place").to_numpy(), table.column("n").to_numpy()
+        data = table.column("tokens").to_pylist()
+        at = int(np.flatnonzero(place == -1)[0])
+        self.rows = np.flatnonzero(place >= 0)
+        self.places, self.sizes = place[self.rows], n[self.rows]
+        words = _unpack(data[at], int(n[at]), "<u8")
+        texts = [_unpack(data[i], int(n[i]), "<u4") for i in self.rows.tolist()]
+        self.ends = np.concatenate(texts).astype(np.int64) if texts else np.empty(0, np.int64)
+        self.begins = np.concatenate(([0], self.ends[:-1])) if len(self.ends) else self.ends
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.begins[self.starts[self.sizes > 0]] = 0
+        self.width = len(words)
+        pairs, self.at = np.unique(self.begins * self.width + self.ends, return_inverse=True)
+        self.u, self.w = pairs // self.width, pairs % self.width
+        two = words[self.u] * np.uint64(PAIR) ^ _mix(words[self.w] + np.uint64(PAIR))
+        keys = np.concatenate((_mix(two), _mix(words ^ np.uint64(BEGIN)), _mix(words ^ np.uint64(END))))
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    def counts(self, chosen: np.ndarray) -> np.ndarray:
+        """How often each occurs in the texts whose places are ``chosen``."""
+        token = np.repeat(np.isin(self.places, chosen), self.sizes)
+        found = ((self.at, len(self.u)), (self.begins, self.width), (self.ends, self.width))
+        return np.concatenate([np.bincount(x[token], minlength=n) for x, n in found])[self.order]
+
+    def split(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each distinct bigram, its number, its first word's and its second word's."""
+        out = np.empty(len(counts), np.float64)
+        out[self.order] = counts
+        n = len(self.u)
+        return out[:n], out[n : n + self.width][self.u], out[n + self.width :][self.w]
+
+
+def _sent(texts: DataFrame, marks: DataFrame, ranges: int) -> DataFrame:
+    """(range, batch, n, keys, target, every): what each batch sends to each range of hashes."""
+
+    def send(table: pa.Table, marked: pa.Table) -> pa.Table:
+        names = ["range", "batch", "n", "keys", "target", "every"]
+        batch, found = Batch(table), []
+        target, every = batch.counts(marked.column("place").to_numpy()), batch.counts(batch.places)
+        place = (batch.keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+        cuts = np.searchsorted(place, np.arange(ranges + 1, dtype=np.uint64)).tolist()
+        for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if a < b:
+                keys = np.diff(batch.keys[a:b], prepend=np.uint64(0))
+                found.append((r, table.column("batch")[0].as_py(), b - a, *map(_pack, (keys, target[a:b], every[a:b]))))
+        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 3]
+        columns = list(zip(*found, strict=True)) or [[]] * 6
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    schema = "range int, batch long, n long, keys binary, target binary, every binary"
+    return texts.groupBy("batch").cogroup(marks.groupBy("of")).applyInArrow(send, schema)
+
+
+def _answered(sent: DataFrame) -> DataFrame:
+    """(of, range, n, target, every): the sums over all batches of what a batch sent to a range."""
+
+    def total(table: pa.Table) -> pa.Table:
+        sizes = table.column("n").to_pylist()
+        keys = [_unpack(k, n, "<u8").cumsum(dtype=np.uint64) for k, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        ends, sums = np.cumsum(sizes)[:-1], []
+        for name in ("target", "every"):
+            own = [_unpack(c, n, "<i8") for c, n in zip(table.column(name).to_pylist(), sizes, strict=True)]
+            whole = np.bincount(at, np.concatenate(own)).astype(np.int64)[at]
+            sums.append(pa.array([_pack(x) for x in np.split(whole, ends)], pa.binary()))
+        columns = [table.column("batch"), table.column("range"), table.column("n"), *sums]
+        return pa.Table.from_arrays(columns, names=["of", "range", "n", "target", "every"])
+
+    return sent.groupBy("range").applyInArrow(total, "of long, range int, n long, target binary, every binary")
+
+
+def _distinct_words(texts: DataFrame) -> int:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tokens, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[target].append(_pairs(tokens, size))
-                held += len(tokens)
-                if held > 8_000_000:
-                    fold(True)
-                    fold(False)
-                    held = 0
-        fold(True)
-        fold(False)
-        for kind in (True, False):
-            n = table[kind][:, 1]
-            arrays = [table[kind][:, 0], n if kind else np.zeros_like(n), n]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["pair", "target", "every"])
-
-    parts = numbered.select("tokens", "target").mapInArrow(count, "pair long, target long, every long")
-    return parts.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("every").alias("every"))
+            for n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = _unpack(data, n, "<u8")[2:].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(words)], names=["word"])
+
+    return texts.filter("place = -1").select("n", "tokens").mapInArrow(unpack, "word long").distinct().count()
 
 
 def losses(counts: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
-    """-log2 p(w|u) of every pair from the matrix of bigram counts."""
+    """-log2 p(w|u) of every pair from a matrix of bigram counts: the definition, for small vocabularies."""
     unigram = counts.sum(0) + 1.0
     unigram /= unigram.sum()
     return -np.log2((counts + smoothing * unigram[None]) / (counts.sum(1, keepdims=True) + smoothing))
@@ -134,31 +233,27 @@ def cross_entropy_difference(
     targets: DataFrame,
     id_column: str = "doc_id",
     text: str = "text",
-    size: int = VOCABULARY,
+    size: int | None = None,
     smoothing: float = SMOOTHING,
 ) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score; ``targets`` has the ids of the target's documents."""
-    if not 0 < size < 65_000:
-        raise ValueError("the vocabulary has 1 to 65,000 words")
-    spark = docs.sparkSession
+    """doc_id, n_tokens, target_loss, background_loss, score; ``targets`` has the ids of the target's documents.
+
+    ``size`` keeps only so many of the most frequent words; None, the default, keeps all.
+    """
     rows = docs.select(F.col(id_column).alias("doc"), F.col(text).alias("text"))
-    words = vocabulary(rows, size)
-    numbered = written(_numbered(rows, words), "tokens")
+    words = None if size is None else vocabulary(rows, size)
     chosen = targets.select(F.col(id_column).alias("doc")).dropna().distinct().withColumn("target", F.lit(True))
+    texts = written(_batches(rows, words), "tokens")
     # target ids grow with the corpus, so they are shuffled whatever their number is: the same plan at every size
-    marked = skew_join(numbered, chosen.hint("merge"), ["doc"], "left").fillna(False, ["target"])
-    width = size + 2
-    table = _bigram_counts(marked, size).toArrow()  # at most width * width rows of three numbers
-    pair, target, every = (table.column(c).to_numpy() for c in ("pair", "target", "every"))
-    models = []
-    for counts, scale in ((target, 1.0), (every, target.sum() / max(1, every.sum()))):
-        matrix = np.zeros(width * width)
-        matrix[pair] = counts * scale if target.any() else every
-        models.append(losses(matrix.reshape(width, width), smoothing).astype(np.float32).ravel())
-    model = spark.sparkContext.broadcast(models)
+    ids = texts.filter("place >= 0").select(F.col("batch").alias("of"), "place", "doc", "n")
+    marks = written(skew_join(ids, chosen.hint("merge"), ["doc"]).select("of", "place", "n"), "marks")
+    n_every = ids.agg(F.sum("n")).first()[0] or 0
+    n_target = marks.agg(F.sum("n")).first()[0] or 0
+    symbols = (_distinct_words(texts) if size is None else size) + 2  # and the start, and any other word
+    answers = _answered(_sent(texts, marks.select("of", "place"), 1 + n_every // RANGE_TOKENS))
     schema = T.StructType(
         [
-            T.StructField("doc_id", numbered.schema["doc"].dataType),
+            T.StructField("doc_id", texts.schema["doc"].dataType),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("target_loss", T.DoubleType()),
             T.StructField("background_loss", T.DoubleType()),
@@ -166,18 +261,26 @@ def cross_entropy_difference(
         ]
     )
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, far = model.value
-        for batch in batches:
-            found = []
-            for tokens in batch.column(1).to_pylist():
-                keys = _pairs(tokens, size)
-                n = max(1, len(keys))
-                a, b = near[keys].sum(dtype=np.float64) / n, far[keys].sum(dtype=np.float64) / n
-                found.append((len(keys), a, b, b - a))
-            columns = list(zip(*found, strict=True)) or [[]] * 4
-            kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-            arrays = [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
-
-    return numbered.mapInArrow(score, schema)
+    def loss(batch: Batch, counts: np.ndarray, total: int, scale: float) -> np.ndarray:
+        pair, begin, end = (x * scale for x in batch.split(counts))
+        share = (end + 1.0) / (total * scale + symbols)
+        found = -np.log2((pair + smoothing * share) / (begin + smoothing))
+        sums, some = np.zeros(len(batch.sizes)), batch.sizes > 0
+        if some.any():
+            sums[some] = np.add.reduceat(found[batch.at], batch.starts[some])
+        return sums
+
+    def score(table: pa.Table, answer: pa.Table) -> pa.Table:
+        batch, answer = Batch(table), answer.sort_by("range")
+        sizes = answer.column("n").to_pylist()
+        target, every = (
+            np.concatenate([_unpack(x, n, "<i8") for x, n in zip(answer.column(c).to_pylist(), sizes, strict=True)])
+            for c in ("target", "every")
+        )
+        far = loss(batch, every, n_every, n_target / n_every if n_target else 1.0)
+        near = loss(batch, target, n_target, 1.0) if n_target else far
+        n = np.maximum(batch.sizes, 1)
+        columns = [pa.array(x) for x in (batch.sizes, near / n, far / n, (far - near) / n)]
+        return pa.Table.from_arrays([table.column("doc").take(pa.array(batch.rows)), *columns], names=schema.names)
+
+    return texts.groupBy("batch").cogroup(answers.groupBy("of")).applyInArrow(score, schema)

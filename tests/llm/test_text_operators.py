@@ -1,6 +1,7 @@
 """Language ID, BPE, sketches, toxicity and LM scoring against brute force, round trips and held-out rows."""
 
 import base64
+from collections import defaultdict
 from hashlib import sha256
 
 import numpy as np
@@ -247,3 +248,34 @@ def test_lm_score_without_targets_or_rows(shipped):
     none = shipped.createDataFrame([], "doc_id long")
     assert lmscore.cross_entropy_difference(documents(shipped, ["a b"]), none).first().score == 0
     assert lmscore.cross_entropy_difference(documents(shipped, []), none).count() == 0
+
+
+def test_lm_score_knows_every_word_of_a_large_vocabulary(shipped, monkeypatch):
+    monkeypatch.setattr(lmscore, "BATCH_TOKENS", 4000)
+    rng = np.random.default_rng(6)
+    often = [f"often{i}" for i in range(2100)]
+    texts = [" ".join([*often, *often]), "red fox", "blue fish", "red fox", "blue fish", "", None]
+    texts += [" ".join(f"r{x}" for x in rng.integers(0, 5000, 300)) for _ in range(20)]
+    df = documents(shipped, texts)
+    targets = shipped.createDataFrame([(1,), (7,)], "doc_id long")
+    rows = {r.doc_id: r for r in lmscore.cross_entropy_difference(df, targets).collect()}
+    words = [(t or "").split() for t in texts]
+    known = {w: i for i, w in enumerate(sorted({w for ws in words for w in ws}))}
+    near, far = defaultdict(float), defaultdict(float)
+    for i, ws in enumerate(words):
+        for u, w in zip(["", *ws], ws):
+            for key in ((u, w), (u, None), (None, w)):
+                far[key] += 1
+                near[key] += i in (1, 7)
+    n_near, n_far = 302, sum(map(len, words))
+
+    def loss(table, total, scale, u, w):
+        share = (table[None, w] * scale + 1) / (total * scale + len(known) + 2)
+        return -np.log2((table[u, w] * scale + 20 * share) / (table[u, None] * scale + 20))
+
+    for i, ws in enumerate(words):
+        a = sum(loss(near, n_near, 1, u, w) for u, w in zip(["", *ws], ws)) / max(1, len(ws))
+        b = sum(loss(far, n_far, n_near / n_far, u, w) for u, w in zip(["", *ws], ws)) / max(1, len(ws))
+        assert rows[i].n_tokens == len(ws) and abs(rows[i].target_loss - a) < 1e-9
+        assert abs(rows[i].background_loss - b) < 1e-9 and abs(rows[i].score - (b - a)) < 1e-9
+    assert rows[1].score == rows[3].score > 0 > rows[2].score  # both words are rarer than 2048 others
