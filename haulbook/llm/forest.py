@@ -1,7 +1,10 @@
 """Approximate nearest neighbours with a hash-prefix forest.
 
 Each tree hashes a vector to a string of symbols: the axis, with its sign, that is nearest to the vector after a
-random rotation, once per symbol. A tree is the array of all strings in order. A query descends to
+random rotation, once per symbol. Vectors that are near copies of each other share these symbols in most trees; where the first
+``SYMBOLS`` of a string are so frequent that the rows which have them may be more than the candidates of a query, the further
+symbols are of the vector's difference from the mean of such rows, which tells copies apart as well as other vectors.
+If more rows than that have one whole string all the same, its queries are compared with all rows. A tree is the array of all strings in order. A query descends to
 its own place in each tree; the rows around it share the longest prefixes with it. Then it ascends in all trees at
 once: rows that share the most symbols with the query in any tree come first, among them those
 that do so in more trees, until enough candidates are found, whose cosines are then computed in double precision.
@@ -31,7 +34,7 @@ from haulbook.llm.common import skew_join, written
 
 NEAREST = 5
 TREES = 96
-SYMBOLS = 3
+SYMBOLS, FURTHER = 3, 3
 SEED = 11
 SAMPLE = 4096
 BLOCK_ROWS = 20_000
@@ -48,27 +51,47 @@ def candidates(rows: int) -> int:
 class Forest:
     """The hash strings of all trees, the same in every process."""
 
-    def __init__(self, dimensions: int, trees: int = TREES, symbols: int = SYMBOLS, seed: int = SEED):
-        rng = np.random.default_rng(seed)
+    def __init__(self, dimensions: int, trees: int = TREES, seed: int = SEED, rotate: bool = True):
         self.bits = max(1, int(2 * dimensions - 1).bit_length())
-        self.symbols = max(1, min(symbols, 48 // self.bits))
+        self.symbols = max(1, min(SYMBOLS + FURTHER, 48 // self.bits))
+        self.plain = min(SYMBOLS, self.symbols)  # symbols of the vector itself
         self.trees, self.tail = trees, 62 - self.symbols * self.bits
-        shape = (trees * self.symbols, dimensions, dimensions)
-        self.rotations = np.linalg.qr(rng.normal(size=shape))[0].astype(np.float32)
-
-    def strings(self, vectors: np.ndarray, tree: int) -> np.ndarray:
-        """The strings of one tree, as integers whose high bits are the first symbols."""
+        self.means: list[dict[int, np.ndarray]] = [{} for _ in range(trees)]
+        if rotate:
+            rng = np.random.default_rng(seed)
+            shape = (trees * self.symbols, dimensions, dimensions)
+            self.rotations = np.linalg.qr(rng.normal(size=shape))[0].astype(np.float32)
+
+    def learn(self, sample: np.ndarray, most: float) -> list[dict[int, np.ndarray]]:
+        """The means of the rows of a sample whose first symbols in a tree are the same, where these are over ``most`` rows."""
+        for tree in range(self.trees):
+            strings = self._symbols(sample, tree, 0, self.plain)
+            found, at, count = np.unique(strings, return_inverse=True, return_counts=True)
+            self.means[tree] = {int(found[i]): sample[at == i].mean(0) for i in np.flatnonzero(count > most)}
+        return self.means
+
+    def _symbols(self, vectors: np.ndarray, tree: int, start: int, end: int) -> np.ndarray:
         out = np.zeros(len(vectors), np.int64)
-        for s in range(self.symbols):
+        for s in range(start, end):
             turned = vectors @ self.rotations[tree * self.symbols + s]
             axis = np.abs(turned).argmax(1)
             sign = turned[np.arange(len(vectors)), axis] > 0
             out = out << self.bits | axis * 2 + sign
         return out
 
-    def keys(self, strings: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Places in a tree's array: the string, then a hash of the id, so that equal strings can be cut apart."""
-        return strings << self.tail | _mix(ids) & ((1 << self.tail) - 1)
+    def strings(self, vectors: np.ndarray, tree: int) -> np.ndarray:
+        """The strings of one tree, as integers whose high bits are the first symbols."""
+        first = self._symbols(vectors, tree, 0, self.plain)
+        if self.means[tree]:
+            vectors = vectors.copy()
+            for string, mean in self.means[tree].items():
+                vectors[first == string] -= mean
+        further = self._symbols(vectors, tree, self.plain, self.symbols)
+        return first << (self.symbols - self.plain) * self.bits | further
+
+    def keys(self, strings: np.ndarray, ids: np.ndarray, tree: int) -> np.ndarray:
+        """Places in a tree's array: the string, then the tree's own hash of the id, so that equal strings can be cut apart."""
+        return strings << self.tail | _mix(ids ^ _mix(np.array([tree + 1]))) & ((1 << self.tail) - 1)
 
     def shared(self, keys: np.ndarray, key: int) -> np.ndarray:
         """Number of leading symbols that ``keys`` share with ``key``."""
@@ -130,25 +153,27 @@ def nearest(
     dimensions = len(nodes.select("v").first()["v"])
     budget = per_query or candidates(count)
     blocks, parts = max(1, count // block_rows), max(1, count // PART_ROWS)
-    sample = nodes.select("v").filter(F.pmod("h", F.lit(max(1, count // SAMPLE))) == 0).limit(2 * SAMPLE).collect()
+    sample = nodes.filter(F.pmod("h", F.lit(max(1, count // SAMPLE))) == 0).orderBy("h", "v").limit(2 * SAMPLE).select("v").collect()
     sample = _unit([r["v"] for r in sample] or [nodes.select("v").first()["v"]])
     shape = (dimensions, trees)
     forest = Forest(*shape)
+    means = forest.learn(sample, max(AROUND, len(sample) * budget / count / 2))
     bounds = []
     for tree in range(trees):
-        keys = np.sort(forest.keys(forest.strings(sample, tree), np.arange(len(sample))))
+        keys = np.sort(forest.keys(forest.strings(sample, tree), np.arange(len(sample)), tree))
         bounds.append(keys[np.linspace(0, len(keys), blocks + 1).astype(int)[1:-1]])
     cuts = np.array(bounds, np.int64).reshape(trees, blocks - 1)
 
     def plant(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Each node's place in each tree; the places of queries also in the blocks beside."""
         forest = Forest(*shape)
+        forest.means = means
         for frame in frames:
             for start in range(0, len(frame), AT_ONCE):
                 part = frame.iloc[start : start + AT_ONCE]
                 vectors, ids, asked = _unit(part["v"].tolist()), part["node"].to_numpy(), part["asked"].to_numpy()
                 for tree in range(trees):
-                    keys = forest.keys(forest.strings(vectors, tree), ids)
+                    keys = forest.keys(forest.strings(vectors, tree), ids, tree)
                     block = np.searchsorted(cuts[tree], keys, "right")
                     found = [pd.DataFrame({"block": tree * blocks + block, "key": keys, "node": ids, "role": 0})]
                     for step in (-1, 0, 1):
@@ -159,14 +184,12 @@ def nearest(
 
     def descend(frame: pd.DataFrame) -> pd.DataFrame:
         """The rows around each query in one block: those that share its first symbol, at most ``budget`` and at
-        least AROUND to either side."""
-        forest = Forest(1, 1)
-        forest.bits = max(1, int(2 * dimensions - 1).bit_length())
-        forest.symbols = max(1, min(SYMBOLS, 48 // forest.bits))
-        forest.tail = 62 - forest.symbols * forest.bits
+        least AROUND to either side; and how many have its whole string, -1 if there are more in blocks beyond."""
+        forest = Forest(dimensions, rotate=False)
         members = frame[frame["role"] == 0].sort_values(["key", "node"])
         keys, nodes = members["key"].to_numpy(), members["node"].to_numpy()
         step = 1 << (forest.tail + (forest.symbols - 1) * forest.bits)
+        tree = int(frame["block"].iloc[0]) // blocks
         out: list[tuple] = []
         queries = frame[frame["role"] == 1]
         for key, node in zip(queries["key"].tolist(), queries["node"].tolist(), strict=True):
@@ -176,24 +199,32 @@ def nearest(
             beside = len(keys) if len(keys) <= budget else AROUND  # a small table is taken whole
             low, high = max(0, min(low, at - beside)), min(len(keys), max(high, at + beside + 1))
             if low < high:
-                out.append((node, nodes[low:high], forest.shared(keys[low:high], key)))
-        return pd.DataFrame(out, columns=["query", "found", "shared"])
+                string = key >> forest.tail << forest.tail
+                equal = int(np.diff(np.searchsorted(keys, (string, string + (1 << forest.tail))))[0])
+                equal = -1 if equal == len(keys) and blocks > 1 else equal
+                out.append((node, tree, equal, nodes[low:high], forest.shared(keys[low:high], key)))
+        return pd.DataFrame(out, columns=["query", "tree", "equal", "found", "shared"])
 
     places = nodes.select("node", "v", "asked").mapInPandas(plant, "block int, key long, node long, role int")
-    met = places.groupBy("block").applyInPandas(descend, "query long, found array<long>, shared array<tinyint>")
-    met = met.groupBy("query").agg(F.collect_list(F.struct("found", "shared")).alias("trees"))
+    met = places.groupBy("block").applyInPandas(descend, "query long, tree int, equal long, found array<long>, shared array<tinyint>")
+    met = met.groupBy("query").agg(F.collect_list(F.struct("tree", "equal", "found", "shared")).alias("trees"))
 
     def ascend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The ``budget`` rows that share most with each query, by the part of the nodes they are in."""
+        """The ``budget`` rows that share most with each query, by the part of the nodes they are in; null for all rows, where
+        more than these have the query's string."""
         for frame in frames:
             out = []
             for query, found in zip(frame["query"].tolist(), frame["trees"], strict=True):
+                equal = np.array([t["equal"] for t in found], np.int64)
+                if (equal < 0).any() or np.bincount([t["tree"] for t in found], equal).max() > budget:
+                    out += [(query, p, None) for p in range(parts)]
+                    continue
                 ids = np.concatenate([np.asarray(t["found"], np.int64) for t in found])
                 depth = np.concatenate([np.asarray(t["shared"], np.int64) for t in found])
                 ids, at = np.unique(ids, return_inverse=True)
                 most = np.zeros(len(ids), np.int64)
                 np.maximum.at(most, at, depth)
-                order = np.lexsort((ids, -np.bincount(at, depth > 0), -most))[:budget]
+                order = np.lexsort((ids, -np.bincount(at, depth), -most))[:budget]
                 ids = ids[order]
                 part = _mix(ids) % parts
                 for p in np.unique(part).tolist():
@@ -216,7 +247,8 @@ def nearest(
             ids, vectors = frame["node"].to_numpy(), np.array(frame["v"].tolist(), np.float64)
             norms = np.linalg.norm(vectors, axis=1)
             for query, found, v in zip(asked["query"].tolist(), asked["found"], asked["v"], strict=True):
-                v, at = np.asarray(v, np.float64), np.searchsorted(ids, np.asarray(found, np.int64))
+                v = np.asarray(v, np.float64)
+                at = np.arange(len(ids)) if found is None else np.searchsorted(ids, np.asarray(found, np.int64))
                 score = (vectors[at] * v).sum(1) / (norms[at] * np.sqrt((v * v).sum()))
                 best = np.lexsort((ids[at], -score))[: k + 1]
                 out += [(query, int(ids[at][i]), float(score[i])) for i in best]

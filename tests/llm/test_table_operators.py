@@ -277,6 +277,24 @@ def test_nearest_with_many_blocks(shipped):
     assert hits / 150 >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.1, 0.003, 1e-5])
+def test_nearest_where_a_third_are_near_copies(shipped, spread):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(6000, 32))
+    x[::3] = x[0] + spread * rng.normal(size=(2000, 32))
+    df = shipped.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in forest.nearest(df, F.col("id") % 60 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 6000, 60):
+        far = ((x - x[q]) ** 2).sum(1)
+        far[q] = 9
+        hits += len(found[q] & set(np.argsort(far, kind="stable")[:5].tolist()))
+    assert forest.candidates(6000) < 1000 and hits >= 0.9 * 500
+
+
 def test_nearest_of_copies_and_unusable_vectors(shipped):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 0.0]) for i in range(20)] + [(50, [0.0, 1.0]), (51, None), (52, []), (53, [0.0, 0.0])]
