@@ -3,7 +3,8 @@
 Documents are summed by membership pattern (the set of sources they belong to). A network routes each
 pattern's words to the quotas of its sources; a pattern's words may be taken several times, each
 repetition at a higher cost, so first copies are used up before second ones. The whole copies of a
-pattern go to all its documents; the rest goes to documents in the order of a seeded hash.
+pattern go to all its documents; the rest goes to documents in the order of a seeded hash, each that fits in
+what is left by then, until none does, and at last to one that overshoots if that comes nearer.
 
 A null text has size 0. A null source is a source of its own, last in order. Documents of size 0 are
 never taken. Equal rows with equal doc_id share a hash and are taken together where they meet the cut.
@@ -27,7 +28,7 @@ SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS = 40
 BUCKET_BITS = 12
-FILL_ROUNDS = 4
+LAST_HASH = 1 << HASH_BITS
 
 
 def words(text: str) -> Column:
@@ -119,9 +120,10 @@ def mix(docs: DataFrame, quota: dict, copies: int = MAX_COPIES, seed: int = SEED
 
     ``docs`` has doc_id, size and pattern, an array of source names (sorted, each once; a null stands for a
     source without name); ``rows`` has these and any other columns. ``quota`` has the words wanted of
-    each source. The driver gets one row per pattern. The cut of the hash order is found from sums over
-    4096 ranges of the hash per pattern, then inside the one range that holds it, so no task sorts
-    the documents of a whole pattern. A source named in no quota gives nothing.
+    each source. The driver gets one row per pattern. The first document in the hash order that does not fit is found from sums
+    over 4096 ranges of the hash per pattern, then inside the one range that holds it, so no task sorts
+    the documents of a whole pattern; then the same again for the documents after it that are no larger than what is left.
+    A source named in no quota gives nothing.
     """
     rows = docs if rows is None else rows
     tag, value = F.xxhash64("pattern"), seeded_hash("doc_id", seed=seed)
@@ -132,49 +134,54 @@ def mix(docs: DataFrame, quota: dict, copies: int = MAX_COPIES, seed: int = SEED
     for r in found:
         words_of, wanted = capacity[tuple(r["pattern"])], taken[tuple(r["pattern"])]
         plan.append((r["tag"], *(divmod(wanted, words_of) if words_of else (0, 0))))
-    table = docs.sparkSession.createDataFrame(plan, "tag long, base long, rest long")  # a row per pattern
+    spark = docs.sparkSession
     sized = docs.filter("size > 0").select(tag.alias("tag"), value.alias("hash"), "size")
+    sized = written(sized, "hashes") if any(rest for _, _, rest in plan) else sized
     part = F.shiftright("hash", HASH_BITS - BUCKET_BITS).alias("part")
-    ranged = sized.groupBy("tag", part).agg(F.sum("size").alias("words"))
-    before = F.coalesce(F.sum("words").over(_until("part")), F.lit(0))
-    cut = ranged.withColumn("before", before).join(F.broadcast(table), "tag")
-    cut = cut.filter("before < rest and before + words >= rest")
-    cut = cut.select("tag", F.col("part").alias("cut"), (F.col("rest") - F.col("before")).alias("need"))
-    border = sized.join(F.broadcast(cut), "tag").filter(part == F.col("cut"))
-    tied = border.groupBy("tag", "need", "hash").agg(F.sum("size").alias("words"))
-    tied = tied.withColumn("before", F.coalesce(F.sum("words").over(_until("hash")), F.lit(0)))
-    fits = tied.filter(F.col("before") + F.col("words") <= F.col("need"))
-    last = fits.groupBy("tag").agg(F.max("hash").alias("last"), F.max(F.col("before") + F.col("words")).alias("filled"))
-    left = (F.col("need") - F.coalesce("filled", F.lit(0))).alias("left")
-    limits = cut.join(last, "tag", "left").select("tag", "cut", F.coalesce("last", F.lit(-1)).alias("last"), left)
-    limits = {r["tag"]: r.asDict() for r in limits.collect()}  # a row per pattern
-    spark = docs.sparkSession
-    # what is left at the cut goes to the largest document not yet taken that fits, a few times over, and at last to one
-    # that overshoots if that comes nearer
-    left, ones = {t: r["left"] for t, r in limits.items()}, {t: [] for t in limits}
-    for step in range(FILL_ROUNDS):
-        borders = [(t, limits[t]["cut"], limits[t]["last"], left[t], ones[t]) for t in limits if left[t] > 0]
-        if not borders:
-            break
-        table = spark.createDataFrame(borders, "tag long, cut long, last long, left long, ones array<long>")
-        rest = sized.join(F.broadcast(table), "tag").filter(~F.array_contains("ones", F.col("hash")))
-        rest = rest.filter((part > F.col("cut")) | (part == F.col("cut")) & (F.col("hash") > F.col("last")))
-        off = F.abs(F.col("size") - F.col("left"))
-        fits = F.col("size") <= F.col("left") if step + 1 < FILL_ROUNDS else off < F.col("left")
-        best = rest.filter(fits).groupBy("tag").agg(F.min(F.struct(off, "hash", "size")).alias("best"))
-        found = {r["tag"]: r["best"] for r in best.collect()}  # a row per pattern
+    left, spans = {t: rest for t, _, rest in plan}, {t: [] for t, _, _ in plan}
+    after = {t: -1 for t, rest in left.items() if rest}
+    while after:  # a row per pattern in all that the driver sends and gets
+        table = spark.createDataFrame([(t, h, left[t]) for t, h in after.items()], "tag long, after long, left long")
+        fits = sized.join(F.broadcast(table), "tag").filter("hash > after and size <= left")
+        ranged = fits.groupBy("tag", "left", part).agg(F.sum("size").alias("words"))
+        ranged = ranged.withColumn("before", F.coalesce(F.sum("words").over(_until("part")), F.lit(0)))
+        over = F.min(F.when(F.col("before") + F.col("words") > F.col("left"), F.struct("part", "before"))).alias("cut")
+        found = {r["tag"]: r for r in ranged.groupBy("tag").agg(F.sum("words").alias("words"), over).collect()}
+        cuts = [(t, r["cut"]["part"], left[t] - r["cut"]["before"]) for t, r in found.items() if r["cut"]]
+        misfits = {}
+        if cuts:
+            table = spark.createDataFrame(cuts, "tag long, cut long, need long")
+            border = fits.join(F.broadcast(table), "tag").filter(part == F.col("cut"))
+            tied = border.groupBy("tag", "need", "hash").agg(F.sum("size").alias("words"))
+            tied = tied.withColumn("before", F.coalesce(F.sum("words").over(_until("hash")), F.lit(0)))
+            tied = tied.filter(F.col("before") + F.col("words") > F.col("need"))
+            first = F.min(F.struct("hash", (F.col("need") - F.col("before")).alias("left"))).alias("first")
+            misfits = {r["tag"]: r["first"] for r in tied.groupBy("tag").agg(first).collect()}
         for t, r in found.items():
-            left[t] -= r["size"]
-            ones[t].append(r["hash"])
-    name = {c: fresh(rows, c) for c in ("tag", "base", "cut", "last", "ones")}
-    plan = [
-        (t, base, *((limits[t]["cut"], limits[t]["last"], ones[t]) if t in limits else (None, None, []))) for t, base, _ in plan
-    ]
-    schema = "{tag} long, {base} long, {cut} long, {last} long, {ones} array<long>".format(**name)
+            end = misfits[t]["hash"] if t in misfits else LAST_HASH
+            spans[t].append((after[t], end, left[t]))
+            left[t] = misfits[t]["left"] if t in misfits else left[t] - r["words"]
+        after = {t: m["hash"] for t, m in misfits.items() if left[t]}
+    kind = "array<struct<after:long,before:long,most:long>>"
+
+    def taken_by(spans: str, value: Column) -> Column:
+        inside = lambda x: (value > x["after"]) & (value < x["before"]) & (F.col("size") <= x["most"])
+        return F.exists(spans, inside)
+
+    open_ones = [(t, n, spans[t]) for t, n in left.items() if n]
+    if open_ones:
+        table = spark.createDataFrame(open_ones, f"tag long, left long, spans {kind}")
+        rest = sized.join(F.broadcast(table), "tag").filter(~taken_by("spans", F.col("hash")) & (F.col("size") < 2 * F.col("left")))
+        rest = rest.groupBy("tag", "left", "hash").agg(F.sum("size").alias("words"), F.max("size").alias("most"))
+        off = F.abs(F.col("words") - F.col("left")).alias("off")
+        best = rest.filter(off < F.col("left")).groupBy("tag").agg(F.min(F.struct(off, "hash", "most")).alias("best"))
+        for t, r in best.collect():
+            spans[t].append((r["hash"] - 1, r["hash"] + 1, r["most"]))
+    name = {c: fresh(rows, c) for c in ("tag", "base", "spans")}
+    plan = [(t, base, spans[t]) for t, base, _ in plan]
+    schema = f"{name['tag']} long, {name['base']} long, {name['spans']} {kind}"
     marked = rows.withColumn(name["tag"], tag).join(F.broadcast(spark.createDataFrame(plan, schema)), name["tag"], "left")
-    range_of = F.shiftright(value, HASH_BITS - BUCKET_BITS)
-    in_rest = (range_of < F.col(name["cut"])) | (range_of == F.col(name["cut"])) & (value <= F.col(name["last"]))
-    in_rest = in_rest | F.array_contains(name["ones"], value)
+    in_rest = F.coalesce(taken_by(name["spans"], value), F.lit(False))
     times = F.coalesce(F.col(name["base"]), F.lit(0)) + F.when(in_rest, 1).otherwise(0)
     times = F.when(F.col("size") > 0, F.least(times, F.lit(copies))).otherwise(0)
     return marked.withColumn("copies", times.cast("int")).drop(*name.values())

@@ -229,6 +229,20 @@ def test_mix_of_overlapping_sources(shipped):
     assert mixed.agg(F.max("copies")).first()[0] == 1  # nothing twice while first copies are left
 
 
+def test_mix_fills_the_rest_beside_long_documents(shipped):
+    rows = [(i, 100, ["a"]) for i in range(1000)] + [(5000 + i, 100_000, ["a"]) for i in range(3)]
+    rows += [(10_000 + i, 1 + i * i % 977, ["b"]) for i in range(600)] + [(20_000 + i, 40_000 + i, ["b"]) for i in range(5)]
+    df = shipped.createDataFrame(rows, "doc_id long, size long, pattern array<string>")
+    wanted = {"a": 60_000, "b": 130_001}
+    mixed = mixing.mix(df, wanted).collect()
+    for source in "ab":
+        mine = [r for r in mixed if r.pattern == [source]]
+        rest = [r["size"] for r in mine if not r.copies]
+        assert abs(wanted[source] - sum(r["size"] * r.copies for r in mine)) < min(rest)
+        assert all(r.copies <= 1 for r in mine)
+    assert sum(r["size"] * r.copies for r in mixed if r.pattern == ["a"]) == 60_000
+
+
 def test_mix_odd_rows(shipped):
     rows = [(1, None, "s"), (2, "", None), (3, "a b", None), (3, "a b", None), (None, "c", "s"), (4, "   x", "")]
     df = shipped.createDataFrame(rows, "doc_id long, text string, source string").withColumn("copies", F.lit("clash"))
