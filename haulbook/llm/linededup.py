@@ -4,7 +4,12 @@ Two documents are a pair if they share a line. A line in at most ``rare`` docume
 a more frequent one pairs each with the first document that has it, so no number of sharers is cut
 off and no group is paired out. The shared lines of a pair are aligned by patience diff, and aligned
 lines that follow each other in the later document (the one with the larger doc_id) form blocks. Blocks of at
-least ``min_words`` words are deleted from the later document. The first holder of a line keeps it.
+least ``min_words`` words are deleted from the later document, each pair's on their own. A pair's shared lines are all lines both have, not only
+those that made it a pair.
+
+A passage that any earlier document has in one piece is found whatever the alignment with first holders drops: the shortest runs of
+lines with ``min_words`` words from each line on, and up to each line, are hashed, and a run goes from all documents but its
+first holder. Every line of a shared passage of that many words is in such a run inside the passage.
 
 Lines are what ``\\n`` separates, compared without ASCII white space at their ends; blank lines pair
 nothing, and one inside a block goes with it. A null text stays null and an empty one empty; a document
@@ -122,43 +127,53 @@ def blocks(aligned: set[int], words: dict[int, int], blank: set[int], min_words:
 
 
 def _lines(df: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(doc, hash, places, words): each distinct line of each document, the document's rows one after another."""
+    """(doc, row, hash, places, words): each distinct line of each text, its places among the lines that are not blank."""
     rows = df.select(F.col(id_column).alias("doc"), F.col(text).alias("text")).filter("doc is not null")
     kind = rows.schema["doc"].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.select(["doc", "text"]), "text"):
-                rows, hashes, places, words = [], [], [], []
+                rows, texts, hashes, places, words = [], [], [], [], []
                 for i, value in enumerate(part.column(1).to_pylist()):
                     found: dict[int, tuple[list[int], int]] = {}
-                    for n, (h, w) in enumerate(zip(*line_hashes(value or ""), strict=True)):
-                        if h is not None:
-                            found.setdefault(h, ([], w))[0].append(n)
+                    lines = [x for x in zip(*line_hashes(value or ""), strict=True) if x[0] is not None]
+                    for n, (h, w) in enumerate(lines):
+                        found.setdefault(h, ([], w))[0].append(n)
                     rows += [i] * len(found)
+                    texts += [xxhash.xxh3_64_intdigest(value or "") - (1 << 63)] * len(found)
                     hashes += found
                     places += [p for p, _ in found.values()]
                     words += [w for _, w in found.values()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(rows, pa.int64())),
+                        pa.array(texts, pa.int64()),
                         pa.array(hashes, pa.int64()),
                         pa.array(places, pa.list_(pa.int32())),
                         pa.array(words, pa.int32()),
                     ],
-                    names=["doc", "hash", "places", "words"],
+                    names=["doc", "row", "hash", "places", "words"],
                 )
         give_back()
 
-    return rows.mapInArrow(split, f"doc {kind}, hash long, places array<int>, words int")
+    return rows.mapInArrow(split, f"doc {kind}, row long, hash long, places array<int>, words int")
 
 
-def shared_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", rare: int = RARE) -> DataFrame:
-    """(later, earlier, hash, words, places, other): the shared lines of every pair of documents."""
+def _held(df: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``_lines`` that several documents or texts have, with the first holder and the number of holders."""
     lines = written(_lines(df, id_column, text), "lines")
     first = F.min(F.struct("doc", "places")).alias("first")
     known = lines.groupBy("hash").agg(first, F.count("*").alias("holders")).filter("holders > 1")
-    held = written(skew_join(lines, known, ["hash"]), "shared")
+    return written(skew_join(lines, known, ["hash"]), "shared")
+
+
+def shared_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", rare: int = RARE) -> DataFrame:
+    """(later, earlier, hash, words, places, other): the lines that make pairs of documents."""
+    return _pairing(_held(df, id_column, text), rare)
+
+
+def _pairing(held: DataFrame, rare: int) -> DataFrame:
     common = held.filter((F.col("holders") > rare) & (F.col("doc") > F.col("first.doc")))
     common = common.select(
         F.col("doc").alias("later"),
@@ -183,13 +198,65 @@ def shared_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", r
     return common.unionByName(pairs)
 
 
+def _completed(pairing: DataFrame, held: DataFrame, rare: int) -> DataFrame:
+    """``pairing`` with the frequent lines that a pair shares but that did not make it."""
+    often = held.filter(F.col("holders") > rare)
+    pairs = pairing.select("later", "earlier").distinct()
+    mine = often.select(F.col("doc").alias("later"), "hash", "words", "places", F.col("first.doc").alias("known"))
+    theirs = often.select(F.col("doc").alias("earlier"), "hash", F.col("places").alias("other"))
+    more = skew_join(pairs, mine, ["later"]).filter("earlier <> known").drop("known")
+    more = skew_join(more, theirs, ["earlier", "hash"])
+    return pairing.unionByName(more)
+
+
+def runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """Start and end of the shortest runs of at least ``min_words`` words from each line on, and up to each line."""
+    out, n = set(), len(words)
+    for way in (1, -1):
+        items, total, end = words[::way], 0, 0
+        for start in range(n):
+            while end < n and total < min_words:
+                total, end = total + items[end], end + 1
+            if total < min_words:
+                break
+            out.add((start, end) if way == 1 else (n - end, n - start))
+            total -= items[start]
+    return out
+
+
+def _known_runs(held: DataFrame, min_words: int) -> DataFrame:
+    """(doc, lines): the lines of each document in runs that an earlier document has too; of each -1, its place and its hash."""
+    entry = F.struct("hash", "places", "words")
+    texts = held.groupBy("doc", "row").agg(F.collect_list(entry).alias("shared"))
+
+    @F.pandas_udf("array<struct<run:long,lines:array<long>>>")
+    def runs_of(shared: pd.Series) -> pd.Series:
+        out = []
+        for entries in shared:
+            lines = sorted({(p, e["hash"], e["words"]) for e in entries for p in e["places"].tolist()})
+            gaps = [i for i in range(1, len(lines)) if lines[i][0] != lines[i - 1][0] + 1]
+            found: dict[int, set] = {}
+            for a, b in zip([0, *gaps], [*gaps, len(lines)], strict=True):
+                for start, end in runs([w for _, _, w in lines[a:b]], min_words):
+                    part = [(p, h) for p, h, _ in lines[a + start : a + end]]
+                    name = xxhash.xxh3_64_intdigest(np.array([h for _, h in part], "<i8").tobytes()) - (1 << 63)
+                    found.setdefault(name, set()).update(part)
+            out.append([{"run": r, "lines": [x for p, h in sorted(ls) for x in (-1, p, h)]} for r, ls in found.items()])
+        return pd.Series(out)
+
+    held_runs = written(texts.select("doc", F.explode(runs_of("shared")).alias("x")).select("doc", "x.run", "x.lines"), "runs")
+    first = held_runs.groupBy("run").agg(F.min("doc").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return skew_join(held_runs, first, ["run"]).filter("doc > first").select("doc", "lines")
+
+
 def repeated_lines(
-    df: DataFrame, id_column: str = "doc_id", text: str = "text", rare: int = RARE
+    df: DataFrame, id_column: str = "doc_id", text: str = "text", rare: int = RARE, min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """(doc, lines): the lines of each document that are aligned with an earlier document's, in order; of each
-    its place and its hash, one after the other."""
-    pairs = shared_lines(df, id_column, text, rare)
-    entry = F.struct("earlier", "hash", "places", "other")
+    """(doc, lines): the lines of each document that are aligned with an earlier document's or in a run that one has; of each
+    a number of the earlier document (-1 for runs), its place and its hash, one after the other."""
+    held = _held(df, id_column, text)
+    pairs = _completed(written(_pairing(held, rare), "pairs"), held, rare)
+    entry = F.struct("earlier", "hash", "places", "other", "words")
     gathered = pairs.groupBy(F.col("later").alias("doc")).agg(F.collect_list(entry).alias("shared"))
 
     @F.pandas_udf("array<long>")
@@ -198,17 +265,20 @@ def repeated_lines(
         for entries in shared:
             by: dict = {}
             for e in entries:
-                h, p, o = by.setdefault(e["earlier"], ([], [], []))
+                h, p, o, w = by.setdefault(e["earlier"], ([], [], [], []))
                 h.append(e["hash"])
                 p.append(e["places"].tolist())
                 o.append(e["other"].tolist())
-            found: set[tuple[int, int]] = set()
-            for h, p, o in by.values():
-                found |= aligned_lines(h, p, o)
-            out.append(np.array(sorted(found), np.int64).ravel())
+                w.append(e["words"] * len(p[-1]))
+            found: set[tuple] = set()
+            for h, p, o, w in by.values():
+                if sum(w) >= min_words:
+                    found.add(tuple(sorted(aligned_lines(h, p, o))))
+            out.append(np.array([(n, *x) for n, lines in enumerate(sorted(found)) for x in lines], np.int64).ravel())
         return pd.Series(out)
 
-    return gathered.select("doc", align("shared").alias("lines"))
+    every = gathered.select("doc", align("shared").alias("lines")).unionByName(_known_runs(held, min_words))
+    return every.groupBy("doc").agg(F.flatten(F.collect_list("lines")).alias("lines"))
 
 
 def without_repeated_lines(
@@ -225,7 +295,7 @@ def without_repeated_lines(
     ``n_chars`` names a column to set to the new length; ``stats`` adds n_lines and removed_lines.
     """
     lines, row_id = fresh(df, "lines"), fresh(df, "doc")
-    found = repeated_lines(df, id_column, text, rare).select(F.col("doc").alias(row_id), F.col("lines").alias(lines))
+    found = repeated_lines(df, id_column, text, rare, min_words).select(F.col("doc").alias(row_id), F.col("lines").alias(lines))
     plain = df.withColumn(row_id, F.col(id_column))
     marked = skew_join(plain, found, [row_id], "left").drop(row_id)
     added = ["n_lines", "removed_lines"] if stats else []
@@ -246,9 +316,13 @@ def without_repeated_lines(
                     if some:
                         hashes, words = line_hashes(value)
                         blank = {i for i, h in enumerate(hashes) if h is None}
-                        pairs = zip(some[::2], some[1::2], strict=True)
-                        here = {x for x, h in pairs if x < len(hashes) and hashes[x] == h}  # not of another row of this id
-                        drop = blocks(here, dict(enumerate(words)), blank, min_words)
+                        full = [i for i, h in enumerate(hashes) if h is not None]
+                        by: dict[int, set[int]] = {}
+                        for pair, x, h in zip(some[::3], some[1::3], some[2::3], strict=True):
+                            if x < len(full) and hashes[full[x]] == h:  # not of another row of this id
+                                by.setdefault(pair, set()).add(full[x])
+                        for here in by.values():
+                            drop |= blocks(here, dict(enumerate(words)), blank, min_words)
                     texts.append("\n".join(p for i, p in enumerate(pieces) if i not in drop) if drop else value)
                     counts.append(len(pieces))
                     gone.append(len(drop))

@@ -163,6 +163,23 @@ def test_shared_lines_against_brute_force(shipped):
     assert found == expected
 
 
+def test_passages_that_the_first_holder_has_in_another_order(shipped):
+    a, b = [line("a1"), line("a2")], [line("b1"), line("b2")]
+    texts = ["\n".join([*b, *a])] + ["\n".join([line(f"own{i}_"), *a, *b]) for i in range(30)]
+    texts += ["\n".join([line("y"), line("x")])] + ["\n".join([line(f"z{i}_"), line("x"), "", line("y")]) for i in range(20)]
+    rows = {r.doc_id: r.text for r in linededup.without_repeated_lines(documents(shipped, texts)).collect()}
+    assert rows[0] == texts[0] and all(rows[i] == line(f"own{i - 1}_") for i in range(1, 31))
+    assert rows[31] == texts[31] and rows[32] == texts[32]  # the first that has them in this order
+    assert all(rows[i] == line(f"z{i - 32}_") for i in range(33, 52))
+
+
+def test_short_lines_from_different_documents_stay(shipped):
+    shorts = [line(f"s{i}_", 6) for i in range(5)]
+    texts = [f"{line(f'own{i}_')}\n{s}" for i, s in enumerate(shorts)] + ["\n".join(shorts), "\n".join(shorts[1:])]
+    rows = {r.doc_id: r.text for r in linededup.without_repeated_lines(documents(shipped, texts)).collect()}
+    assert [rows[i] for i in range(7)] == [*texts[:6], ""]
+
+
 # --- mixing
 
 
