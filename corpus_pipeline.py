@@ -44,10 +44,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, the ids of each text and their number."""
+    """doc_id, source, the ids of each text, their number, and the digest of the text they are decoded to."""
     ship(spark)
-    found = bpe.with_tokens(docs.select("doc_id", "source", "text"))
-    return found.select("doc_id", "source", F.size("token_ids").alias("n_tokens"), "token_ids")
+    found = bpe.with_tokens(docs.select("doc_id", "source", "text"), digest="decoded_sha256")
+    return found.select("doc_id", "source", F.size("token_ids").alias("n_tokens"), "token_ids", "decoded_sha256")
 
 
 STAGES = [

@@ -313,21 +313,37 @@ def rank_file(path: str | None = None) -> bytes:
 
 
 def with_tokens(
-    df: DataFrame, path: str | None = None, text: str = "text", ids: str = "token_ids", pattern: str | None = None
+    df: DataFrame,
+    path: str | None = None,
+    text: str = "text",
+    ids: str = "token_ids",
+    pattern: str | None = None,
+    digest: str | None = None,
 ) -> DataFrame:
-    """``df`` with the ids of each whole text as array<int>; no shuffle."""
+    """``df`` with the ids of each whole text as array<int>; no shuffle.
+
+    ``digest`` names a column for the SHA-256 of the bytes that the ids are decoded to.
+    """
     lines, cut = rank_file(path), pattern or public_tokenizers.PATTERN
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    if digest:
+        fields.append(T.StructField(digest, T.StringType()))
 
     def work():
-        encoder = codec(lines, cut)
+        both = codec(lines, cut)
 
         def apply(texts: pa.Array) -> list[pa.Array]:
-            offsets, values = encoder.encode(texts)
-            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(np.int32)))]
+            offsets, values = both.encode(texts)
+            out = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(np.int32)))]
+            if digest:
+                edges, data = _buffers(both.decode(offsets, values))
+                data = memoryview(data.tobytes())
+                out.append(pa.array([sha256(data[a:b]).hexdigest() for a, b in pairwise(edges.tolist())], pa.string()))
+            return out
 
         return apply
 
-    return add_columns(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], work, limit=SLICE, arrow=True)
+    return add_columns(df, text, fields, work, limit=SLICE, arrow=True)
 
 
 def with_decoded(df: DataFrame, path: str | None = None, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:

@@ -441,6 +441,12 @@ def test_pipeline_stages_one_after_another(shipped, small):
     assert all(r.n_tokens == len(r.token_ids) for r in rows)
 
 
+def test_last_stage_decodes_what_it_encodes(shipped):
+    texts = ["The house, 日本語 😀", "", None, "a  b\n\n c" * 300]
+    rows = corpus_pipeline.tokens(shipped, documents(shipped, texts, source="s"), "").collect()
+    assert {r.doc_id: r.decoded_sha256 for r in rows} == {i: sha256((x or "").encode()).hexdigest() for i, x in enumerate(texts)}
+
+
 def test_pipeline_on_odd_tables(shipped):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, fp int"
     rows = [(None, None, None, None, None, "x", 1), (1, "", "en", "s", 0, "x", 1), (2, "the house", "en", None, 9, "x", 1),
