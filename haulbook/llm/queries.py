@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over whole tables with production parameters."""
+"""The registered queries of the operators, over whole tables with production parameters."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulbook.llm import bpe, forest, langid, linededup, lmscore, mixing, simhash, sketch, toxicity, warc
+from haulbook.llm import bpe, forest, langid, linededup, lmscore, mixing, nra, sharding, simhash, sketch, toxicity, vafile, warc
 from haulbook.llm.common import crc_fold, ship
 
 
@@ -71,6 +71,29 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    shuffled = sharding.into_shards(docs)
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    return shuffled.select(
+        "doc_id",
+        (F.octet_length(data) + 8).cast("long").alias("size"),
+        F.crc32(data).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +114,40 @@ ALL = [
     op8_cross_entropy,
     op9_mixing,
     op10_simhash,
+    op11_sharding,
+    op12_va_file,
+    op13_nra,
 ]
+
+
+def _k_means_sql(rounds: int = vafile.ROUNDS) -> str:
+    """The rounds of op12, one after another, over one row per vector and component."""
+    kept = f"""
+        kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+                list_transform(embedding, lambda x: floor({vafile.SCALE} * x::double)::bigint) AS v
+            FROM embeddings WHERE len(embedding) = {vafile.DIMENSIONS}
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {vafile.DIMENSIONS}),
+        axes AS MATERIALIZED (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM kept),
+        c0 AS MATERIALIZED (SELECT n, unnest(v) AS x, generate_subscripts(v, 1) AS d
+            FROM (SELECT row_number() OVER (ORDER BY sha256('{vafile.SEED}:' || vec_id)) - 1 AS n, v FROM kept)
+            WHERE n < {vafile.CENTROIDS})"""
+    near = """
+        a{i} AS MATERIALIZED (SELECT r, min(f).n AS n, min(f).far AS far
+            FROM (SELECT r, {{'far': far, 'n': n}} AS f
+                FROM (SELECT a.r, c.n, sum((a.x - c.x) * (a.x - c.x)) AS far FROM axes a JOIN c{i} c USING (d) GROUP BY ALL))
+            GROUP BY r)"""
+    move = """
+        c{j} AS MATERIALIZED (SELECT c.n, c.d, coalesce((s.t - ((s.t % s.m) + s.m) % s.m) // s.m, c.x) AS x
+            FROM c{i} c LEFT JOIN (SELECT n, d, sum(x) AS t, count(*) AS m FROM axes JOIN a{i} USING (r) GROUP BY ALL) s USING (n, d))"""
+    steps = [kept, *[t.format(i=i, j=i + 1) for i in range(rounds) for t in (near, move)], near.format(i=rounds)]
+    return f"""WITH {",".join(steps)}
+        SELECT vec_id, a.n::int AS cluster, a.far::bigint AS distance,
+            (sum(a.far) OVER (PARTITION BY a.n))::bigint AS cluster_inertia, (sum(a.far) OVER ())::bigint AS inertia,
+            sha AS centroid_sha256
+        FROM a{rounds} a JOIN kept USING (r) JOIN (
+            SELECT n, sha256(string_agg(x::bigint::varchar, ',' ORDER BY d)) AS sha FROM c{rounds} GROUP BY n) USING (n)"""
+
+
 QUERIES = {q.__name__: shipped(q) for q in ALL}
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": """
@@ -101,4 +157,23 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN octet_length(encode(body)) >= 100 AND page_id <> first THEN first END AS refers_to
         FROM (SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
             FROM pages)""",
+    "op12_va_file": _k_means_sql(),
+    "op13_nra": """
+        WITH words AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+        size AS (SELECT count(*)::bigint AS big_n, sum(len(ts))::bigint AS big_l FROM words WHERE len(ts) > 0),
+        postings AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM words) GROUP BY ALL),
+        weights AS (SELECT term, floor(1000 * ln((2 * max(big_n) + 2) / (2 * count(*) + 1)))::bigint AS w
+            FROM postings, size GROUP BY term),
+        asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+        lengths AS (SELECT r, doc_id, 100 - 50 + ((50 * len(ts) * big_n) // big_l) AS m FROM words, size WHERE len(ts) > 0),
+        scores AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS score
+            FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (r) GROUP BY ALL)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::int AS rank, doc_id,
+            score::bigint AS score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 50""",
 }
