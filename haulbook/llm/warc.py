@@ -9,7 +9,10 @@ gets the candidates that start inside it, the last one to its end beyond the ran
 inflating them and decoding the record's header. The magic also occurs by chance inside members; such pieces
 are appended to the member they belong to, and where the range ends within one, the pieces of both
 tasks meet in a second step, which is the only shuffle and nearly always empty. A member that is broken or not a
-WARC record is returned with ``valid`` false and the reason, never dropped.
+WARC record is returned with ``valid`` false and the reason, never dropped. Every candidate that arrives while a member is open is
+validated on its own: if the open member turns out to be damaged (it does not inflate, inflates to more than its header
+says, or has no end), reading goes on at the first candidate after its beginning that is a record. Bytes between records that are
+no record give one such row for each run of them.
 
 A null payload is written as an empty one; a null url leaves out the target; a null id is written as
 ``null``. Rows with equal id and payload are equal records. An empty table gives an empty archive, and an empty
@@ -37,6 +40,8 @@ URN = "urn:haulbook:record:"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 6
+CHECKED = 512  # bytes of a candidate that show whether it begins a record
+PADDING = 1024  # bytes that a member may have beyond its record
 # Hadoop looks up a file's codec by the longest ending in order; one for "!.gz" hides that of ".gz" and does nothing itself.
 # The second name of its option is that of Hadoop's shaded client, which Spark ships.
 READ_RAW = {
@@ -191,11 +196,21 @@ class _Member:
 
     def __init__(self, piece: bytes):
         self.inflater, self.pieces, self.out = zlib.decompressobj(31), [], []
+        self.size, self.most = 0, None
         self.add(piece)
 
     def add(self, piece: bytes) -> None:
         self.pieces.append(piece)
         self.out.append(self.inflater.decompress(piece))
+        self.size += len(self.out[-1])
+        if self.most is None:
+            self.out = [b"".join(self.out)]
+            head, found, _ = self.out[0].partition(b"\r\n\r\n")
+            said = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", head) if found else None
+            if said:
+                self.most = len(head) + 4 + int(said[1]) + PADDING
+        if self.most is not None and self.size > self.most:
+            raise zlib.error("more bytes than its header says")
 
     @property
     def ended(self) -> bool:
@@ -211,42 +226,68 @@ def _broken(reason: str) -> tuple:
     return (*[None] * 7, False, reason)
 
 
+def _begins(piece: bytes) -> bool:
+    """Whether a piece by itself begins with a record's header, or is too short to tell."""
+    try:
+        data = zlib.decompressobj(31).decompress(piece[:CHECKED], 5)
+    except zlib.error:
+        return False
+    return data == b"WARC/" or len(piece) < CHECKED and b"WARC/".startswith(data)
+
+
 def members(pieces: Iterator[bytes], whole: bool) -> Iterator[tuple[str, object]]:
     """Records, and the fragments at either end, of the pieces that start inside one byte range.
 
     Yields ("record", fields), ("head", bytes) for pieces before the first member, and ("tail", bytes) for
     a member without its end. With ``whole`` the pieces are all there are, and both are broken records.
     """
-    member, started = None, False
-    for piece in pieces:
-        if member is not None:
-            try:
+    member, started, lost = None, False, False
+    again: list[bytes] = []  # pieces to be read anew, the next one last
+    later: list[bytes] = []  # pieces of the open member from the first that is a record by itself
+
+    def damaged(reason: object) -> Iterator[tuple[str, object]]:
+        nonlocal member, later, lost
+        if not lost:
+            yield "record", _broken(f"broken member: {reason}")
+        again.extend(reversed(later))
+        member, later, lost = None, [], True
+
+    while True:
+        piece = again.pop() if again else next(pieces, None)
+        if piece is None:
+            if member is None:
+                return
+            if not whole:
+                yield "tail", b"".join(member.pieces)
+                return
+            yield from damaged("without end")
+            continue
+        try:
+            if member is not None:
+                if later or _begins(piece):
+                    later.append(piece)
                 member.add(piece)
-            except zlib.error as e:
-                yield "record", _broken(f"broken member: {e}")
-                member = None
-        else:
-            try:
+            else:
                 member = _Member(piece)
-                if not member.starts_record() and (member.ended or len(piece) > 64):
+                if not member.starts_record() and (member.ended or len(piece) > CHECKED):
                     raise zlib.error("not a WARC record")
                 started = True
-            except zlib.error as e:
+                lost = lost and not member.size
+        except zlib.error as e:
+            if started or whole:
+                yield from damaged(e)
+            else:
                 member = None
-                if started or whole:
-                    yield "record", _broken(f"broken member: {e}")
-                else:
-                    yield "head", piece
-        if member is not None and member.ended:
-            data = b"".join(member.out)
+                yield "head", piece
+            continue
+        if member.ended:
+            data, rest = b"".join(member.out), member.inflater.unused_data
+            lost = False
             if data:
                 yield "record", parse(data) or _broken("not a WARC record")
-            member = None
-    if member is not None:
-        if whole:
-            yield "record", _broken("member without end")
-        else:
-            yield "tail", b"".join(member.pieces)
+            member, later = None, []
+            if rest.strip(b"\0"):
+                yield from damaged("bytes that are no member")
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -328,8 +369,13 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     def stitch(frame: pd.DataFrame) -> pd.DataFrame:
         """The fragments of one file, in order: each end of a range goes on in the heads after it."""
         frame = frame.sort_values(["start", "place"])
-        pieces = [bytes(x) for x in frame["fragment"]]
-        found = [v for _, v in members(iter(pieces), True)]
+        runs: list[list[bytes]] = []
+        for fragment in frame["fragment"]:
+            pieces = [MAGIC + x for x in bytes(fragment).split(MAGIC)[1:]] or [bytes(fragment)]
+            if not runs or _begins(pieces[0]):  # the end of a range
+                runs.append([])
+            runs[-1] += pieces
+        found = [v for pieces in runs for _, v in members(iter(pieces), True)]
         found = [v if payloads else (*v[:6], None, *v[7:]) for v in found]
         return pd.DataFrame(found, columns=RECORD.names, dtype=object)
 

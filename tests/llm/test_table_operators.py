@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from haulbook.llm import forest, linededup, mixing, simhash, warc
-from haulbook.llm.common import new_folder, ship
+from haulbook.llm.common import new_folder, shared_folder, ship
 from haulbook.llm.components import components
 from haulbook.llm.queries import ORACLE_SQL, QUERIES
 
@@ -413,6 +413,46 @@ def test_reader_reports_broken_members(shipped, tmp_path):
     assert {r.problem for r in rows} >= {"payload digest differs"}
 
 
+@pytest.mark.parametrize("level", [0, 6])
+def test_reader_goes_on_behind_a_damaged_member(shipped, tmp_path, monkeypatch, level):
+    """A member in the middle of a file is cut at ten places: every other record comes back, and one broken row."""
+    monkeypatch.setattr(warc, "LEVEL", level)
+    rng = np.random.default_rng(level)
+    letters = np.array(list("abcdefgh \n"))
+    texts = ["".join(rng.choice(letters, 2500)).encode() for _ in range(9)]
+    records = [warc.record(str(i), t, sha256(t).hexdigest()) for i, t in enumerate(texts)]
+    cuts = np.linspace(12, len(records[4]) - 6, 10).astype(int).tolist()
+    files = [[*records[:4], records[4][:cut], *records[5:]] for cut in cuts]
+    files.append([*records[:3], records[3][:500], records[4][:700], *records[5:]])  # two in a row
+    for f in files:
+        for size in (300, 1500, 1 << 20):
+            data, ranges = b"".join(f), {}
+            # as Spark's text source deals them: a piece belongs to the range in which its separator begins
+            starts = [m.start() for m in re.finditer(re.escape(warc.MAGIC), data)]
+            for a, b in zip(starts, [*starts[1:], len(data)], strict=True):
+                ranges.setdefault(a // size, []).append(data[a:b])
+            found, fragments = [], []
+            for pieces in ranges.values():
+                for kind, value in warc.members(iter(pieces), False):
+                    (found if kind == "record" else fragments).append(value)
+            joined = [warc.MAGIC + x for x in b"".join(fragments).split(warc.MAGIC)[1:]]
+            found += [v for _, v in warc.members(iter(joined), True)]
+            good = sorted(int(v[0].removeprefix(warc.URN)) for v in found if v[7])
+            lost = {3, 4} if len(f) == 9 and f[3] != records[3] else {4}
+            assert good == [i for i in range(9) if i not in lost]
+            assert sum(not v[7] for v in found) == len(lost)
+    path = archive(tmp_path, "cut.warc.gz", files[5])
+    for size in ("700", "134217728"):
+        shipped.conf.set("spark.sql.files.maxPartitionBytes", size)
+        shipped.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            rows = warc.read_warc(shipped, path).collect()
+        finally:
+            shipped.conf.unset("spark.sql.files.maxPartitionBytes")
+            shipped.conf.unset("spark.sql.files.openCostInBytes")
+        assert sorted(r.record_id[-1] for r in rows if r.valid) == list("01235678") and len(rows) == 9
+
+
 def test_large_member_ends_with_zero():
     data = np.random.default_rng(1).bytes(17 << 20)
     member = warc.record("1", data, sha256(data).hexdigest())
@@ -447,6 +487,27 @@ def test_last_stage_decodes_what_it_encodes(shipped):
     assert {r.doc_id: r.decoded_sha256 for r in rows} == {i: sha256((x or "").encode()).hexdigest() for i, x in enumerate(texts)}
 
 
+def test_stages_keep_further_columns(shipped, small):
+    docs = shipped.read.parquet(f"{small}/documents.parquet").limit(60)
+    more = docs.withColumns({"score": F.lit("kept"), "lang_pred": F.col("doc_id"), "_fp": F.lit(1.5)})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(shipped, more, small)
+        assert out.dtypes == more.dtypes
+        rows = out.collect()
+        assert rows and all((r["score"], r["lang_pred"], r["_fp"]) == ("kept", r["doc_id"], 1.5) for r in rows)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(dict)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    session = type("Session", (), {"sparkContext": Context()})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+
+
 def test_pipeline_on_odd_tables(shipped):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, fp int"
     rows = [(None, None, None, None, None, "x", 1), (1, "", "en", "s", 0, "x", 1), (2, "the house", "en", None, 9, "x", 1),
