@@ -37,9 +37,9 @@ from haulbook.llm.common import add_columns
 
 RANKS = "byte_bpe_50k.tiktoken"
 LONG_WORD = 512
-WORDS_AT_ONCE = 30_000
+WORDS_AT_ONCE = 10_000
 LONGEST_CUT = 4096
-SLICE = 8_000_000  # bytes of text worked on together, so that common words are encoded once
+SLICE = 2_000_000  # bytes of text worked on together, so that common words are encoded once
 CHUNK = 4 << 20  # characters of one text cut by the pattern at a time
 DUCKDB_MEMORY = "200MB"
 SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -319,10 +319,12 @@ def with_tokens(
     ids: str = "token_ids",
     pattern: str | None = None,
     digest: str | None = None,
+    keep_text: bool = True,
 ) -> DataFrame:
     """``df`` with the ids of each whole text as array<int>; no shuffle.
 
-    ``digest`` names a column for the SHA-256 of the bytes that the ids are decoded to.
+    ``digest`` names a column for the SHA-256 of the bytes that the ids are decoded to; without ``keep_text`` the
+    column of texts goes.
     """
     lines, cut = rank_file(path), pattern or public_tokenizers.PATTERN
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
@@ -343,7 +345,7 @@ def with_tokens(
 
         return apply
 
-    return add_columns(df, text, fields, work, limit=SLICE, arrow=True)
+    return add_columns(df, text, fields, work, limit=SLICE, arrow=True, keep_text=keep_text)
 
 
 def with_decoded(df: DataFrame, path: str | None = None, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
@@ -390,4 +392,4 @@ def token_digests(df: DataFrame, path: str | None = None, id_column: str = "doc_
 
         return apply
 
-    return add_columns(rows, "text", fields, work, limit=SLICE, arrow=True).drop("text")
+    return add_columns(rows, "text", fields, work, limit=SLICE, arrow=True, keep_text=False)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 import zipfile
@@ -34,10 +35,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share; a temporary one only for a local master that names none."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="haulbook-")
         sc.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -110,27 +113,32 @@ def add_columns(
     work: Callable[[], Callable[[list | pa.Array], list[pa.Array]]],
     limit: int = SLICE_CHARS,
     arrow: bool = False,
+    keep_text: bool = True,
 ) -> DataFrame:
     """``df`` with columns computed in Python from the whole texts in ``text``; no shuffle.
 
     ``work()`` is called once per task and gives the function from a list of texts (or nulls), with ``arrow``
     an Arrow array of them, to one Arrow array per field. Columns of ``df`` with the name of a new one are replaced.
+    Without ``keep_text`` the texts are not sent back.
     """
     new = {f.name.lower() for f in fields}
     if text.lower() in new:
         raise ValueError(f"{text} is both read and written")
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in new])
-    schema = T.StructType([*kept.schema.fields, *fields])
+    stay = [f for f in kept.schema.fields if keep_text or f.name.lower() != text.lower()]
+    schema = T.StructType([*stay, *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apply, names = work(), [f.name for f in fields]
+        apply, names = work(), schema.names
         for batch in batches:
             for part in slices(batch, text, limit):
-                texts = part.column(part.schema.get_field_index(text))
-                arrays = [*part.columns, *apply(texts if arrow else texts.to_pylist())]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, *names])
+                place = part.schema.get_field_index(text)
+                texts = part.column(place)
+                arrays = [c for i, c in enumerate(part.columns) if keep_text or i != place]
+                arrays += apply(texts if arrow else texts.to_pylist())
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
                 del texts, arrays
-            give_back()
+                give_back()
 
     return kept.mapInArrow(run, schema)
 

@@ -7,7 +7,7 @@ language's prototype is the sum over its training texts. A text gets the languag
 Letters are lower-cased code points; a run of others counts as one space. A null text or one
 without a letter is ``und`` with score 0, as is every text if nothing could be learned. Ties go to the
 smallest language name. Repeated rows count as often as they occur. An empty table gives an empty
-result. The columns ``lang_pred`` and ``score`` replace any of these names; others stay as they are.
+result. The columns ``lang_pred`` and ``score`` (or what they are to be called) replace any of these names; others stay as they are.
 """
 
 from __future__ import annotations
@@ -159,12 +159,18 @@ def learn(
 
 
 def with_language(
-    df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", n: int = GRAM, dimensions: int = DIMENSIONS
+    df: DataFrame,
+    prototypes: dict[str, np.ndarray],
+    text: str = "text",
+    n: int = GRAM,
+    dimensions: int = DIMENSIONS,
+    lang_pred: str = "lang_pred",
+    score: str = "score",
 ) -> DataFrame:
     """``df`` with ``lang_pred`` and ``score`` (the cosine, not below 0); no shuffle."""
     names = list(prototypes)
     matrix = np.stack([prototypes[k] / np.linalg.norm(prototypes[k]) for k in names]) if names else None
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = [T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())]
 
     def work():
         def apply(texts: list) -> list[pa.Array]:
@@ -184,6 +190,8 @@ def with_language(
     return add_columns(df, text, fields, work)
 
 
-def accepted(df: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
+def accepted(
+    df: DataFrame, reject_below: float = REJECT_BELOW, lang_pred: str = "lang_pred", score: str = "score"
+) -> DataFrame:
     """Rows with a language: not ``und``, and not so far from every prototype that it means nothing."""
-    return df.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= reject_below))
+    return df.filter((F.col(lang_pred) != UNKNOWN) & (F.col(score) >= reject_below))
