@@ -14,7 +14,7 @@ from haulbook.operators.latest import latest_per_key
 from haulbook.operators.lists import array_list_columns
 from haulbook.operators.routes import active_route_drivers, route_drivers
 from haulbook.operators.scorecard import DRIVER, scorecard, scorecard_columns
-from haulbook.plans.layout import Out, format_own, made, same, select_layout, with_counts
+from haulbook.plans.layout import Out, made, same, select_layout, with_counts
 
 CERTIFIED_TAG = "ppe-certified"
 PPE_ACCESSORY = "%(PPE)%"
@@ -122,17 +122,20 @@ def driver_facts(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) ->
 def drivers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) -> DataFrame:
     """121 columns, one row per driver, ordered by ``pk``.
 
-    Picking the latest row needs driver columns only, so it is done before the joins. All facts are
+    Picking the latest row needs driver columns only, so it is done before the joins, on the columns as they are stored. All facts are
     brought together on driver ids first; the wide rows then pass one join, on the partitioning the
-    pick left behind. Recent activity would contribute no column, and the pick would undo its
+    pick left behind. Columns are formatted last, above the final order: once per row of the result, in a stage that the
+    sampling for that order does not run. Recent activity would contribute no column, and the pick would undo its
     repeats, so it is not read.
     """
     admitted = admitted_drivers(tables["drivers"], tables["email_exclusions"])
-    picked = latest_per_key(format_own(admitted, LAYOUT, KEPT), DRIVER, "last_request_viewed")
+    needed = dict.fromkeys([*KEPT, *(out.source for out in LAYOUT)])
+    admitted = admitted.select(*[c for c in needed if c in admitted.columns])
+    picked = latest_per_key(admitted, DRIVER, "last_request_viewed")
     wide = picked.join(driver_facts(tables, as_of, days), DRIVER, "left").withColumns(
         {
             "certification": ppe_certification(F.col("driver_tags"), F.col("has_ppe")),
             "contact_record_type": F.lit("Driver"),
         }
     )
-    return select_layout(wide, LAYOUT).orderBy(F.col("pk").asc_nulls_last())
+    return select_layout(wide.orderBy(F.col(DRIVER).asc_nulls_last()), LAYOUT)
