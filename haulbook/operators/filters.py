@@ -23,14 +23,25 @@ COMPLETION_VIOLATIONS = [
 ]
 
 
+PARTITION_DAY = "created_on"  # optional date column of deliveries and violations, see sources.write_facts
+
+
 def scored_deliveries(df: DataFrame) -> DataFrame:
     """Drop route and cms work; an unknown (null) type is dropped too."""
     return df.filter(~F.col("delivery_type").isin(EXCLUDED_DELIVERY_TYPES))
 
 
-def in_lookback(df: DataFrame, as_of=None, days: int = 30, column: str = "created_at") -> DataFrame:
-    """Rows from midnight ``days`` before ``as_of`` onwards; there is no upper bound."""
-    return df.filter(F.col(column) >= days_before(as_of, days))
+def in_lookback(
+    df: DataFrame, as_of=None, days: int = 30, column: str = "created_at", day: str = PARTITION_DAY
+) -> DataFrame:
+    """Rows from midnight ``days`` before ``as_of`` onwards; there is no upper bound.
+
+    If the table has the column ``day``, the date of ``column`` in any time zone, by which facts are partitioned, it gets a bound as
+    well, so that only the window's folders are listed and read. The bound is two days wider: dates of one instant differ by
+    up to two between zones. Rows without a date have no ``column`` either and are in no window.
+    """
+    recent = df.filter(F.col(column) >= days_before(as_of, days))
+    return recent.filter(F.col(day) >= days_before(as_of, days + 2)) if day in df.columns else recent
 
 
 def completed(df: DataFrame) -> DataFrame:

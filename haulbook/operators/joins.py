@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SLOT = 250_000  # fewer matches of one key are left to one task
+MOST_HOT_KEYS = 1000  # a key beyond these has less than a thousandth of all matches
 COPIES_PER_PIECE = 1_000  # identical rows travel as one row with a count up to this
 
 
@@ -30,10 +31,18 @@ def lookup_join(
     """
     null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     kinds = left.select(*keys).union(right.select(*keys)).schema  # the types in which both are compared
-    tag = F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in kinds])
-    tagged = left.withColumn("_tag", F.when(null_key, F.xxhash64(*spread)).otherwise(tag))
-    known = right.dropna(subset=keys).withColumn("_tag", tag)
-    return tagged.join(known, ["_tag", *keys], how).drop("_tag")
+    hashed, tag = F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in kinds]), fresh("tag", left, right)
+    tagged = left.withColumn(tag, F.when(null_key, F.xxhash64(*spread)).otherwise(hashed))
+    known = right.dropna(subset=keys).withColumn(tag, hashed)
+    return tagged.join(known, [tag, *keys], how).drop(tag)
+
+
+def fresh(base: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has."""
+    taken, name = {c.lower() for df in tables for c in df.columns}, f"_{base}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def fanout_keys(counted: DataFrame, keys: list[str], rows: Column, rows_per_slot: int) -> DataFrame:
@@ -55,24 +64,30 @@ def fanout_join(
 
     Equal right rows are counted instead of carried, in pieces of bounded size. The pieces of a key with
     very many are dealt into slots, and left rows of such a key repeat once per slot, so that its matches are
-    produced by many tasks; a slot without a piece adds nothing. The list of such keys, usually empty, is joined as
-    Spark decides on its size. Last, the counted copies are written out.
+    produced by many tasks; a slot without a piece adds nothing. The list of such keys, usually empty, has at most
+    MOST_HOT_KEYS entries and is a subquery's value, so neither side is shuffled to look a key up: both move once, for the join,
+    which can split hot keys of ``left``. Last, the counted copies are written out.
     """
     size = copies_per_piece or COPIES_PER_PIECE
-    counted = right.dropna(subset=keys).groupBy(*right.columns).agg(F.count("*").alias("_copies"))
-    last_piece = F.ceil(F.col("_copies") / size).cast("int") - 1
-    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), last_piece))).withColumn(
-        "_copies", F.least(F.lit(size), F.col("_copies") - F.col("_piece") * size).cast("int")
+    copies, piece, slot, copy = (fresh(c, left, right) for c in ("copies", "piece", "slot", "copy"))
+    counted = right.dropna(subset=keys).groupBy(*right.columns).agg(F.count("*").alias(copies))
+    many = fanout_keys(counted, keys, F.col(copies), rows_per_slot or ROWS_PER_SLOT)
+    most = many.orderBy(F.desc("_slots"), *keys).limit(MOST_HOT_KEYS)
+    hot = most.agg(F.map_from_entries(F.collect_list(F.struct(F.struct(*keys), "_slots"))).alias("hot"))
+    kinds = {f.name: f.dataType for f in right.select(*keys).schema}
+    slots = F.try_element_at(hot.scalar(), F.struct(*[F.col(k).cast(t).alias(k) for k, t in kinds.items()]))
+    last_piece = F.ceil(F.col(copies) / size).cast("int") - 1
+    pieces = counted.withColumn(piece, F.explode(F.sequence(F.lit(0), last_piece))).withColumn(
+        copies, F.least(F.lit(size), F.col(copies) - F.col(piece) * size).cast("int")
     )
-    many = fanout_keys(counted, keys, F.col("_copies"), rows_per_slot or ROWS_PER_SLOT)
-    slots = F.coalesce(F.col("_slots"), F.lit(1))
-    dealt = pieces.join(many, keys, "left").withColumn("_slot", F.pmod(F.xxhash64(*right.columns, "_piece"), slots))
-    every_slot = F.explode(F.sequence(F.lit(0).cast("long"), slots.cast("long") - 1))
-    slotted = left.join(many, keys, "left").withColumn("_slot", every_slot)
-    joined = lookup_join(slotted, dealt.drop("_slots", "_piece"), [*keys, "_slot"], spread)
-    found = joined.filter(F.col("_slots").isNull() | F.col("_copies").isNotNull())
-    every_copy = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1))))
-    return found.withColumn("_copy", every_copy).drop("_slot", "_slots", "_copies", "_copy")
+    mixed = F.xxhash64(*right.columns, piece)
+    dealt = pieces.withColumn(slot, F.pmod(mixed, F.coalesce(slots, F.lit(1)))).drop(piece)
+    every_slot = F.sequence(F.lit(0).cast("long"), F.coalesce(slots, F.lit(1)).cast("long") - 1)
+    slotted = left.withColumn(copy, slots).withColumn(slot, F.explode(every_slot))
+    joined = lookup_join(slotted, dealt, [*keys, slot], spread)
+    found = joined.filter(F.col(copy).isNull() | F.col(copies).isNotNull())
+    every_copy = F.explode(F.sequence(F.lit(1), F.coalesce(F.col(copies), F.lit(1))))
+    return found.withColumn(copy, every_copy).drop(slot, copies, copy)
 
 
 def exists_flag(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulbook.operators.joins import fresh
+
 
 def latest_per_key(df: DataFrame, key: str, newest: str, tiebreak: list[Column] | None = None) -> DataFrame:
     """One row per key: the newest by ``newest`` (nulls last). A null key counts as one key.
@@ -15,4 +17,5 @@ def latest_per_key(df: DataFrame, key: str, newest: str, tiebreak: list[Column]
     """
     ties = tiebreak or [F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns])]
     order = Window.partitionBy(key).orderBy(F.col(newest).desc_nulls_last(), *ties)
-    return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    rank = fresh("rank", df)
+    return df.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank)

@@ -1,8 +1,8 @@
 """30-day performance scorecard of a carrier or a driver.
 
 Each metric is aggregated on its own before it is joined, so the joins see one row per entity. The
-two joins between fact tables are on delivery ids: the rows of the window are shuffled once, to a
-table of one row per id, which keeps a repeated id from multiplying rows; a hot id can be split.
+two joins between fact tables are on delivery ids, with a table of one row per id, which keeps a repeated id from
+multiplying rows; a hot id can be split, or its rows are counted before they move.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from haulbook.operators.filters import (
     scored_deliveries,
 )
 from haulbook.operators.joins import lookup_join
+from haulbook.operators.members import possible_members
 
 CARRIER = "carrier_external_id"
 DRIVER = "driver_external_id"
@@ -85,25 +86,35 @@ def completion_violations(violations: DataFrame, entity: str = CARRIER, as_of=No
     )
 
 
+def eta_counts(etas: DataFrame) -> DataFrame:
+    """Rows, and those on time at either end, per delivery id."""
+    return etas.groupBy("delivery_id").agg(
+        F.count("*").alias("etas"),
+        F.count_if(F.col("seconds_to_origin_delta").between(*PICKUP_ON_TIME)).alias("pickups"),
+        F.count_if(F.col("seconds_to_destination_delta").between(*DROPOFF_ON_TIME)).alias("dropoffs"),
+    )
+
+
+def eta_matches(deliveries: DataFrame, etas: DataFrame, entity: str = CARRIER, as_of=None, days: int = 30) -> DataFrame:
+    """The window's distinct pairs of delivery id and entity, how many rows each stands for, and the id's ETA counts.
+
+    ETAs of other deliveries, which are nearly all of them, are left out in the scan's stage. The rest cross one exchange, by
+    delivery id, for the aggregate and the join alike; none if they are bucketed by it. Rows of the window that repeat a pair are
+    counted in their task, so a hot id sends a row per entity and task.
+    """
+    recent = in_lookback(finished_deliveries(deliveries, entity), as_of, days).filter(F.col("delivery_id").isNotNull())
+    pairs = recent.groupBy("delivery_id", entity).agg(F.count("*").alias("rows"))
+    return pairs.join(eta_counts(possible_members(etas, recent, "delivery_id")), "delivery_id")
+
+
 def on_time(deliveries: DataFrame, etas: DataFrame, entity: str = CARRIER, as_of=None, days: int = 30) -> DataFrame:
     """Share of ETA rows picked up and dropped off on time, for completed deliveries in the window.
 
     An unknown delta counts in the denominator only. Rows that share a delivery id pair up, so each
     delivery adds the counts of its id; no pair is ever built.
     """
-    recent = in_lookback(finished_deliveries(deliveries, entity), as_of, days)
-    rows = recent.filter(F.col("delivery_id").isNotNull()).select("delivery_id", entity)
-    per_eta = (
-        etas.filter(F.col("delivery_id").isNotNull())
-        .groupBy("delivery_id")
-        .agg(
-            F.count("*").alias("etas"),
-            F.count_if(F.col("seconds_to_origin_delta").between(*PICKUP_ON_TIME)).alias("pickups"),
-            F.count_if(F.col("seconds_to_destination_delta").between(*DROPOFF_ON_TIME)).alias("dropoffs"),
-        )
-    )
-    known = lookup_join(rows, per_eta, ["delivery_id"], [entity]).filter(F.col("etas").isNotNull())
-    counts = known.groupBy(entity).agg(*[F.sum(c).alias(c) for c in ("etas", "pickups", "dropoffs")])
+    known = eta_matches(deliveries, etas, entity, as_of, days)
+    counts = known.groupBy(entity).agg(*[F.sum(F.col("rows") * F.col(c)).alias(c) for c in ("etas", "pickups", "dropoffs")])
     return counts.select(
         entity,
         F.col("etas").alias("eta_delivery_count"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The columns the models read, by type.
 COLUMNS: dict[str, dict[str, list[str]]] = {
@@ -128,6 +129,22 @@ def load_tables(spark: SparkSession, names: Mapping[str, str], fmt: str = "parqu
     }
 
 
+def write_facts(df: DataFrame, path: str, by: str = "created_at", day: str = "created_on", fmt: str = "parquet") -> None:
+    """Facts in one folder per day of ``by``, for lookback windows that read their days only. One task writes a day's part of its
+    rows; give the table in order of ``by``, or few files per day will not hold."""
+    df.withColumn(day, F.to_date(by)).write.partitionBy(day).format(fmt).save(path)
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None, fmt: str = "parquet") -> None:
+    """Facts as a catalog table bucketed and sorted by ``key``: aggregates and joins by it need no exchange.
+
+    Deliveries and violations go by the entity that is scored, ETAs by ``delivery_id``. Rows are dealt by ``key`` first, so that a
+    bucket is one file. A key that holds a large share of the rows makes a large bucket: bucket by a key without such.
+    """
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format(fmt)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
 def write_model(model: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Hand a finished model to the sync job as files; a rerun replaces the previous result."""
     model.write.mode("overwrite").format(fmt).save(path)

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from decimal import ROUND_HALF_UP, Decimal
-
-from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
 import pytest
@@ -118,6 +116,18 @@ def test_rounding_ties(spark):
     assert [r[0] for r in df.select(fx.rounded(F.col("x"), 2)).collect()] == list(ties.values())
 
 
+def test_iso_of_any_day(spark):
+    """Before and after 1970, leap days, and the ends of the calendar."""
+    start = datetime(1, 1, 1, tzinfo=timezone.utc)
+    step = timedelta(days=997, seconds=86_399, microseconds=999_999)
+    moments = [start + i * step for i in range(3660)] + [datetime(2000, 2, 29, 23, 59, 59, 999_999, tzinfo=timezone.utc)]
+    micros = [(m - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1) for m in moments]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(micros)], "i int, x long")
+    got = df.select("i", fx.iso_utc(F.timestamp_micros("x")).alias("t")).collect()
+    text = lambda m: m.strftime(f"{m.year:04}-%m-%dT%H:%M:%S") + f".{m.microsecond // 1000:03}Z"
+    assert {r.i: r.t for r in got} == {i: text(m) for i, m in enumerate(moments)}
+
+
 def test_iso_cuts_microseconds(spark):
     df = spark.createDataFrame([(datetime(2024, 3, 9, 21, 30, 0, 999600),), (None,)], "ts timestamp_ntz")
     assert [r[0] for r in df.select(fx.iso_utc(F.col("ts"))).collect()] == ["2024-03-09T21:30:00.999Z", None]
