@@ -7,7 +7,6 @@ list instead of a join. Shared with the pipelines are only the sample data; name
 
 from __future__ import annotations
 
-from haulbook.plans import drivers
 from haulbook.sources.sample import AS_OF, CSV_ARRAYS, SAMPLE, branch_expressions
 from oracle_checks import contract
 
@@ -19,6 +18,16 @@ ACCURACY = """violation_type_code in ('did_not_follow_delivery_instructions', 'w
 FAILURE = """violation_type_code in ('self_unassignment', 'scheduled_delivery_failure',
     'did_not_complete_multistop_delivery')"""
 
+# The array behind each list column.
+LIST_SOURCES = {
+    "driver_accessory_names": "Driver_Accessories__c",
+    "driver_capability_names": "Driver_Capabilities__c",
+    "active_violation_types": "Active_Violation_Types__c",
+    "lifetime_violation_types": "Lifetime_Violation_types__c",
+    "driver_vehicle_accessory_names": "Vehicle_Accessories__c",
+    "preferred_delivery_methods": "Preferred_Delivery_Methods__c",
+    "upscale_delivery_methods": "Upscale_Delivery_Methods__c",
+}
 # State names in test order, with postal codes.
 STATE_TABLE = [
     ("Alabama", "AL"),
@@ -261,13 +270,13 @@ ACTIVE_ROUTES = """active_routes as (
 
 def list_ctes() -> list[str]:
     """One CTE per list column over the rows whose arrays are all non-empty, and their join."""
-    full = " and ".join(f"len({a}) > 0" for a in drivers.LISTS)
+    full = " and ".join(f"len({a}) > 0" for a in LIST_SOURCES)
     ctes = [f"full_rows as (select * from drivers where {full})"]
-    for i, (array, name) in enumerate(drivers.LISTS.items()):
+    for i, (array, name) in enumerate(LIST_SOURCES.items()):
         ctes.append(f"""list{i} as (
             select driver_external_id, coalesce(string_agg(distinct v, ';' order by v), '') as {name}
             from (select driver_external_id, unnest({array}) as v from full_rows) group by driver_external_id)""")
-    joins = " ".join(f"join list{i} using (driver_external_id)" for i in range(1, len(drivers.LISTS)))
+    joins = " ".join(f"join list{i} using (driver_external_id)" for i in range(1, len(LIST_SOURCES)))
     return [*ctes, f"lists as (select * from list0 {joins})"]
 
 
