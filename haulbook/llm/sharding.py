@@ -36,54 +36,72 @@ def uniform(seed: int, *keys: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11) * F.lit(2.0**-53)
 
 
+def _let(body, **values: Column) -> Column:
+    """``body`` of a struct of the values, each of them computed once."""
+    held = F.struct(*[v.alias(k) for k, v in values.items()])
+    return F.transform(F.array(held), body)[0]
+
+
 def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
     """How many of ``drawn`` items, out of ``total`` of which ``marked`` are marked, are marked: the draw that belongs to ``u``.
 
     The probabilities relative to the mode's are products of ratios of neighbours; they are summed to either side, and the
     outcome is that at which the running sum passes ``u`` of the total. The steps are in proportion to the standard deviation.
     """
-    total, marked, drawn = (x.cast("double") for x in (total, marked, drawn))
-    least, most = F.greatest(F.lit(0.0), drawn + marked - total), F.least(drawn, marked)
-    mode = F.least(most, F.greatest(least, F.floor((drawn + 1) * (marked + 1) / (total + 2)).cast("double")))
-    share = F.coalesce(F.try_divide(marked, total), F.lit(0.0))
-    variance = drawn * share * (1 - share) * F.coalesce(F.try_divide(total - drawn, total - 1), F.lit(0.0))
+    n, k, d = (x.cast("double") for x in (total, marked, drawn))
+    return _let(_from_mode, n=n, k=k, d=d, u=u, rest=n - k - d)
+
+
+def _from_mode(x: Column) -> Column:
+    n, k, d = x["n"], x["k"], x["d"]
+    least, most = F.greatest(F.lit(0.0), -x["rest"]), F.least(d, k)
+    mode = F.least(most, F.greatest(least, F.floor((d + 1) * (k + 1) / (n + 2)).cast("double")))
+    share = F.coalesce(F.try_divide(k, n), F.lit(0.0))
+    variance = d * share * (1 - share) * F.coalesce(F.try_divide(n - d, n - 1), F.lit(0.0))
     reach = F.ceil(F.lit(REACH) * F.sqrt(F.greatest(F.lit(0.0), variance)) + REACH).cast("double")
+    steps = {"up": F.least(reach, most - mode).cast("int"), "down": F.least(reach, mode - least).cast("int")}
+    return _let(_summed, k=k, d=d, u=x["u"], rest=x["rest"], mode=mode, **steps)
+
 
-    def ratio(k: Column) -> Column:
-        """The probability of k + 1 against that of k."""
-        return (marked - k) * (drawn - k) / ((k + 1) * (total - marked - drawn + k + 1))
+def _weight(x: Column, w: Column, i: Column, way: int) -> Column:
+    """The weight of the outcome ``i`` steps from the mode, from that of the one before."""
+    at = x["mode"] + i - 1 if way > 0 else x["mode"] - i
+    up, down = (x["k"] - at) * (x["d"] - at), (at + 1) * (x["rest"] + at + 1)
+    return w * up / down if way > 0 else w * down / up
 
-    def ahead(way: int) -> Column:
-        """The steps to one side."""
-        steps = F.least(reach, most - mode if way > 0 else mode - least).cast("int")
-        return F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
 
-    def weight(w: Column, i: Column, way: int) -> Column:
-        return w * ratio(mode + i - 1) if way > 0 else w / ratio(mode - i)
+def _ahead(steps: Column) -> Column:
+    return F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
 
-    def mass(way: int) -> Column:
+
+def _summed(x: Column) -> Column:
+    def mass(way: int, steps: Column) -> Column:
         start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"))
 
         def step(s: Column, i: Column) -> Column:
-            w = weight(s["w"], i, way)
-            return F.struct(w.alias("w"), (s["sum"] + w).alias("sum"))
+            return _let(lambda y: F.struct(y["w"].alias("w"), (y["sum"] + y["w"]).alias("sum")), w=_weight(x, s["w"], i, way), sum=s["sum"])
+
+        return F.aggregate(_ahead(steps), start, step, lambda s: s["sum"])
 
-        return F.aggregate(ahead(way), start, step, lambda s: s["sum"])
+    names = {c: x[c] for c in ("k", "d", "u", "rest", "mode", "up", "down")}
+    return _let(_picked, **names, above=mass(1, x["up"]), below=mass(-1, x["down"]))
 
-    def walk(way: int, left: Column) -> Column:
-        start = F.struct(F.lit(1.0).alias("w"), left.alias("left"), mode.alias("at"))
+
+def _picked(x: Column) -> Column:
+    def walk(way: int, steps: Column, left: Column) -> Column:
+        start = F.struct(F.lit(1.0).alias("w"), left.alias("left"), F.lit(0).alias("gone"))
 
         def step(s: Column, i: Column) -> Column:
-            w = weight(s["w"], i, way)
-            at = F.when(s["left"] < 0, s["at"]).otherwise(mode + i * F.lit(way))
-            return F.struct(w.alias("w"), (s["left"] - w).alias("left"), at.alias("at"))
+            gone = F.when(s["left"] < 0, s["gone"]).otherwise(i)
+            moved = lambda y: F.struct(y["w"].alias("w"), (y["left"] - y["w"]).alias("left"), y["gone"].alias("gone"))
+            return _let(moved, w=_weight(x, s["w"], i, way), left=s["left"], gone=gone)
 
-        return F.aggregate(ahead(way), start, step, lambda s: s["at"])
+        return F.aggregate(_ahead(steps), start, step, lambda s: s["gone"]) * way
 
-    above = mass(1)
-    target = u * (1 + above + mass(-1))
-    found = F.when(target < 1, mode).when(target < 1 + above, walk(1, target - 1)).otherwise(walk(-1, target - 1 - above))
-    return found.cast("long")
+    target = x["u"] * (1 + x["above"] + x["below"])
+    up, down = walk(1, x["up"], target - 1), walk(-1, x["down"], target - 1 - x["above"])
+    moved = F.when(target < 1, 0).when(target < 1 + x["above"], up).otherwise(down)
+    return (x["mode"] + moved).cast("long")
 
 
 def _dealt(rest: Column, n: Column, seed: int, node: Column) -> Column:
@@ -93,17 +111,13 @@ def _dealt(rest: Column, n: Column, seed: int, node: Column) -> Column:
     start = F.struct(left.alias("total"), n.alias("drawn"), none.alias("counts"))
 
     def step(s: Column, marked: Column) -> Column:
+        settled = lambda x: F.struct(
+            (x["total"] - x["marked"]).alias("total"), (x["drawn"] - x["found"]).alias("drawn"), F.concat(x["counts"], F.array(x["found"])).alias("counts")
+        )
         found = hypergeometric(s["total"], marked, s["drawn"], uniform(seed, node, F.size(s["counts"])))
-        # the draw is used twice: it goes into the list first, and the sums are of the list
-        return F.struct((s["total"] - marked).alias("total"), s["drawn"].alias("drawn"), F.concat(s["counts"], F.array(found)).alias("counts"))
-
-    def settled(s: Column, marked: Column) -> Column:
-        after = step(s, marked)
-        return F.transform(F.array(after), lambda x: F.struct(
-            x["total"].alias("total"), (x["drawn"] - F.element_at(x["counts"], -1)).alias("drawn"), x["counts"].alias("counts")
-        ))[0]
+        return _let(settled, total=s["total"], marked=marked, drawn=s["drawn"], counts=s["counts"], found=found)
 
-    return F.aggregate(rest, start, settled, lambda s: s["counts"])
+    return F.aggregate(rest, start, step, lambda s: s["counts"])
 
 
 def communication_matrix(sizes: DataFrame, quotas: list[int], seed: int = SEED) -> DataFrame:
@@ -116,6 +130,7 @@ def communication_matrix(sizes: DataFrame, quotas: list[int], seed: int = SEED)
     while BRANCH**levels < blocks:
         levels += 1
     spark = sizes.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nodes = spark.range(1).select(F.col("id").alias("node"), F.array(*[F.lit(q).cast("long") for q in quotas]).alias("rest"))
     for level in range(levels):
         width = BRANCH ** (levels - level - 1)
@@ -126,15 +141,18 @@ def communication_matrix(sizes: DataFrame, quotas: list[int], seed: int = SEED)
 
         def deal(s: Column, kid: Column) -> Column:
             counts = _dealt(s["rest"], kid["n"], salt, kid["child"])  # noqa: B023 (called at once)
-            rows = F.concat(s["rows"], F.array(F.struct(kid["child"].alias("node"), counts.alias("rest"))))
-            return F.transform(F.array(rows), lambda r: F.struct(
-                F.zip_with(s["rest"], F.element_at(r, -1)["rest"], lambda a, b: a - b).alias("rest"), r.alias("rows")
-            ))[0]
+            dealt = lambda x: F.struct(
+                F.zip_with(x["rest"], x["counts"], lambda a, b: a - b).alias("rest"),
+                F.concat(x["rows"], F.array(F.struct(x["child"].alias("node"), x["counts"].alias("rest")))).alias("rows"),
+            )
+            return _let(dealt, rest=s["rest"], rows=s["rows"], child=kid["child"], counts=counts)
 
         salt = seed + 1 + level
         start = F.struct(F.col("rest"), F.array().cast("array<struct<node:bigint,rest:array<bigint>>>").alias("rows"))
         rows = F.aggregate("kids", start, deal, lambda s: s["rows"])
         nodes = nodes.join(kids, "node").select(F.explode(rows).alias("x")).select("x.node", "x.rest")
+        if level + 1 < levels:  # the nodes of a level are drawn by as many tasks
+            nodes = nodes.repartition(min(BRANCH ** (level + 1), most), "node")
     return nodes.select(F.col("node").alias("block"), F.col("rest").alias("counts"))
 
 
