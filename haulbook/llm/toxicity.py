@@ -29,7 +29,6 @@ from haulbook.llm.common import add_columns, slices
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 MAX_ROWS = 20_000
-MAX_FEATURES = 4096
 MIN_ROWS_OF_FEATURE = 3
 MIN_RATIO = 8.0
 BEGINNINGS = (4, 5)
@@ -193,8 +192,9 @@ def learn(
 ) -> Model:
     """A model from the labelled rows where ``train`` (a condition on the id) holds.
 
-    Features are at most MAX_FEATURES words and beginnings, those whose presence tells most about the class: their log
-    likelihood ratio is at least ``min_ratio``, which chance gives to one feature in some ten thousand.
+    Features are all words and beginnings whose presence tells enough about the class: their log
+    likelihood ratio is at least ``min_ratio``, which chance gives to one feature in some ten thousand. They are of the
+    ``max_rows`` rows only, and so is what the driver gets.
     """
     known = labels.filter(train & F.col(label).isin(0, 1) & F.col(id_column).isNotNull())
     known = known.groupBy(F.col(id_column).alias("id")).agg(F.max(label).cast("int").alias("toxic"))
@@ -214,7 +214,7 @@ def learn(
     ratio = part(a, n1) + part(b, n - n1)
     counted = _feature_counts(rows).filter((a + b >= MIN_ROWS_OF_FEATURE) & (ratio >= min_ratio))
     chosen = counted.orderBy(F.desc(ratio), "feature")
-    names = [r["feature"] for r in chosen.limit(MAX_FEATURES).select("feature").collect()]
+    names = [r["feature"] for r in chosen.select("feature").collect()]
     index = {f: i for i, f in enumerate(names)}
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

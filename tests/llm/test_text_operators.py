@@ -1,6 +1,8 @@
 """Language ID, BPE, sketches, toxicity and LM scoring against brute force, round trips and held-out rows."""
 
 import base64
+import math
+import re
 from collections import defaultdict
 from hashlib import sha256
 
@@ -187,6 +189,68 @@ def test_counterfactuals_lower_the_score_of_neutral_mentions(shipped):
     assert fair.score("All men are scum.") > 0.5
 
 
+def plain_toxicity(docs, labels, min_ratio, counterfactual, steps):
+    """Scores of all docs by the definition: every feature of every row counted one by one, dense matrices, a plain loop."""
+    def features(text):
+        words = set(re.findall(r"[^\W\d_]+", (text or "").lower()))
+        return words | {w[:n] + "*" for w in words for n in (4, 5) if len(w) > n}
+
+    rows = [(i, features(docs[i]), y) for i, y in sorted(labels.items())]
+    n, n1 = len(rows), sum(y for _, _, y in rows)
+    chosen = []
+    for f in sorted({f for _, fs, _ in rows for f in fs}):
+        a, b = (sum(f in fs for _, fs, y in rows if y == k) for k in (1, 0))
+        part = lambda seen, of: seen * math.log(seen * n / ((a + b) * of)) if seen else 0.0  # noqa: B023, E731
+        if a + b >= 3 and part(a, n1) + part(b, n - n1) >= min_ratio:
+            chosen.append(f)
+    vector = lambda fs: np.array([f in fs for f in chosen], float)
+    x, y = np.array([vector(fs) for _, fs, _ in rows]), np.array([k for _, _, k in rows], float)
+    pairs = []
+    for i, _, _ in rows:
+        seen = set()
+        for sentence in re.findall(r"[^.!?\n]+", docs[i]):
+            for other in toxicity.swapped(sentence):
+                d = vector(features(sentence)) - vector(features(other))
+                if d.any() and tuple(d) not in seen:
+                    seen.add(tuple(d))
+                    pairs.append(d)
+    w, b, m, v = np.zeros(len(chosen)), 0.0, np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+    share = np.where(y == 1, 0.5 / (n1 / n), 0.5 / (1 - n1 / n)) / n
+    for t in range(1, steps + 1):
+        error = share * (1 / (1 + np.exp(-(x @ w + b))) - y)
+        grad = x.T @ error + toxicity.PENALTY * w / n
+        for d in pairs:
+            grad += 2 * counterfactual * (d @ w) * d / len(pairs)
+        whole = np.append(grad, error.sum())
+        m, v = 0.9 * m + 0.1 * whole, 0.999 * v + 0.001 * whole**2
+        move = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        w, b = w - move[:-1], b - move[-1]
+    return {i: 1 / (1 + np.exp(-(vector(features(t)) @ w + b))) for i, t in docs.items()}, chosen, pairs
+
+
+def test_toxicity_against_brute_force(shipped):
+    rng = np.random.default_rng(3)
+    plain, bad = [f"calm{c}" for c in "abcdefgh"], ["vilest", "vileness", "scum"]
+    docs, labels = {}, {}
+    for i in range(160):
+        toxic = i % 4 == 0
+        words = rng.choice(plain, 6).tolist() + (rng.choice(bad, 2).tolist() if toxic else [])
+        group = "women" if toxic and i % 8 == 0 else rng.choice(["men", "women", "gay", "people"])
+        docs[i] = f"{' '.join(words[:4])}. The {group} {' '.join(words[4:])}!"
+        if i < 120:
+            labels[i] = int(toxic)
+    docs[160], docs[161] = "", None
+    left = shipped.createDataFrame(list(docs.items()), "doc_id long, text string")
+    right = shipped.createDataFrame([*labels.items(), (130, None), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.learn(left, right, F.lit(True), min_ratio=2.0)
+    expected, chosen, pairs = plain_toxicity(docs, labels, 2.0, toxicity.COUNTERFACTUAL, toxicity.STEPS)
+    assert sorted(model.weights) == chosen and {"vile*", "scum"} <= set(chosen) and pairs
+    found = {r.doc_id: r for r in toxicity.with_toxicity(left, model).collect()}
+    assert all(abs(found[i].score - expected[i]) < 1e-6 for i in docs)
+    assert all(found[i].predicted == (found[i].score >= 0.5) for i in docs)
+    assert sum(found[i].predicted == (i % 4 == 0) for i in range(120, 160)) >= 34
+
+
 def test_swapping_terms():
     assert toxicity.swapped("no group") == []
     assert toxicity.swapped("Women and old men") == ["men and young women"]
