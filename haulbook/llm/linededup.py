@@ -1,18 +1,18 @@
 """Line dedup across documents by pairwise alignment.
 
-Two documents are a pair if they share a line. A line in at most ``rare`` documents pairs all of them;
-a more frequent one pairs each with the first document that has it, so no number of sharers is cut
-off and no group is paired out. The shared lines of a pair are aligned by patience diff, and aligned
-lines that follow each other in the later document (the one with the larger doc_id) form blocks. Blocks of at
-least ``min_words`` words are deleted from the later document, each pair's on their own. A pair's shared lines are all lines both have, not only
-those that made it a pair.
+Documents are paired by rare lines: a line that at most ``rare`` documents have pairs all of them. Passages without any rare line
+are known by the hashes of their shortest runs of lines with ``min_words`` words; such a run pairs each document with the
+first one that has it. The shared lines of a pair are aligned by patience diff; lines that follow each other in both documents,
+blank ones aside, form common blocks. What patience diff leaves out, because it crosses or has no line that occurs once, is looked
+for in the other document by its shortest runs. Blocks of at least ``min_words`` words are deleted from the later
+document, the one with the larger doc_id.
 
-A passage that any earlier document has in one piece is found whatever the alignment with first holders drops: the shortest runs of
-lines with ``min_words`` words from each line on, and up to each line, are hashed, and a run goes from all documents but its
-first holder. Every line of a shared passage of that many words is in such a run inside the passage.
+So a line goes exactly if it is in a passage of that many words that any earlier document has in one piece, whatever the
+number of sharers: every line of such a passage is in a shortest run inside the passage, the first holder of that
+run is paired with the document, by a rare line of the run or by the run, and the pair's alignment finds the run.
 
 Lines are what ``\\n`` separates, compared without ASCII white space at their ends; blank lines pair
-nothing, and one inside a block goes with it. A null text stays null and an empty one empty; a document
+nothing, and those between two lines that go, with no line between them that stays, go too. A null text stays null and an empty one empty; a document
 all of whose lines go becomes empty. Documents with a null doc_id stay as they are. Rows that repeat a
 doc_id hold the same document for pairing: none is deleted against another, and each loses its own lines only. An
 empty table gives an empty result. Other columns are kept, whatever their names.
@@ -24,10 +24,9 @@ import bisect
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,55 +99,92 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def aligned_lines(hashes: list[int], places: list[list[int]], other_places: list[list[int]]) -> set[tuple[int, int]]:
-    """(place, hash) of the lines of the later document aligned with one earlier document.
+def common_lines(
+    places: list[int], hashes: list[int], words: list[int], other_places: list[int], other_hashes: list[int], min_words: int
+) -> set[int]:
+    """Places of the lines of a document in blocks of ``min_words`` words or more that the other document has in one piece.
 
-    Of each shared line: its hash and its places in either. Lines that are not shared cannot be aligned and are left out.
+    The lines of either, in order, with their places among its lines; those that are not shared cannot be in a block.
     """
-    later = sorted((p, h) for h, ps in zip(hashes, places, strict=True) for p in ps)
-    earlier = sorted((p, h) for h, ps in zip(hashes, other_places, strict=True) for p in ps)
-    pairs = patience([h for _, h in later], [h for _, h in earlier])
-    return {later[i] for i, _ in pairs}
+    both = set(hashes) & set(other_hashes)
+    mine = [x for x in zip(places, hashes, words, strict=True) if x[1] in both]
+    if sum(w for _, _, w in mine) < min_words:
+        return set()
+    other = [x for x in zip(other_places, other_hashes, strict=True) if x[1] in both]
+    out: set[int] = set()
+    block: list[int] = []
+    last = (-2, -2)
+    for i, j in [*patience([h for _, h, _ in mine], [h for _, h in other]), (None, None)]:
+        at = None if i is None else (mine[i][0], other[j][0])
+        if at is None or at != (last[0] + 1, last[1] + 1):
+            if sum(mine[n][2] for n in block) >= min_words:
+                out.update(mine[n][0] for n in block)
+            block = []
+        if at is not None:
+            block.append(i)
+            last = at
+    if len(out) < len(mine):
+        size = {h: w for _, h, w in mine}
+        known = set(_run_hashes([p for p, _ in other], [h for _, h in other], [size[h] for _, h in other], min_words).values())
+        found = _run_hashes([p for p, _, _ in mine], [h for _, h, _ in mine], [w for _, _, w in mine], min_words)
+        for (start, end), run in found.items():
+            if run in known:
+                out.update(p for p, _, _ in mine[start:end])
+    return out
 
 
-def blocks(aligned: set[int], words: dict[int, int], blank: set[int], min_words: int) -> set[int]:
-    """Aligned lines, and blank ones between them, in runs of at least ``min_words`` words."""
-    out: set[int] = set()
-    run: list[int] = []
-    for line in [*sorted(aligned), None]:
-        joined = run and line is not None and all(x in blank for x in range(run[-1] + 1, line))
-        if run and not joined:
-            if sum(words[x] for x in run) >= min_words:
-                out.update(range(run[0], run[-1] + 1))
-            run = []
-        if line is not None:
-            run.append(line)
+def runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """Start and end of the shortest runs of at least ``min_words`` words from each line on, and up to each line."""
+    out, n = set(), len(words)
+    for way in (1, -1):
+        items, total, end = words[::way], 0, 0
+        for start in range(n):
+            while end < n and total < min_words:
+                total, end = total + items[end], end + 1
+            if total < min_words:
+                break
+            out.add((start, end) if way == 1 else (n - end, n - start))
+            total -= items[start]
+    return out
+
+
+def _run_hashes(places: list[int], hashes: list[int], words: list[int], min_words: int) -> dict[tuple[int, int], int]:
+    """Start, end and hash of the shortest runs among lines that follow each other."""
+    gaps = [i for i in range(1, len(places)) if places[i] != places[i - 1] + 1]
+    data, out = np.array(hashes, "<i8"), {}
+    for a, b in zip([0, *gaps], [*gaps, len(places)], strict=True):
+        for start, end in runs(words[a:b], min_words):
+            out[a + start, a + end] = xxhash.xxh3_64_intdigest(data[a + start : a + end].tobytes()) - (1 << 63)
     return out
 
 
+def _row(text: str) -> Column:
+    """Which text of a doc_id a row has."""
+    return F.xxhash64(text).alias("row")
+
+
 def _lines(df: DataFrame, id_column: str, text: str) -> DataFrame:
     """(doc, row, hash, places, words): each distinct line of each text, its places among the lines that are not blank."""
-    rows = df.select(F.col(id_column).alias("doc"), F.col(text).alias("text")).filter("doc is not null")
+    rows = df.select(F.col(id_column).alias("doc"), F.col(text).alias("text"), _row(text)).filter("doc is not null")
     kind = rows.schema["doc"].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.select(["doc", "text"]), "text"):
-                rows, texts, hashes, places, words = [], [], [], [], []
+            for part in slices(batch, "text"):
+                rows, hashes, places, words = [], [], [], []
                 for i, value in enumerate(part.column(1).to_pylist()):
                     found: dict[int, tuple[list[int], int]] = {}
                     lines = [x for x in zip(*line_hashes(value or ""), strict=True) if x[0] is not None]
                     for n, (h, w) in enumerate(lines):
                         found.setdefault(h, ([], w))[0].append(n)
                     rows += [i] * len(found)
-                    texts += [xxhash.xxh3_64_intdigest(value or "") - (1 << 63)] * len(found)
                     hashes += found
                     places += [p for p, _ in found.values()]
                     words += [w for _, w in found.values()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(rows, pa.int64())),
-                        pa.array(texts, pa.int64()),
+                        part.column(2).take(pa.array(rows, pa.int64())),
                         pa.array(hashes, pa.int64()),
                         pa.array(places, pa.list_(pa.int32())),
                         pa.array(words, pa.int32()),
@@ -161,124 +197,83 @@ def _lines(df: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def _held(df: DataFrame, id_column: str, text: str) -> DataFrame:
-    """``_lines`` that several documents or texts have, with the first holder and the number of holders."""
+    """``_lines`` that several documents or texts have, with the number of holders."""
     lines = written(_lines(df, id_column, text), "lines")
-    first = F.min(F.struct("doc", "places")).alias("first")
-    known = lines.groupBy("hash").agg(first, F.count("*").alias("holders")).filter("holders > 1")
+    known = lines.groupBy("hash").agg(F.count("*").alias("holders")).filter("holders > 1")
     return written(skew_join(lines, known, ["hash"]), "shared")
 
 
-def shared_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", rare: int = RARE) -> DataFrame:
-    """(later, earlier, hash, words, places, other): the lines that make pairs of documents."""
-    return _pairing(_held(df, id_column, text), rare)
-
-
-def _pairing(held: DataFrame, rare: int) -> DataFrame:
-    common = held.filter((F.col("holders") > rare) & (F.col("doc") > F.col("first.doc")))
-    common = common.select(
-        F.col("doc").alias("later"),
-        F.col("first.doc").alias("earlier"),
-        "hash",
-        "words",
-        "places",
-        F.col("first.places").alias("other"),
-    )
-    few = held.filter(F.col("holders") <= rare).select("doc", "hash", "words", "places")
-    group = few.groupBy("hash").agg(F.collect_list(F.struct("doc", "words", "places")).alias("all"))  # at most ``rare``
-    later = group.select("hash", "all", F.explode("all").alias("one"))
-    earlier = later.select("hash", "one", F.explode("all").alias("two")).filter("two.doc < one.doc")
-    pairs = earlier.select(
-        F.col("one.doc").alias("later"),
-        F.col("two.doc").alias("earlier"),
-        "hash",
-        F.col("one.words").alias("words"),
-        F.col("one.places").alias("places"),
-        F.col("two.places").alias("other"),
-    )
-    return common.unionByName(pairs)
-
-
-def _completed(pairing: DataFrame, held: DataFrame, rare: int) -> DataFrame:
-    """``pairing`` with the frequent lines that a pair shares but that did not make it."""
-    often = held.filter(F.col("holders") > rare)
-    pairs = pairing.select("later", "earlier").distinct()
-    mine = often.select(F.col("doc").alias("later"), "hash", "words", "places", F.col("first.doc").alias("known"))
-    theirs = often.select(F.col("doc").alias("earlier"), "hash", F.col("places").alias("other"))
-    more = skew_join(pairs, mine, ["later"]).filter("earlier <> known").drop("known")
-    more = skew_join(more, theirs, ["earlier", "hash"])
-    return pairing.unionByName(more)
+def _texts(held: DataFrame) -> DataFrame:
+    """(doc, row, places, hashes, words, holders): the shared lines of each text, in order."""
+    one = held.select("doc", "row", F.explode("places").alias("place"), "hash", "words", "holders")
+    every = one.groupBy("doc", "row").agg(F.array_sort(F.collect_list(F.struct("place", "hash", "words", "holders"))).alias("all"))
+    names = {"places": "place", "hashes": "hash", "words": "words", "holders": "holders"}
+    return every.select("doc", "row", *[F.col(f"all.{field}").alias(name) for name, field in names.items()])
 
 
-def runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
-    """Start and end of the shortest runs of at least ``min_words`` words from each line on, and up to each line."""
-    out, n = set(), len(words)
-    for way in (1, -1):
-        items, total, end = words[::way], 0, 0
-        for start in range(n):
-            while end < n and total < min_words:
-                total, end = total + items[end], end + 1
-            if total < min_words:
-                break
-            out.add((start, end) if way == 1 else (n - end, n - start))
-            total -= items[start]
-    return out
+def _frequent_runs(texts: DataFrame, min_words: int, rare: int) -> DataFrame:
+    """(doc, run): the shortest runs of each text in which every line is frequent."""
+    kind = texts.schema["doc"].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found = [], []
+            for i, (places, hashes, words, holders) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)):
+                keep = [n for n, h in enumerate(holders) if h > rare]
+                some = ([x[n] for n in keep] for x in (places, hashes, words))
+                names = set(_run_hashes(*some, min_words).values())
+                at += [i] * len(names)
+                found += names
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.int64())], names=["doc", "run"])
+
+    some = texts.filter(F.exists("holders", lambda h: h > rare)).select("doc", "places", "hashes", "words", "holders")
+    return some.mapInArrow(find, f"doc {kind}, run long")
 
 
-def _known_runs(held: DataFrame, min_words: int) -> DataFrame:
-    """(doc, lines): the lines of each document in runs that an earlier document has too; of each -1, its place and its hash."""
-    entry = F.struct("hash", "places", "words")
-    texts = held.groupBy("doc", "row").agg(F.collect_list(entry).alias("shared"))
+def paired(
+    df: DataFrame, id_column: str = "doc_id", text: str = "text", rare: int = RARE, min_words: int = MIN_WORDS
+) -> DataFrame:
+    """(later, earlier): the pairs of documents that are aligned."""
+    held = _held(df, id_column, text)
+    return _pairs(held, _texts(held), rare, min_words)
 
-    @F.pandas_udf("array<struct<run:long,lines:array<long>>>")
-    def runs_of(shared: pd.Series) -> pd.Series:
-        out = []
-        for entries in shared:
-            lines = sorted({(p, e["hash"], e["words"]) for e in entries for p in e["places"].tolist()})
-            gaps = [i for i in range(1, len(lines)) if lines[i][0] != lines[i - 1][0] + 1]
-            found: dict[int, set] = {}
-            for a, b in zip([0, *gaps], [*gaps, len(lines)], strict=True):
-                for start, end in runs([w for _, _, w in lines[a:b]], min_words):
-                    part = [(p, h) for p, h, _ in lines[a + start : a + end]]
-                    name = xxhash.xxh3_64_intdigest(np.array([h for _, h in part], "<i8").tobytes()) - (1 << 63)
-                    found.setdefault(name, set()).update(part)
-            out.append([{"run": r, "lines": [x for p, h in sorted(ls) for x in (-1, p, h)]} for r, ls in found.items()])
-        return pd.Series(out)
 
-    held_runs = written(texts.select("doc", F.explode(runs_of("shared")).alias("x")).select("doc", "x.run", "x.lines"), "runs")
-    first = held_runs.groupBy("run").agg(F.min("doc").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return skew_join(held_runs, first, ["run"]).filter("doc > first").select("doc", "lines")
+def _pairs(held: DataFrame, texts: DataFrame, rare: int, min_words: int) -> DataFrame:
+    few = held.filter(F.col("holders") <= rare).groupBy("hash").agg(F.collect_set("doc").alias("docs"))  # at most ``rare``
+    few = few.filter(F.size("docs") > 1).select("docs", F.explode("docs").alias("later"))
+    few = few.select("later", F.explode("docs").alias("earlier")).filter("earlier < later")
+    found = written(_frequent_runs(texts, min_words, rare), "runs")
+    first = found.groupBy("run").agg(F.min("doc").alias("earlier"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    often = skew_join(found, first, ["run"]).filter("doc > earlier").select(F.col("doc").alias("later"), "earlier")
+    return few.unionByName(often).distinct()
 
 
 def repeated_lines(
     df: DataFrame, id_column: str = "doc_id", text: str = "text", rare: int = RARE, min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """(doc, lines): the lines of each document that are aligned with an earlier document's or in a run that one has; of each
-    a number of the earlier document (-1 for runs), its place and its hash, one after the other."""
+    """(doc, row, places): the lines of each text in blocks that an earlier document has, by their places among its lines."""
     held = _held(df, id_column, text)
-    pairs = _completed(written(_pairing(held, rare), "pairs"), held, rare)
-    entry = F.struct("earlier", "hash", "places", "other", "words")
-    gathered = pairs.groupBy(F.col("later").alias("doc")).agg(F.collect_list(entry).alias("shared"))
-
-    @F.pandas_udf("array<long>")
-    def align(shared: pd.Series) -> pd.Series:
-        out = []
-        for entries in shared:
-            by: dict = {}
-            for e in entries:
-                h, p, o, w = by.setdefault(e["earlier"], ([], [], [], []))
-                h.append(e["hash"])
-                p.append(e["places"].tolist())
-                o.append(e["other"].tolist())
-                w.append(e["words"] * len(p[-1]))
-            found: set[tuple] = set()
-            for h, p, o, w in by.values():
-                if sum(w) >= min_words:
-                    found.add(tuple(sorted(aligned_lines(h, p, o))))
-            out.append(np.array([(n, *x) for n, lines in enumerate(sorted(found)) for x in lines], np.int64).ravel())
-        return pd.Series(out)
-
-    every = gathered.select("doc", align("shared").alias("lines")).unionByName(_known_runs(held, min_words))
-    return every.groupBy("doc").agg(F.flatten(F.collect_list("lines")).alias("lines"))
+    texts = written(_texts(held), "texts")
+    pairs = _pairs(held, texts, rare, min_words)
+    mine = texts.select(F.col("doc").alias("later"), "row", "places", "hashes", "words")
+    theirs = texts.select(F.col("doc").alias("earlier"), F.col("places").alias("other_places"), F.col("hashes").alias("other_hashes"))
+    both = skew_join(skew_join(pairs, theirs, ["earlier"]), mine, ["later"])  # a row per pair of texts
+    kind = both.schema["later"].dataType.simpleString()
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found = [], []
+            for i, pair in enumerate(zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)):
+                places = sorted(common_lines(*pair, min_words))
+                at += [i] * len(places)
+                found += places
+            rows = pa.array(at, pa.int64())
+            arrays = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(found, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc", "row", "place"])
+
+    columns = ["later", "row", "places", "hashes", "words", "other_places", "other_hashes"]
+    gone = both.select(*columns).mapInArrow(align, f"doc {kind}, row long, place int").distinct()
+    return gone.groupBy("doc", "row").agg(F.collect_list("place").alias("places"))
 
 
 def without_repeated_lines(
@@ -294,10 +289,11 @@ def without_repeated_lines(
 
     ``n_chars`` names a column to set to the new length; ``stats`` adds n_lines and removed_lines.
     """
-    lines, row_id = fresh(df, "lines"), fresh(df, "doc")
-    found = repeated_lines(df, id_column, text, rare, min_words).select(F.col("doc").alias(row_id), F.col("lines").alias(lines))
-    plain = df.withColumn(row_id, F.col(id_column))
-    marked = skew_join(plain, found, [row_id], "left").drop(row_id)
+    lines, doc, row = fresh(df, "lines"), fresh(df, "doc"), fresh(df, "row")
+    found = repeated_lines(df, id_column, text, rare, min_words)
+    found = found.select(F.col("doc").alias(doc), F.col("row").alias(row), F.col("places").alias(lines))
+    plain = df.withColumns({doc: F.col(id_column), row: _row(text)})
+    marked = skew_join(plain, found, [doc, row], "left").drop(doc, row)
     added = ["n_lines", "removed_lines"] if stats else []
     kept = marked.select(*[F.col(f"`{c}`") for c in marked.columns if c not in added])
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.drop(lines).schema])
@@ -309,20 +305,15 @@ def without_repeated_lines(
             for part in slices(batch, text):
                 at = part.schema.get_field_index(text)
                 texts, counts, gone = [], [], []
-                aligned = part.column(part.schema.get_field_index(lines)).to_pylist()
-                for value, some in zip(part.column(at).to_pylist(), aligned, strict=True):
+                repeated = part.column(part.schema.get_field_index(lines)).to_pylist()
+                for value, some in zip(part.column(at).to_pylist(), repeated, strict=True):
                     pieces = value.split("\n") if value else []
                     drop: set[int] = set()
                     if some:
-                        hashes, words = line_hashes(value)
-                        blank = {i for i, h in enumerate(hashes) if h is None}
-                        full = [i for i, h in enumerate(hashes) if h is not None]
-                        by: dict[int, set[int]] = {}
-                        for pair, x, h in zip(some[::3], some[1::3], some[2::3], strict=True):
-                            if x < len(full) and hashes[full[x]] == h:  # not of another row of this id
-                                by.setdefault(pair, set()).add(full[x])
-                        for here in by.values():
-                            drop |= blocks(here, dict(enumerate(words)), blank, min_words)
+                        full = [i for i, piece in enumerate(pieces) if piece.strip(BLANK.decode())]
+                        for x in sorted(some):
+                            last = full[x - 1] if x else -1
+                            drop.update(range(last + 1 if last in drop else full[x], full[x] + 1))
                     texts.append("\n".join(p for i, p in enumerate(pieces) if i not in drop) if drop else value)
                     counts.append(len(pieces))
                     gone.append(len(drop))
