@@ -9,6 +9,7 @@ the id and text columns are read, so other columns may have any name.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +31,7 @@ FREE_SEGMENTS = 3  # segments that must agree; more make the blocks smaller and
 SEGMENT_PIVOTS = 16
 GLOBAL_PIVOTS = 32
 BATCH = 1 << 16
+BLOCK_ROWS = 4096  # distinct fingerprints that are compared in one task; larger blocks are split
 
 
 def text_fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -78,6 +80,10 @@ class PivotTable:
     less the base's depend on that segment's bits alone, and ``max_bits`` differing bits leave three
     segments untouched: a link agrees on those coordinates for some three segments. Their combinations
     are the block keys, so no link is lost and only rows of a block are compared.
+
+    A block with too many rows is split again in the same way: the bits on which its rows need not agree are cut into
+    ``max_bits + 1`` parts, of which a link leaves one untouched. References that differ from the base in one bit each have a
+    coordinate for every bit, so agreeing on those of a part is having the same bits there.
     """
 
     def __init__(self, max_bits: int = MAX_BITS, seed: int = 7):
@@ -93,8 +99,12 @@ class PivotTable:
             pivots += [base ^ (m << np.uint64(low)) for m in masks]
         pivots += list(rng.integers(0, 1 << 64, GLOBAL_PIVOTS, dtype=np.uint64))
         self.pivots = np.array(pivots, np.uint64)
-        self.segments = count
+        self.segments, self.base = count, base
         self.combos = list(combinations(range(count), FREE_SEGMENTS))
+        inside = [((1 << int(high)) - 1) ^ ((1 << int(low)) - 1) for low, high in zip(cuts[:-1], cuts[1:], strict=True)]
+        every = (1 << 64) - 1
+        #: for each combination the bits on which rows of a block may differ
+        self.free = np.array([every ^ sum(inside[g] for g in combo) for combo in self.combos], np.uint64)
         self.mix = rng.integers(1, 1 << 64, (count, SEGMENT_PIVOTS), dtype=np.uint64) | np.uint64(1)
 
     def distances(self, bits: np.ndarray) -> np.ndarray:
@@ -116,6 +126,18 @@ class PivotTable:
             out[:, j] = key
         return out
 
+    def split(self, key: int, free: int, bits: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        """For each part of the bits ``free`` the keys of the smaller blocks and the bits that stay free there."""
+        places = [i for i in range(64) if free >> i & 1]
+        for j, part in enumerate(np.array_split(np.array(places, np.uint64), self.max_bits + 1)):
+            mask = sum(1 << int(i) for i in part)
+            if not mask:
+                continue
+            seed = np.uint64((key * 0x9E3779B97F4A7C15 + j + 1) & ((1 << 64) - 1))
+            mixed = ((bits ^ self.base) & np.uint64(mask)) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ mixed >> np.uint64(29) ^ seed) * np.uint64(0x94D049BB133111EB)
+            yield mixed ^ mixed >> np.uint64(32), free & ~mask
+
     def links(self, bits: np.ndarray) -> Iterator[tuple[int, int]]:
         """Links that connect what is linked among the rows of one block: a spanning forest, not all pairs."""
         table = self.distances(bits)
@@ -183,8 +205,12 @@ def _block_links(max_bits: int):
     return run
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints (column ``fp``) at ``max_bits`` or fewer bits."""
+def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Links (a, b) that connect all distinct fingerprints (column ``fp``) at ``max_bits`` or fewer bits.
+
+    Blocks of more than ``block_rows`` fingerprints are split into overlapping smaller ones, as often as it takes: every time
+    there are fewer bits left on which rows may differ, and so fewer fingerprints that a block can have.
+    """
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = PivotTable(max_bits)
@@ -193,11 +219,32 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             for i in range(0, len(fp), BATCH):
                 part = fp[i : i + BATCH]
                 keys = table.keys(part.view(np.uint64)).view(np.int64)
-                yield pd.DataFrame({"key": keys.ravel(), "fp": np.repeat(part, keys.shape[1])})
+                free = np.tile(table.free.view(np.int64), len(part))
+                yield pd.DataFrame({"key": keys.ravel(), "fp": np.repeat(part, keys.shape[1]), "free": free})
+        give_back()
+
+    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table, mask = PivotTable(max_bits), (1 << 64) - 1
+        for frame in frames:
+            for (key, free), rows in frame.groupby(["key", "free"]):
+                fp = rows["fp"].to_numpy(np.int64)
+                for keys, left in table.split(int(key) & mask, int(free) & mask, fp.view(np.uint64)):
+                    yield pd.DataFrame({"key": keys.view(np.int64), "fp": fp, "free": np.uint64(left).view(np.int64)})
         give_back()
 
-    blocks = fps.mapInPandas(spread, "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
-    return blocks.mapInPandas(_block_links(max_bits), "a long, b long")
+    def linked(blocks: DataFrame) -> DataFrame:
+        together = blocks.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
+        return together.mapInPandas(_block_links(max_bits), "a long, b long")
+
+    shape = "key long, fp long, free long"
+    blocks, found = written(fps.mapInPandas(spread, shape), "blocks"), []
+    while True:
+        large = blocks.groupBy("key").agg(F.count("*").alias("n"), F.max(F.bit_count("free")).alias("left"))
+        large = written(large.filter((F.col("n") > block_rows) & (F.col("left") > max_bits)).select("key"), "large")
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, [*found, linked(blocks)])
+        found.append(linked(blocks.join(large, "key", "left_anti")))
+        blocks = written(blocks.join(large, "key", "left_semi").mapInPandas(split, shape), "blocks")
 
 
 def fingerprint_groups(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:

@@ -1,9 +1,11 @@
 """SimHash, line dedup, mixing, nearest neighbours, WARC and the pipeline against brute force."""
 
 import re
+import uuid
 from collections import defaultdict
-from hashlib import sha256
+from hashlib import md5, sha256
 from itertools import combinations
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -83,6 +85,48 @@ def test_pivot_tables_lose_no_link(shipped):
     assert groups(found, signed) == expected
 
 
+def test_large_blocks_are_split_and_lose_no_link(shipped, monkeypatch):
+    """A third of all fingerprints, all distinct, are within a few bits of one: no task compares more than a bounded block."""
+    rng = np.random.default_rng(9)
+    center = np.uint64(0x0123456789ABCDEF)
+    flip = lambda n: np.uint64(sum(1 << int(b) for b in rng.choice(64, n, replace=False)))
+    near = {int(center ^ flip(n)) for n in rng.choice([1, 2, 3, 4, 6, 8], 1200)}
+    far = {int(x) for x in rng.integers(0, 1 << 64, 2400, dtype=np.uint64)}
+    bits = np.array(sorted(near | far), np.uint64)
+    signed = bits.view(np.int64).tolist()
+    close = np.bitwise_count(bits[:, None] ^ bits[None]) <= 3
+    expected = groups(((signed[i], signed[j]) for i, j in zip(*np.nonzero(close))), signed)
+    whole = simhash.PivotTable().keys(bits)
+    assert max(np.unique(whole[:, j], return_counts=True)[1].max() for j in range(whole.shape[1])) > 100
+
+    links = simhash._block_links
+
+    def counted(max_bits):
+        run, out = links(max_bits), str(folder)
+
+        def outer(frames):
+            def noted():
+                for frame in frames:
+                    sizes = frame.groupby("key").size()
+                    with open(f"{out}/{uuid.uuid4().hex}", "w") as f:
+                        f.write(str(int(sizes.max()) if len(sizes) else 0))
+                    yield frame
+
+            yield from run(noted())
+
+        return outer
+
+    folder = Path(new_folder(shipped, "seen").removeprefix("file:"))
+    folder.mkdir(parents=True)
+    monkeypatch.setattr(simhash, "_block_links", counted)
+    df = shipped.createDataFrame([(s,) for s in signed], "fp long")
+    found = simhash.fingerprint_links(df, block_rows=30).collect()
+    seen = [int(f.read_text()) for f in folder.iterdir()]
+    assert seen and max(seen) <= 30
+    assert all(bin((a ^ b) & (1 << 64) - 1).count("1") <= 3 for a, b in found)
+    assert groups(found, signed) == expected
+
+
 def test_simhash_groups_of_the_sample(shipped, small):
     rows = QUERIES["op10_simhash"](shipped, small).collect()
     bits = {r.doc_id: int(r.fingerprint, 16) for r in rows}
@@ -148,18 +192,75 @@ def test_repeated_rows_and_null_ids_stay(shipped):
     assert found == [("1", text), ("1", text), ("2", ""), ("2", other), ("None", text)]
 
 
-def test_shared_lines_against_brute_force(shipped):
+def plain_passages(texts, min_words):
+    """Of each text the lines in runs of at least so many words that an earlier text has in one piece, blank lines aside."""
+    split = [[x.strip(" \t\x0b\x0c\r") for x in (t or "").split("\n")] for t in texts]
+    full = [[i for i, x in enumerate(lines) if x] for lines in split]
+    out = []
+    for d, lines in enumerate(split):
+        mine, gone = [lines[i] for i in full[d]], set()
+        for e in range(d):
+            other = [split[e][i] for i in full[e]]
+            for i in range(len(mine)):
+                for j in range(len(other)):
+                    n = 0
+                    while i + n < len(mine) and j + n < len(other) and mine[i + n] == other[j + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in mine[i : i + n]) >= min_words:
+                        gone |= set(range(i, i + n))
+        drop = set()
+        for k, i in enumerate(full[d]):
+            if k in gone:
+                drop.add(i)
+                if k - 1 in gone:
+                    drop |= set(range(full[d][k - 1], i))
+        pieces = (texts[d] or "").split("\n")
+        out.append("\n".join(x for i, x in enumerate(pieces) if i not in drop) if drop else texts[d])
+    return out
+
+
+@pytest.mark.parametrize(("rare", "kinds", "count"), [(8, 40, 60), (2, 12, 60), (3, 200, 90)])
+def test_deleted_blocks_equal_brute_force(shipped, rare, kinds, count):
+    rng = np.random.default_rng(rare)
+    chance = 1 / np.arange(1, kinds + 1)
+    pool = [" ".join(f"w{x}_{i}" for i in range(1 + x % 9)) for x in range(kinds)]
+    texts = [[pool[x] for x in rng.choice(kinds, rng.integers(0, 14), p=chance / chance.sum())] for _ in range(count)]
+    for t in texts[10:]:  # passages of earlier texts, some in another order, and blank lines
+        for _ in range(rng.integers(0, 3)):
+            other = texts[rng.integers(0, 10)]
+            at = rng.integers(0, len(other) + 1)
+            spot = rng.integers(0, len(t) + 1)
+            t[spot:spot] = [*other[at : at + 5], *[""] * rng.integers(0, 2)]
+    texts = ["\n".join(t) for t in texts] + ["", None, "\n \n"]
+    rows = {r.doc_id: r.text for r in linededup.without_repeated_lines(documents(shipped, texts), rare=rare, min_words=12).collect()}
+    assert [rows[i] for i in range(len(texts))] == plain_passages(texts, 12)
+
+
+@pytest.mark.parametrize("more", [0, 30])
+def test_result_does_not_depend_on_the_number_of_sharers(shipped, more):
+    """A, B, A X B, A B: no passage of 24 words is in one piece in an earlier document, however many have its lines."""
+    a, b = line("a"), line("b")
+    texts = [a, b, f"{a}\n{line('x')}\n{b}", f"{a}\n{b}", f"own line\n{a}\n\n{b}"]
+    texts = [*texts[:2], *[f"{line(f'o{i}_')}\n{(a, b)[i % 2]}" for i in range(more)], *texts[2:]]
+    rows = {r.doc_id: r.text for r in linededup.without_repeated_lines(documents(shipped, texts)).collect()}
+    assert [rows[len(texts) - i] for i in (3, 2, 1)] == [texts[-3], texts[-2], "own line"]
+
+
+def test_pairs_against_brute_force(shipped):
     rng = np.random.default_rng(4)
     texts = ["\n".join(f"line {x}" for x in rng.integers(0, 60, 8)) for _ in range(40)]
-    found = {(r.later, r.earlier) for r in linededup.shared_lines(documents(shipped, texts), rare=3).collect()}
-    holders = defaultdict(list)
+    found = {tuple(r) for r in linededup.paired(documents(shipped, texts), rare=3, min_words=4).collect()}
+    holders, runs = defaultdict(set), defaultdict(list)
+    for i, text in enumerate(texts):
+        for x in text.split("\n"):
+            holders[x].add(i)
+    expected = {(b, a) for docs in holders.values() if len(docs) <= 3 for a, b in combinations(sorted(docs), 2)}
     for i, text in enumerate(texts):
-        for x in set(text.split("\n")):
-            holders[x].append(i)
-    expected = set()
-    for docs in holders.values():
-        pairs = combinations(docs, 2) if len(docs) <= 3 else [(docs[0], d) for d in docs[1:]]
-        expected |= {(b, a) for a, b in pairs}
+        lines = text.split("\n")
+        for two in zip(lines, lines[1:]):
+            if all(len(holders[x]) > 3 for x in two):
+                runs[two].append(i)
+    expected |= {(d, docs[0]) for docs in runs.values() for d in docs if d > docs[0]}
     assert found == expected
 
 
@@ -260,6 +361,24 @@ def test_mix_fills_the_rest_beside_long_documents(shipped):
     assert sum(r["size"] * r.copies for r in mixed if r.pattern == ["a"]) == 60_000
 
 
+@pytest.mark.parametrize("wanted", [1, 777, 20_011, 39_000])
+def test_mix_selects_in_the_order_of_the_hash(shipped, wanted):
+    """Every document that fits in what is left by then, and at last one that overshoots if that comes nearer."""
+    rng = np.random.default_rng(wanted)
+    sizes = [int(x) for x in rng.integers(1, 60, 900)] + [5000, 9000, 4000]
+    rows = [(i, n, ["s"]) for i, n in enumerate(sizes)]
+    df = shipped.createDataFrame(rows, "doc_id long, size long, pattern array<string>")
+    found = {r.doc_id for r in mixing.mix(df, {"s": wanted}).collect() if r.copies}
+    order = sorted(range(len(sizes)), key=lambda i: md5(f"{mixing.SEED}/{i}".encode()).hexdigest()[: mixing.HASH_BITS // 4])
+    left, taken = wanted, set()
+    for i in order:
+        if sizes[i] <= left:
+            taken.add(i)
+            left -= sizes[i]
+    over = [(abs(sizes[i] - left), n, i) for n, i in enumerate(order) if i not in taken and abs(sizes[i] - left) < left]
+    assert found == taken | ({min(over)[2]} if over else set())
+
+
 def test_mix_odd_rows(shipped):
     rows = [(1, None, "s"), (2, "", None), (3, "a b", None), (3, "a b", None), (None, "c", "s"), (4, "   x", "")]
     df = shipped.createDataFrame(rows, "doc_id long, text string, source string").withColumn("copies", F.lit("clash"))
@@ -343,6 +462,34 @@ def test_nearest_of_copies_and_unusable_vectors(shipped):
     assert forest.nearest(few.filter("false"), F.lit(True)).count() == 0
 
 
+def test_nearest_of_extreme_vectors(shipped):
+    """Scaling by a power of two keeps norms from overflowing and changes no digit of an ordinary score."""
+    rows = [(0, [1e200, 1e200]), (1, [2.0**660, 0.0]), (2, [-1e308, -1e308]), (3, [5e-324, 5e-324]), (4, [3e-310, 4e-310]), (5, [0.3, 0.1])]
+    df = shipped.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {(r.query_id, r.vec_id): r.score for r in forest.nearest(df, F.lit(True)).collect()}
+    assert len(found) == 30
+    want = {(0, 1): 0.5**0.5, (0, 2): -1.0, (0, 3): 1.0, (4, 1): 0.6, (3, 4): 1.4 / 2**0.5}
+    assert all(abs(found[k] - v) < 1e-12 for k, v in want.items())
+    x, y = np.array([0.3, 0.1]), np.array([1.0, 0.0])
+    assert found[5, 1] == (x * y).sum() / (np.sqrt((x * x).sum()) * 1.0)
+
+
+def test_nearest_visits_blocks_of_a_table_of_any_size(shipped):
+    """No switch by size: with a small share the same descent serves a table of many blocks and parts, whole or in pieces."""
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(4000, 24)) + 2 * rng.normal(size=(40, 24))[rng.integers(0, 40, 4000)]
+    df = shipped.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for block_rows in (300, 10_000):
+        rows = forest.nearest(df, F.col("id") % 50 == 0, block_rows=block_rows, per_query=1200).collect()
+        hits = 0
+        for q in range(0, 4000, 50):
+            cosines = x @ x[q]
+            cosines[q] = -9
+            hits += len(set(np.argsort(-cosines)[:5].tolist()) & {r.vec_id for r in rows if r.query_id == q})
+        assert hits / 400 >= 0.9
+
+
 # --- WARC
 
 
