@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from haulbook.llm.common import give_back, slices, written
 
 BEST = 50
-BLOCK_CHARS = 16_000_000  # bytes of text in a block of the index, at most
+BLOCK_CHARS = 8_000_000  # bytes of text in a block of the index, at most
 QUERY_TERMS = 100_000
 FIRST_DEPTH = 64
 DEEPER = 4
@@ -216,9 +216,10 @@ def _ranked(index: DataFrame, asked: DataFrame, documents: int, k: int) -> DataF
     number = {t: i for i, t in enumerate(names)}
     queries = [np.array([number[t] for t in ts], np.int64) for ts in by_item.values()]
     vocabulary = spark.createDataFrame([(ALL, -1), *number.items()], "term string, number int")
-    frequency = index.filter(F.col("term") != ALL).groupBy("term").agg(F.sum("df").alias("df"))
+    vocabulary = written(vocabulary, "vocabulary")  # a table of known size: the index is not shuffled for it
+    asked_for = index.select("term", "df").join(vocabulary.filter("number >= 0"), "term")  # few of all terms
     weights = np.zeros(len(names), np.int64)
-    for r in frequency.join(vocabulary, "term").collect():
+    for r in asked_for.groupBy("number").agg(F.sum("df").alias("df")).collect():
         weights[r["number"]] = math.floor(1000 * math.log((2 * documents + 2) / (2 * r["df"] + 1)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
