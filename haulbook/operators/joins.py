@@ -11,7 +11,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulbook.operators.sizes import estimated_bytes
+
 ROWS_PER_SLOT = 250_000  # fewer matches of one key are left to one task
+BYTES_PER_ROW = 4  # at least, of a table's rows by Spark's estimate, which is of compressed files
 MOST_HOT_KEYS = 1000  # a key beyond these has less than a thousandth of all matches
 COPIES_PER_PIECE = 1_000  # identical rows travel as one row with a count up to this
 
@@ -68,14 +71,16 @@ def fanout_join(
     MOST_HOT_KEYS entries and is a subquery's value, so neither side is shuffled to look a key up: both move once, for the join,
     which can split hot keys of ``left``. Last, the counted copies are written out.
     """
-    size = copies_per_piece or COPIES_PER_PIECE
+    size, slot_rows = copies_per_piece or COPIES_PER_PIECE, rows_per_slot or ROWS_PER_SLOT
     copies, piece, slot, copy = (fresh(c, left, right) for c in ("copies", "piece", "slot", "copy"))
     counted = right.dropna(subset=keys).groupBy(*right.columns).agg(F.count("*").alias(copies))
-    many = fanout_keys(counted, keys, F.col(copies), rows_per_slot or ROWS_PER_SLOT)
-    most = many.orderBy(F.desc("_slots"), *keys).limit(MOST_HOT_KEYS)
-    hot = most.agg(F.map_from_entries(F.collect_list(F.struct(F.struct(*keys), "_slots"))).alias("hot"))
-    kinds = {f.name: f.dataType for f in right.select(*keys).schema}
-    slots = F.try_element_at(hot.scalar(), F.struct(*[F.col(k).cast(t).alias(k) for k, t in kinds.items()]))
+    slots = F.lit(None).cast("int")
+    if estimated_bytes(right) >= slot_rows * BYTES_PER_ROW:  # else no key has so many rows
+        many = fanout_keys(counted, keys, F.col(copies), slot_rows)
+        most = many.orderBy(F.desc("_slots"), *keys).limit(MOST_HOT_KEYS)
+        hot = most.agg(F.map_from_entries(F.collect_list(F.struct(F.struct(*keys), "_slots"))).alias("hot"))
+        kinds = {f.name: f.dataType for f in right.select(*keys).schema}
+        slots = F.try_element_at(hot.scalar(), F.struct(*[F.col(k).cast(t).alias(k) for k, t in kinds.items()]))
     last_piece = F.ceil(F.col(copies) / size).cast("int") - 1
     pieces = counted.withColumn(piece, F.explode(F.sequence(F.lit(0), last_piece))).withColumn(
         copies, F.least(F.lit(size), F.col(copies) - F.col(piece) * size).cast("int")

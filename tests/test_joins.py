@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from haulbook.operators import joins, scorecard
+from haulbook.operators import joins, members, scorecard
 from haulbook.operators.joins import exists_flag, fanout_join, fanout_keys, lookup_join
 from haulbook.operators.latest import latest_per_key
 from haulbook.operators.members import possible_members
@@ -82,6 +82,13 @@ def test_lookup_join_splits_every_hot_key(spark, split, hot):
     assert sum(tasks) == 120_000 and tasks[-1] < 2.5 * 120_000 / 64
 
 
+@pytest.fixture(autouse=True)
+def large(monkeypatch):
+    """Every table counts as large."""
+    monkeypatch.setattr(members, "FILTER_FROM", 0)
+    monkeypatch.setattr(joins, "BYTES_PER_ROW", 0)
+
+
 def test_fanout_keys_have_slots_by_their_matches(spark):
     counted = spark.range(0, 300).select((F.col("id") % 10).alias("k"), F.lit(1).alias("n"))
     assert fanout_keys(counted, ["k"], F.col("n"), 40).count() == 0  # 30 matches each
@@ -161,6 +168,7 @@ def test_possible_members_keeps_all_members_and_few_others(spark):
     words = keys.select(F.concat(F.lit("k"), "k").alias("k"))
     text = possible_members(many.select(F.concat(F.lit("k"), "k").alias("k")), words, "k")
     assert {f"k{x}" for x in members} <= {r.k for r in text.collect()} and text.count() < len(members) + 1600
+    assert possible_members(many, keys.filter("false"), "k").count() == 0
     mixed = possible_members(many, keys.select(F.col("k").cast("int")), "k")  # integers of another width
     assert members <= {r.k for r in mixed.collect()}
 

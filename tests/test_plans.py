@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from haulbook.operators import scorecard
+from haulbook.operators import joins, members, scorecard
 from haulbook.operators.filters import in_lookback
 from haulbook.queries import QUERIES
 from haulbook.sources import write_bucketed, write_facts
@@ -97,7 +97,14 @@ def up_to_the_join(lines: list[str], scan: str) -> list[str]:
     return out
 
 
-def test_etas_are_filtered_in_the_scan_and_cross_one_exchange(spark, small, shuffled_joins):
+@pytest.fixture
+def large(monkeypatch):
+    """Every table counts as large."""
+    monkeypatch.setattr(members, "FILTER_FROM", 0)
+    monkeypatch.setattr(joins, "BYTES_PER_ROW", 0)
+
+
+def test_etas_are_filtered_in_the_scan_and_cross_one_exchange(spark, small, shuffled_joins, large):
     """From the scan of the ETAs upwards: the membership filter, the aggregate of each task, one exchange, the join."""
     lines = without_subqueries(plan(QUERIES["eta_ontime"](spark, small)))
     above = up_to_the_join(lines, r"\[o_orderkey")
@@ -122,7 +129,7 @@ def test_drivers_are_formatted_above_the_final_order(spark, small):
     assert "regexp_replace" not in below or "State__c" not in below
 
 
-def test_owner_join_moves_carriers_once(spark, small, shuffled_joins):
+def test_owner_join_moves_carriers_once(spark, small, shuffled_joins, large):
     lines = without_subqueries(plan(QUERIES["composite_key_join"](spark, small)))
     assert sum("Join" in line.split("(")[0].split("[")[0] for line in lines) == 1
     assert len(exchanges("\n".join(up_to_the_join(lines, "s_suppkey")))) == 1
@@ -149,7 +156,7 @@ def test_partitioned_facts_read_the_days_of_the_window(spark, small, tmp_path):
     assert {r.n for r in in_lookback(spark.read.parquet(str(tmp_path / "few")), "2001-06-30").collect()} == {1, 3}
 
 
-def test_bucketed_facts_need_no_exchange(spark, small, tmp_path, rows, shuffled_joins):
+def test_bucketed_facts_need_no_exchange(spark, small, tmp_path, rows, shuffled_joins, large):
     tables = SampleTables(spark, small)
     keys = {"deliveries": scorecard.CARRIER, "violations": scorecard.CARRIER, "etas": "delivery_id"}
     for name, key in keys.items():
