@@ -4,17 +4,20 @@ Each tree hashes a vector to a string of symbols: the axis, with its sign, that
 random rotation, once per symbol. Vectors that are near copies of each other share these symbols in most trees; where the first
 ``SYMBOLS`` of a string are so frequent that the rows which have them may be more than the candidates of a query, the further
 symbols are of the vector's difference from the mean of such rows, which tells copies apart as well as other vectors.
-If more rows than that have one whole string all the same, its queries are compared with all rows. A tree is the array of all strings in order. A query descends to
-its own place in each tree; the rows around it share the longest prefixes with it. Then it ascends in all trees at
-once: rows that share the most symbols with the query in any tree come first, among them those
-that do so in more trees, until enough candidates are found, whose cosines are then computed in double precision.
+If more rows than that have one whole string all the same, its queries are compared with all rows. A tree is the array of all strings
+in order. A query descends to its own place in each tree, where the rows around it share the longest prefixes with it, and
+ascends, in all trees alike, from longer to shorter prefixes until it has its share of candidates in each tree or comes to the rows that
+do not share its first symbol. Cosines of all candidates are then computed in double precision.
 
-The arrays are spread over blocks of about ``block_rows`` rows, cut at quantiles of a bounded sample; a query visits its block
-and the two beside it. Equal vectors are one row of the index. The number of candidates per query is
-``candidates(rows)``, which grows as the rows to the power 0.7; recall is measured against brute force in the tests.
+The arrays are spread over blocks of about ``block_rows`` rows, cut at quantiles of the strings of a sample that grows with the number of
+blocks; a query visits its block and the two beside it. Candidates are gathered by query and part of the nodes, and a part meets
+``AT_ONCE`` queries or so at a time, so no row or group grows with the table. Equal vectors are one row of the index. The number of candidates
+per query and tree is ``candidates(rows)`` over a quarter of the trees, which grows as the rows to the power 0.7; recall is measured against
+brute force in the tests.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, and neither do those of another length
-than most (the longest of equals): a cosine with them has no meaning. A row with a null id takes no part. Rows that repeat
+than most (the longest of equals): a cosine with them has no meaning. Vectors are scaled by a power of two before their norms are
+taken, which changes no digit of a cosine and keeps extreme ones from overflowing. A row with a null id takes no part. Rows that repeat
 an id with an equal vector count once; with different vectors each counts, but none is found for its own id. Ties
 go to the smaller id. Fewer than ``k`` candidates are all returned. Empty tables give an empty result. Only the two named
 columns are read.
@@ -33,13 +36,14 @@ from pyspark.sql.window import Window
 from haulbook.llm.common import skew_join, written
 
 NEAREST = 5
-TREES = 96
+TREES = 48
 SYMBOLS, FURTHER = 3, 3
 SEED = 11
-SAMPLE = 4096
+SAMPLE, SAMPLE_OF_BLOCK = 4096, 8  # vectors of the sample at least, and for each block
 BLOCK_ROWS = 20_000
-PART_ROWS = 5_000
+PART_ROWS = 8_192
 AT_ONCE = 4096
+QUERIES_AT_ONCE = 20_000
 AROUND = 8
 
 
@@ -93,12 +97,11 @@ class Forest:
         """Places in a tree's array: the string, then the tree's own hash of the id, so that equal strings can be cut apart."""
         return strings << self.tail | _mix(ids ^ _mix(np.array([tree + 1]))) & ((1 << self.tail) - 1)
 
-    def shared(self, keys: np.ndarray, key: int) -> np.ndarray:
-        """Number of leading symbols that ``keys`` share with ``key``."""
-        out, differ = np.zeros(len(keys), np.int8), keys ^ key
-        for s in range(1, self.symbols + 1):
-            out += (differ >> (self.tail + (self.symbols - s) * self.bits)) == 0
-        return out
+
+def _planted(shape: tuple[int, int], means: list[dict[int, np.ndarray]]) -> Forest:
+    out = Forest(*shape)
+    out.means = means
+    return out
 
 
 def _mix(ids: np.ndarray) -> np.ndarray:
@@ -108,8 +111,14 @@ def _mix(ids: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(2)).astype(np.int64)
 
 
-def _unit(vectors: list) -> np.ndarray:
+def _scaled(vectors: list) -> np.ndarray:
+    """Vectors times a power of two each, so that their largest components are between 1/2 and 1."""
     out = np.array(vectors, np.float64)
+    return np.ldexp(out, -np.frexp(np.abs(out).max(1, keepdims=True))[1])
+
+
+def _unit(vectors: list) -> np.ndarray:
+    out = _scaled(vectors)
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
@@ -152,28 +161,44 @@ def nearest(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dimensions = len(nodes.select("v").first()["v"])
     budget = per_query or candidates(count)
+    around = max(AROUND, k + 1)
+    share = max(around, 4 * budget // trees)  # candidates to either side of a query in one tree
     blocks, parts = max(1, count // block_rows), max(1, count // PART_ROWS)
-    sample = nodes.filter(F.pmod("h", F.lit(max(1, count // SAMPLE))) == 0).orderBy("h", "v").limit(2 * SAMPLE).select("v").collect()
-    sample = _unit([r["v"] for r in sample] or [nodes.select("v").first()["v"]])
+    wanted = max(SAMPLE, SAMPLE_OF_BLOCK * blocks)
+    sample = nodes.filter(F.pmod("h", F.lit(max(1, count // wanted))) == 0).select("node", "v")
+    few = sample.orderBy(F.xxhash64("node"), "node").limit(2 * SAMPLE).select("v").collect()
+    few = _unit([r["v"] for r in few] or [nodes.select("v").first()["v"]])
     shape = (dimensions, trees)
     forest = Forest(*shape)
-    means = forest.learn(sample, max(AROUND, len(sample) * budget / count / 2))
-    bounds = []
-    for tree in range(trees):
-        keys = np.sort(forest.keys(forest.strings(sample, tree), np.arange(len(sample)), tree))
-        bounds.append(keys[np.linspace(0, len(keys), blocks + 1).astype(int)[1:-1]])
-    cuts = np.array(bounds, np.int64).reshape(trees, blocks - 1)
+    means = forest.learn(few, max(around, len(few) * budget / count / 2))
+
+    def keyed(forest: Forest, frame: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+        vectors, ids = _unit(frame["v"].tolist()), frame["node"].to_numpy()
+        for tree in range(trees):
+            yield tree, forest.keys(forest.strings(vectors, tree), ids, tree)
+
+    def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forest = _planted(shape, means)
+        for frame in frames:
+            for tree, keys in keyed(forest, frame):
+                yield pd.DataFrame({"tree": tree, "key": keys})
+
+    cuts = np.zeros((trees, 0), np.int64)
+    if blocks > 1:  # some numbers per block and tree
+        seen = sample.mapInPandas(look, "tree int, key long").toPandas()
+        cuts = np.zeros((trees, blocks - 1), np.int64)
+        for tree, keys in seen.groupby("tree")["key"]:
+            keys = np.sort(keys.to_numpy())
+            cuts[tree] = keys[np.linspace(0, len(keys), blocks + 1).astype(int)[1:-1]]
 
     def plant(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Each node's place in each tree; the places of queries also in the blocks beside."""
-        forest = Forest(*shape)
-        forest.means = means
+        forest = _planted(shape, means)
         for frame in frames:
             for start in range(0, len(frame), AT_ONCE):
                 part = frame.iloc[start : start + AT_ONCE]
-                vectors, ids, asked = _unit(part["v"].tolist()), part["node"].to_numpy(), part["asked"].to_numpy()
-                for tree in range(trees):
-                    keys = forest.keys(forest.strings(vectors, tree), ids, tree)
+                ids, asked = part["node"].to_numpy(), part["asked"].to_numpy()
+                for tree, keys in keyed(forest, part):
                     block = np.searchsorted(cuts[tree], keys, "right")
                     found = [pd.DataFrame({"block": tree * blocks + block, "key": keys, "node": ids, "role": 0})]
                     for step in (-1, 0, 1):
@@ -183,57 +208,44 @@ def nearest(
                     yield pd.concat(found)
 
     def descend(frame: pd.DataFrame) -> pd.DataFrame:
-        """The rows around each query in one block: those that share its first symbol, at most ``budget`` and at
-        least AROUND to either side; and how many have its whole string, -1 if there are more in blocks beyond."""
+        """The rows around each query in one block that share its first symbol, at most ``share`` and at
+        least ``around`` to either side, by the part of the nodes they are in; part -1 tells that more than ``budget`` rows
+        have the query's whole string."""
         forest = Forest(dimensions, rotate=False)
         members = frame[frame["role"] == 0].sort_values(["key", "node"])
         keys, nodes = members["key"].to_numpy(), members["node"].to_numpy()
-        step = 1 << (forest.tail + (forest.symbols - 1) * forest.bits)
-        tree = int(frame["block"].iloc[0]) // blocks
-        out: list[tuple] = []
         queries = frame[frame["role"] == 1]
-        for key, node in zip(queries["key"].tolist(), queries["node"].tolist(), strict=True):
-            at, first = int(np.searchsorted(keys, key)), key // step * step
-            low = max(int(np.searchsorted(keys, first)), at - budget)
-            high = min(int(np.searchsorted(keys, first + step)), at + budget + 1)
-            beside = len(keys) if len(keys) <= budget else AROUND  # a small table is taken whole
-            low, high = max(0, min(low, at - beside)), min(len(keys), max(high, at + beside + 1))
-            if low < high:
-                string = key >> forest.tail << forest.tail
-                equal = int(np.diff(np.searchsorted(keys, (string, string + (1 << forest.tail))))[0])
-                equal = -1 if equal == len(keys) and blocks > 1 else equal
-                out.append((node, tree, equal, nodes[low:high], forest.shared(keys[low:high], key)))
-        return pd.DataFrame(out, columns=["query", "tree", "equal", "found", "shared"])
-
-    places = nodes.select("node", "v", "asked").mapInPandas(plant, "block int, key long, node long, role int")
-    met = places.groupBy("block").applyInPandas(descend, "query long, tree int, equal long, found array<long>, shared array<tinyint>")
-    met = met.groupBy("query").agg(F.collect_list(F.struct("tree", "equal", "found", "shared")).alias("trees"))
-
-    def ascend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The ``budget`` rows that share most with each query, by the part of the nodes they are in; null for all rows, where
-        more than these have the query's string."""
-        for frame in frames:
-            out = []
-            for query, found in zip(frame["query"].tolist(), frame["trees"], strict=True):
-                equal = np.array([t["equal"] for t in found], np.int64)
-                if (equal < 0).any() or np.bincount([t["tree"] for t in found], equal).max() > budget:
-                    out += [(query, p, None) for p in range(parts)]
-                    continue
-                ids = np.concatenate([np.asarray(t["found"], np.int64) for t in found])
-                depth = np.concatenate([np.asarray(t["shared"], np.int64) for t in found])
-                ids, at = np.unique(ids, return_inverse=True)
-                most = np.zeros(len(ids), np.int64)
-                np.maximum.at(most, at, depth)
-                order = np.lexsort((ids, -np.bincount(at, depth), -most))[:budget]
-                ids = ids[order]
-                part = _mix(ids) % parts
-                for p in np.unique(part).tolist():
-                    out.append((query, p, np.sort(ids[part == p])))
-            yield pd.DataFrame(out, columns=["query", "part", "found"])
-
-    wanted = met.mapInPandas(ascend, "query long, part int, found array<long>")
-    asking = nodes.filter("asked").select(F.col("node").alias("query"), "v")
-    wanted = skew_join(wanted, asking, ["query"])
+        key, query = queries["key"].to_numpy(), queries["node"].to_numpy()
+        step = 1 << (forest.tail + (forest.symbols - 1) * forest.bits)
+        at, first, string = np.searchsorted(keys, key), key // step * step, key >> forest.tail << forest.tail
+        low = np.maximum(np.minimum(np.maximum(np.searchsorted(keys, first), at - share), at - around), 0)
+        high = np.minimum(np.maximum(np.minimum(np.searchsorted(keys, first + step), at + share + 1), at + around + 1), len(keys))
+        equal = np.searchsorted(keys, string + (1 << forest.tail)) - np.searchsorted(keys, string)
+        many = (equal > budget) | ((equal == len(keys)) & (blocks > 1))  # in blocks beyond, too
+        empty = np.zeros(0, np.int64)
+        out = [(q, -1, empty) for q in query[many].tolist()]
+        part = _mix(nodes) % parts
+        for q, a, b in zip(query[~many].tolist(), low[~many].tolist(), high[~many].tolist(), strict=True):
+            here, ids = part[a:b], nodes[a:b]
+            order = np.argsort(here, kind="stable")
+            cut = np.flatnonzero(np.diff(here[order])) + 1
+            for some in np.split(order, cut):
+                if len(some):
+                    out.append((q, int(here[some[0]]), ids[some]))
+        return pd.DataFrame(out, columns=["query", "part", "found"])
+
+    places = nodes.select("node", "v", "asked").mapInPandas(plant, "block long, key long, node long, role int")
+    met = places.groupBy("block").applyInPandas(descend, "query long, part int, found array<long>")
+    met = met.groupBy("query", "part").agg(F.flatten(F.collect_list("found")).alias("found"))
+    met = written(met, "candidates")
+    flooded = met.filter("part = -1").select("query").distinct()
+    all_parts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    every = flooded.select("query", all_parts, F.lit(None).cast("array<long>").alias("found"))
+    met = met.join(flooded, "query", "left_anti").unionByName(every)
+    asking = nodes.filter("asked").select(F.col("node").alias("query"), F.col("v").alias("own"))
+    met = skew_join(met, asking, ["query"])
+    chunks = max(1, -(-asking.count() // QUERIES_AT_ONCE))
+    met = met.withColumn("chunk", F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int"))
 
     @F.pandas_udf("int")
     def part_of(ids: pd.Series) -> pd.Series:
@@ -244,18 +256,18 @@ def nearest(
         out: list[tuple] = []
         if len(frame) and len(asked):
             frame = frame.sort_values("node")
-            ids, vectors = frame["node"].to_numpy(), np.array(frame["v"].tolist(), np.float64)
+            ids, vectors = frame["node"].to_numpy(), _scaled(frame["v"].tolist())
             norms = np.linalg.norm(vectors, axis=1)
-            for query, found, v in zip(asked["query"].tolist(), asked["found"], asked["v"], strict=True):
-                v = np.asarray(v, np.float64)
-                at = np.arange(len(ids)) if found is None else np.searchsorted(ids, np.asarray(found, np.int64))
+            for query, found, v in zip(asked["query"].tolist(), asked["found"], _scaled(asked["own"].tolist()), strict=True):
+                at = np.arange(len(ids)) if found is None else np.searchsorted(ids, np.unique(np.asarray(found, np.int64)))
                 score = (vectors[at] * v).sum(1) / (norms[at] * np.sqrt((v * v).sum()))
                 best = np.lexsort((ids[at], -score))[: k + 1]
                 out += [(query, int(ids[at][i]), float(score[i])) for i in best]
         return pd.DataFrame(out, columns=["query", "node", "score"])
 
-    dealt = nodes.select("node", "v", part_of("node").alias("part"))
-    scored = dealt.groupBy("part").cogroup(wanted.groupBy("part")).applyInPandas(
+    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")
+    dealt = nodes.select("node", "v", part_of("node").alias("part"), every_chunk)
+    scored = dealt.groupBy("part", "chunk").cogroup(met.groupBy("part", "chunk")).applyInPandas(
         verify, "query long, node long, score double"
     )
     first = Window.partitionBy("query").orderBy(F.desc("score"), "node")
