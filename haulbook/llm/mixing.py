@@ -27,7 +27,8 @@ MAX_COPIES = 3
 SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS = 40
-BUCKET_BITS = 12
+STEPS = (16, 16, 8)  # bits of the hash whose ranges are summed in one pass over the documents
+WINDOW_BITS = 8
 LAST_HASH = 1 << HASH_BITS
 
 
@@ -121,8 +122,8 @@ def mix(docs: DataFrame, quota: dict, copies: int = MAX_COPIES, seed: int = SEED
     ``docs`` has doc_id, size and pattern, an array of source names (sorted, each once; a null stands for a
     source without name); ``rows`` has these and any other columns. ``quota`` has the words wanted of
     each source. The driver gets one row per pattern. The first document in the hash order that does not fit is found from sums
-    over 4096 ranges of the hash per pattern, then inside the one range that holds it, so no task sorts
-    the documents of a whole pattern; then the same again for the documents after it that are no larger than what is left.
+    over ranges of the hash, then over ranges of the one range that holds it, and once more, so no task sorts documents;
+    then the same again for the documents after it that are no larger than what is left.
     A source named in no quota gives nothing.
     """
     rows = docs if rows is None else rows
@@ -137,31 +138,17 @@ def mix(docs: DataFrame, quota: dict, copies: int = MAX_COPIES, seed: int = SEED
     spark = docs.sparkSession
     sized = docs.filter("size > 0").select(tag.alias("tag"), value.alias("hash"), "size")
     sized = written(sized, "hashes") if any(rest for _, _, rest in plan) else sized
-    part = F.shiftright("hash", HASH_BITS - BUCKET_BITS).alias("part")
     left, spans = {t: rest for t, _, rest in plan}, {t: [] for t, _, _ in plan}
     after = {t: -1 for t, rest in left.items() if rest}
     while after:  # a row per pattern in all that the driver sends and gets
         table = spark.createDataFrame([(t, h, left[t]) for t, h in after.items()], "tag long, after long, left long")
         fits = sized.join(F.broadcast(table), "tag").filter("hash > after and size <= left")
-        ranged = fits.groupBy("tag", "left", part).agg(F.sum("size").alias("words"))
-        ranged = ranged.withColumn("before", F.coalesce(F.sum("words").over(_until("part")), F.lit(0)))
-        over = F.min(F.when(F.col("before") + F.col("words") > F.col("left"), F.struct("part", "before"))).alias("cut")
-        found = {r["tag"]: r for r in ranged.groupBy("tag").agg(F.sum("words").alias("words"), over).collect()}
-        cuts = [(t, r["cut"]["part"], left[t] - r["cut"]["before"]) for t, r in found.items() if r["cut"]]
-        misfits = {}
-        if cuts:
-            table = spark.createDataFrame(cuts, "tag long, cut long, need long")
-            border = fits.join(F.broadcast(table), "tag").filter(part == F.col("cut"))
-            tied = border.groupBy("tag", "need", "hash").agg(F.sum("size").alias("words"))
-            tied = tied.withColumn("before", F.coalesce(F.sum("words").over(_until("hash")), F.lit(0)))
-            tied = tied.filter(F.col("before") + F.col("words") > F.col("need"))
-            first = F.min(F.struct("hash", (F.col("need") - F.col("before")).alias("left"))).alias("first")
-            misfits = {r["tag"]: r["first"] for r in tied.groupBy("tag").agg(first).collect()}
-        for t, r in found.items():
-            end = misfits[t]["hash"] if t in misfits else LAST_HASH
+        words, misfits = _first_over(fits, {t: left[t] for t in after})
+        for t, total in words.items():
+            end, rest = misfits.get(t, (LAST_HASH, left[t] - total))
             spans[t].append((after[t], end, left[t]))
-            left[t] = misfits[t]["left"] if t in misfits else left[t] - r["words"]
-        after = {t: m["hash"] for t, m in misfits.items() if left[t]}
+            left[t] = rest
+        after = {t: end for t, (end, rest) in misfits.items() if rest}
     kind = "array<struct<after:long,before:long,most:long>>"
 
     def taken_by(spans: str, value: Column) -> Column:
@@ -187,8 +174,40 @@ def mix(docs: DataFrame, quota: dict, copies: int = MAX_COPIES, seed: int = SEED
     return marked.withColumn("copies", times.cast("int")).drop(*name.values())
 
 
-def _until(order: str):
-    return Window.partitionBy("tag").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _first_over(fits: DataFrame, most: dict[int, int]) -> tuple[dict[int, int], dict[int, tuple[int, int]]]:
+    """The words of each tag's rows (tag, hash, size), and where their running sum by hash first passes ``most``: the
+    hash there and the words still wanted before it.
+
+    The hash is found from its high bits to its low ones. Each step sums the words of ranges within the range found by the
+    step before; the sums, not the documents, are then gone through ``WINDOW_BITS`` at a time, so that a task of a window sees
+    256 rows of a tag, however many rows have it.
+    """
+    spark, words, below = fits.sparkSession, {}, HASH_BITS
+    found = {t: (0, n) for t, n in most.items()}  # the high bits, and the words wanted from there on
+    marks = "tag long, high long, need long"
+    for bits in STEPS:
+        if not found:
+            break
+        table = F.broadcast(spark.createDataFrame([(t, *x) for t, x in found.items()], marks))
+        inside = fits.select("tag", "hash", "size").join(table, "tag").filter(F.shiftright("hash", below) == F.col("high"))
+        low = below - bits
+        sums = inside.groupBy("tag", F.shiftright("hash", low).alias("part")).agg(F.sum("size").alias("words"))
+        sums = written(sums, "sums")
+        for end in range(bits - WINDOW_BITS, -1, -WINDOW_BITS):
+            table = F.broadcast(spark.createDataFrame([(t, *x) for t, x in found.items()], marks))
+            here = sums.join(table, "tag").filter(F.shiftright("part", end + WINDOW_BITS) == F.col("high"))
+            ranged = here.groupBy("tag", "need", F.shiftright("part", end).alias("part")).agg(F.sum("words").alias("words"))
+            until = Window.partitionBy("tag").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+            ranged = ranged.withColumn("before", F.coalesce(F.sum("words").over(until), F.lit(0)))
+            over = F.col("before") + F.col("words") > F.col("need")
+            cut = F.min(F.when(over, F.struct("part", (F.col("need") - F.col("before")).alias("rest")))).alias("cut")
+            rows = ranged.groupBy("tag").agg(F.sum("words").alias("words"), cut).collect()
+            words = words or {r["tag"]: int(r["words"]) for r in rows}
+            found = {r["tag"]: (r["cut"]["part"], int(r["cut"]["rest"])) for r in rows if r["cut"]}
+            if not found:
+                break
+        below = low
+    return words, found
 
 
 def source_targets(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_COPIES) -> dict:
