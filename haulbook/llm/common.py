@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PACKAGE = Path(__file__).resolve().parent.parent
-SLICE_CHARS = 8_000_000  # texts are worked on in slices of about this many characters, whole texts each
+SLICE_CHARS = 4_000_000  # texts are worked on in slices of about this many characters, whole texts each
 WHITE = b" \t\n\x0b\x0c\r"
 
 
