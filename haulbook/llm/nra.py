@@ -258,7 +258,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[
         docs = rows["docs"].chunk(0).slice(0, 1).flatten()
         rows = rows.slice(1)
         number = rows["number"].to_numpy().astype(np.int64)
-        sizes = np.array([len(x) for x in rows["places"]], np.int64) if not len(rows) else np.diff(_offsets(rows["places"]))
+        sizes = np.diff(_offsets(rows["places"])) if len(rows) else np.zeros(0, np.int64)
         places, gains = (_flat(rows[c]) for c in ("places", "gains"))
         return Block(number, sizes, places, gains * np.repeat(weights[number], sizes), docs)
 

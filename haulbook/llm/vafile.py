@@ -130,9 +130,9 @@ def _partial(total: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=["cluster", "place", "n"])
 
 
-def bucketed(rows: DataFrame, count: int) -> DataFrame:
-    """The rows as a table bucketed by ``row``, in the shared folder."""
-    spark, name = rows.sparkSession, f"haulbook_vectors_{uuid.uuid4().hex}"
+def bucketed(rows: DataFrame, count: int, name: str) -> DataFrame:
+    """The rows as a catalog table bucketed by ``row``, whose files are in the shared folder."""
+    spark = rows.sparkSession
     buckets = min(MOST_BUCKETS, -(-count // BUCKET_ROWS))
     writer = rows.repartition(buckets, "row").write.bucketBy(buckets, "row").sortBy("row")
     writer.option("path", new_folder(spark, "vectors")).saveAsTable(name, format="parquet")
@@ -177,7 +177,8 @@ def clusters(
             packed = cells.pack(cells.of(_matrix(batch.column(1), dimensions)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["row", "cells"])
 
-    vectors = bucketed(rows.select("row", "vec_id", "v"), count)
+    table = f"haulbook_vectors_{uuid.uuid4().hex}"
+    vectors = bucketed(rows.select("row", "v"), count, table)
     approximations = written(rows.select("row", "v").mapInArrow(approximate, "row long, cells binary"), "cells")
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,6 +198,7 @@ def clusters(
         centroids = np.array(means, np.int64)
         if (centroids == before).all():
             break
+    spark.sql(f"DROP TABLE {table}")  # the name only; files in the shared folder are the cluster's to clear
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -186,7 +186,7 @@ def test_intervals_hold_the_distance_and_leave_few_open():
 
 def test_only_row_numbers_are_shuffled_for_the_fetch(shipped):
     rows = shipped.range(20_000).select(F.col("id").alias("row"), F.lit(1).alias("vec_id"), F.array(F.lit(1)).alias("v"))
-    vectors = vafile.bucketed(rows, 20_000)
+    vectors = vafile.bucketed(rows, 20_000, "some_vectors")
     wanted = shipped.range(20_000).select(F.col("id").alias("row"), F.lit(1).alias("old"))
     names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     for name in names:
@@ -196,6 +196,7 @@ def test_only_row_numbers_are_shuffled_for_the_fetch(shipped):
     finally:
         for name in names:
             shipped.conf.unset(name)
+        shipped.sql("DROP TABLE some_vectors")
     side = plan[: plan.index("Range")]
     assert "SelectedBucketsCount" in plan and "Exchange" not in side[: side.index("SelectedBucketsCount")].split("FileScan")[0]
 
@@ -204,6 +205,7 @@ def test_cluster_query_equals_brute_force(shipped, small):
     rows = [(r["vec_id"], r["embedding"]) for r in shipped.read.parquet(f"{small}/embeddings.parquet").collect()]
     rows = [(i, v) for i, v in rows if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
     assert table_of(QUERIES["op12_va_file"](shipped, small)) == sorted(plain_k_means(rows), key=repr)
+    assert not [t for t in shipped.catalog.listTables() if t.name.startswith("haulbook_vectors")]
 
 
 # --- ranked search

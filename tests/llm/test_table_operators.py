@@ -136,6 +136,16 @@ def test_simhash_groups_of_the_sample(shipped, small):
         assert bits[r.doc_id] == plain_fingerprint(r.text)
 
 
+def test_groups_of_rows_without_ids(shipped):
+    """A null id stays null; it names a group only if the group has no other."""
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(None, text), (7, text), (9, text + " end"), (None, "alone here"), (None, None), (3, ""), (3, "")]
+    df = shipped.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit("clash"))
+    found = sorted(((r.doc_id, r.component_id) for r in simhash.simhash_groups(df).collect()), key=repr)
+    assert found == sorted([(None, 7), (7, 7), (9, 7), (None, None), (None, 3), (3, 3), (3, 3)], key=repr)
+    assert simhash.simhash_groups(df.filter("false")).count() == 0
+
+
 def test_near_duplicates_keep_one_row_of_each_group(shipped):
     text = " ".join(f"w{i}" for i in range(400))
     rows = [(5, text), (3, text), (3, text), (4, text + " end"), (None, text), (None, "other words here"), (9, None), (8, "")]
