@@ -2,13 +2,17 @@
 
 Both are bigram models over one vocabulary, all words of the whole corpus, with the same smoothing:
 p(w|u) = (c(u,w) + m p(w)) / (c(u) + m). The background's counts, of all documents, are scaled
-to the size of the target's, so that the smoothing weighs the same in both. Counts are of whole texts of
-all rows. The driver gets three numbers.
+to the size of the target's, so that the smoothing weighs the same in both. A document is left out of the models it is scored
+with: its own counts are taken off, so what it says counts only if others say it too, and a document of the target has no
+advantage over one that is like it. Counts are of whole texts of all rows. The driver gets three numbers.
 
 Texts are numbered in batches of about ``BATCH_TOKENS`` tokens. A batch sums its bigrams, first words and second words before
-they are shuffled, and sends each once, by ranges of a 64-bit hash; a range sums what it gets from all batches and answers each
-with the sums of what it sent. A frequent bigram is thus at most one entry per batch, and a range has about ``RANGE_TOKENS``
-entries at most whatever the corpus is. Nothing is left out: all words and all bigrams count.
+they are shuffled, and sends each once, by ranges of a 56-bit hash; a range sums what it gets and answers each
+sender with the sums of what it sent. A frequent bigram is thus at most one entry per batch, and a range has about ``RANGE_TOKENS``
+entries at most whatever the corpus is. With more than ``FAN`` batches or ranges the sums travel in hops: a batch sends to ``FAN`` wide
+ranges, a wide range joins what ``FAN`` batches sent and sends it on to ``FAN`` narrower ones, until a range has everything;
+answers return the same way. So the number of messages per token and hop is the same for any corpus, and no group has more than some
+``FAN`` messages. Nothing is left out: all words and all bigrams count.
 
 A text's score is its mean loss per token under the background model less that under the target
 model; positive is like the target. A null or empty text, or one without words, has no tokens and
@@ -38,6 +42,9 @@ FOLDS, HELD_OUT_FOLD = 5, 0
 AT_ONCE = 1 << 19
 BATCH_TOKENS = 1 << 21
 RANGE_TOKENS = 1 << 21
+TOKENS_AT_ONCE = 1 << 18
+FAN = 256  # messages that a batch sends, and that a range gets, in one hop
+KEY = (1 << 64) - (1 << 8)  # bits of a hash that make a key: 56, which are shorter to send
 START, OTHER = 1, 2  # in place of a word's hash
 PAIR, BEGIN, END = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
@@ -146,69 +153,157 @@ class Batch:
         self.places, self.sizes = place[self.rows], n[self.rows]
         words = _unpack(data[at], int(n[at]), "<u8")
         texts = [_unpack(data[i], int(n[i]), "<u4") for i in self.rows.tolist()]
-        self.ends = np.concatenate(texts).astype(np.int64) if texts else np.empty(0, np.int64)
-        self.begins = np.concatenate(([0], self.ends[:-1])) if len(self.ends) else self.ends
+        self.ends = np.concatenate(texts).astype(np.int32) if texts else np.empty(0, np.int32)
+        self.begins = np.concatenate(([0], self.ends[:-1])).astype(np.int32) if len(self.ends) else self.ends
+        del data, texts
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.begins[self.starts[self.sizes > 0]] = 0
         self.width = len(words)
-        pairs, self.at = np.unique(self.begins * self.width + self.ends, return_inverse=True)
-        self.u, self.w = pairs // self.width, pairs % self.width
-        two = words[self.u] * np.uint64(PAIR) ^ _mix(words[self.w] + np.uint64(PAIR))
+        pairs, at = np.unique(self.begins.astype(np.int64) * self.width + self.ends, return_inverse=True)
+        self.at, u, w = at.astype(np.int32), pairs // self.width, pairs % self.width
+        del at
+        self.pairs = len(pairs)
+        two = words[u] * np.uint64(PAIR) ^ _mix(words[w] + np.uint64(PAIR))
         keys = np.concatenate((_mix(two), _mix(words ^ np.uint64(BEGIN)), _mix(words ^ np.uint64(END))))
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
+        self.order = np.argsort(keys).astype(np.int32)
+        self.keys = keys[self.order] & np.uint64(KEY)
 
     def counts(self, chosen: np.ndarray) -> np.ndarray:
         """How often each occurs in the texts whose places are ``chosen``."""
         token = np.repeat(np.isin(self.places, chosen), self.sizes)
-        found = ((self.at, len(self.u)), (self.begins, self.width), (self.ends, self.width))
+        found = ((self.at, self.pairs), (self.begins, self.width), (self.ends, self.width))
         return np.concatenate([np.bincount(x[token], minlength=n) for x, n in found])[self.order]
 
     def split(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each distinct bigram, its number, its first word's and its second word's."""
+        """Numbers of the distinct bigrams, of first words and of second words."""
         out = np.empty(len(counts), np.float64)
         out[self.order] = counts
-        n = len(self.u)
-        return out[:n], out[n : n + self.width][self.u], out[n + self.width :][self.w]
+        n = self.pairs
+        return out[:n], out[n : n + self.width], out[n + self.width :]
 
+    def parts(self) -> Iterator[tuple[slice, slice, np.ndarray]]:
+        """Documents, their tokens, and each token's document, ``TOKENS_AT_ONCE`` tokens or a document at a time."""
+        ends, first = np.cumsum(self.sizes), 0
+        while first < len(ends):
+            start = int(ends[first] - self.sizes[first])
+            last = max(first + 1, int(np.searchsorted(ends, start + TOKENS_AT_ONCE, "right")))
+            yield slice(first, last), slice(start, int(ends[last - 1])), np.repeat(np.arange(last - first), self.sizes[first:last])
+            first = last
 
-def _sent(texts: DataFrame, marks: DataFrame, ranges: int) -> DataFrame:
-    """(range, batch, n, keys, target, every): what each batch sends to each range of hashes."""
+
+def _own(doc: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """For each token how often its item occurs in its document."""
+    if not len(item):
+        return np.zeros(0)
+    _, at, count = np.unique(doc * (int(item.max()) + 1) + item.astype(np.int64), return_inverse=True, return_counts=True)
+    return count[at].astype(np.float64)
+
+
+MESSAGE = "at long, range long, sender long, n long, keys binary, target binary, every binary"
+ANSWER = "of long, range long, n long, target binary, every binary"
+
+
+def _hops(number: int) -> int:
+    out = 1
+    while FAN**out < number:
+        out += 1
+    return out
+
+
+def _place(range_: int, team: int) -> int:
+    """The name of a receiver: its range of hashes and the team of senders that it serves."""
+    return range_ << 31 | team
+
+
+def _messages(
+    sender: int, team: int, keys: np.ndarray, target: np.ndarray, every: np.ndarray, ranges: int, width: int
+) -> pa.Table:
+    """What one sender sends to each range of ``width`` narrow ranges; ``keys`` are sorted."""
+    found, wide = [], (keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+    wide //= np.uint64(width)
+    cuts = np.flatnonzero(np.diff(wide, prepend=wide[:1] + np.uint64(1)))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=False):
+        gaps, r = np.diff(keys[a:b], prepend=np.uint64(0)), int(wide[a])
+        found.append((_place(r, team), r, sender, b - a, *map(_pack, (gaps, target[a:b], every[a:b]))))
+    kinds = [*[pa.int64()] * 4, *[pa.binary()] * 3]
+    columns = list(zip(*found, strict=True)) or [[]] * 7
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in MESSAGE.split(", ")])
+
+
+def _joined(table: pa.Table) -> tuple[pa.Table, list[int], np.ndarray, np.ndarray]:
+    """A receiver's messages by sender and range, their sizes, the distinct keys, and where each message's keys are among these."""
+    table = table.sort_by([("sender", "ascending"), ("range", "ascending")])
+    sizes = table.column("n").to_pylist()
+    keys = [_unpack(k, n, "<u8").cumsum(dtype=np.uint64) for k, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
+    keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return table, sizes, keys, at
+
+
+def _sums(table: pa.Table, sizes: list[int], at: np.ndarray, name: str) -> np.ndarray:
+    own = [_unpack(c, n, "<i8") for c, n in zip(table.column(name).to_pylist(), sizes, strict=True)]
+    return np.bincount(at, np.concatenate(own)).astype(np.int64)
+
+
+def _answers(table: pa.Table, sizes: list[int], at: np.ndarray, sums: list[np.ndarray]) -> pa.Table:
+    ends = np.cumsum(sizes)[:-1]
+    columns = [table.column("sender"), table.column("range"), table.column("n")]
+    columns += [pa.array([_pack(x) for x in np.split(s[at], ends)], pa.binary()) for s in sums]
+    return pa.Table.from_arrays(columns, names=[x.split()[0] for x in ANSWER.split(", ")])
+
+
+def _sent(texts: DataFrame, marks: DataFrame, ranges: int, batches: int) -> list[DataFrame]:
+    """The messages of every hop (MESSAGE), the first from the batches."""
+    hops = _hops(max(ranges, batches))
+    team = lambda number, hop: number // FAN**hop if hop < hops else 0  # noqa: E731  at last all senders are one team
 
     def send(table: pa.Table, marked: pa.Table) -> pa.Table:
-        names = ["range", "batch", "n", "keys", "target", "every"]
-        batch, found = Batch(table), []
+        give_back()
+        batch, name = Batch(table), table.column("batch")[0].as_py()
         target, every = batch.counts(marked.column("place").to_numpy()), batch.counts(batch.places)
-        place = (batch.keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-        cuts = np.searchsorted(place, np.arange(ranges + 1, dtype=np.uint64)).tolist()
-        for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if a < b:
-                keys = np.diff(batch.keys[a:b], prepend=np.uint64(0))
-                found.append((r, table.column("batch")[0].as_py(), b - a, *map(_pack, (keys, target[a:b], every[a:b]))))
-        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 3]
-        columns = list(zip(*found, strict=True)) or [[]] * 6
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+        number = int(_mix(np.array([name], np.int64).view(np.uint64))[0] % np.uint64(batches))
+        return _messages(name, team(number, 1), batch.keys, target, every, ranges, FAN ** (hops - 1))
+
+    def forward(hop: int):
+        def run(table: pa.Table) -> pa.Table:
+            give_back()
+            at = table.column("at")[0].as_py()
+            table, sizes, keys, index = _joined(table)
+            target, every = (_sums(table, sizes, index, c) for c in ("target", "every"))
+            number = (at & (1 << 31) - 1) * FAN**hop  # of the team's first batch
+            return _messages(at, team(number, hop + 1), keys, target, every, ranges, FAN ** (hops - hop - 1))
+
+        return run
 
-    schema = "range int, batch long, n long, keys binary, target binary, every binary"
-    return texts.groupBy("batch").cogroup(marks.groupBy("of")).applyInArrow(send, schema)
+    out = [texts.groupBy("batch").cogroup(marks.groupBy("of")).applyInArrow(send, MESSAGE)]
+    for hop in range(1, hops):
+        out[-1] = written(out[-1], "messages")
+        out.append(out[-1].groupBy("at").applyInArrow(forward(hop), MESSAGE))
+    return out
 
 
-def _answered(sent: DataFrame) -> DataFrame:
-    """(of, range, n, target, every): the sums over all batches of what a batch sent to a range."""
+def _answered(sent: list[DataFrame]) -> DataFrame:
+    """The sums over all batches of what a batch sent to a range (ANSWER)."""
 
     def total(table: pa.Table) -> pa.Table:
-        sizes = table.column("n").to_pylist()
-        keys = [_unpack(k, n, "<u8").cumsum(dtype=np.uint64) for k, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
-        _, at = np.unique(np.concatenate(keys), return_inverse=True)
-        ends, sums = np.cumsum(sizes)[:-1], []
-        for name in ("target", "every"):
-            own = [_unpack(c, n, "<i8") for c, n in zip(table.column(name).to_pylist(), sizes, strict=True)]
-            whole = np.bincount(at, np.concatenate(own)).astype(np.int64)[at]
-            sums.append(pa.array([_pack(x) for x in np.split(whole, ends)], pa.binary()))
-        columns = [table.column("batch"), table.column("range"), table.column("n"), *sums]
-        return pa.Table.from_arrays(columns, names=["of", "range", "n", "target", "every"])
+        give_back()
+        table, sizes, _, at = _joined(table)
+        return _answers(table, sizes, at, [_sums(table, sizes, at, c) for c in ("target", "every")])
+
+    def back(table: pa.Table, answer: pa.Table) -> pa.Table:
+        give_back()
+        table, sizes, _, at = _joined(table)
+        answer = answer.sort_by("range")
+        counts = answer.column("n").to_pylist()
+        sums = [
+            np.concatenate([_unpack(x, n, "<i8") for x, n in zip(answer.column(c).to_pylist(), counts, strict=True)])
+            for c in ("target", "every")
+        ]
+        return _answers(table, sizes, at, sums)
 
-    return sent.groupBy("range").applyInArrow(total, "of long, range int, n long, target binary, every binary")
+    found = sent[-1].groupBy("at").applyInArrow(total, ANSWER)
+    for messages in sent[-2::-1]:
+        found = messages.groupBy("at").cogroup(found.groupBy("of")).applyInArrow(back, ANSWER)
+    return found
 
 
 def _distinct_words(texts: DataFrame) -> int:
@@ -250,7 +345,8 @@ def cross_entropy_difference(
     n_every = ids.agg(F.sum("n")).first()[0] or 0
     n_target = marks.agg(F.sum("n")).first()[0] or 0
     symbols = (_distinct_words(texts) if size is None else size) + 2  # and the start, and any other word
-    answers = _answered(_sent(texts, marks.select("of", "place"), 1 + n_every // RANGE_TOKENS))
+    batches = texts.filter("place = -1").count()
+    answers = _answered(_sent(texts, marks.select("of", "place"), 1 + n_every // RANGE_TOKENS, max(1, batches)))
     schema = T.StructType(
         [
             T.StructField("doc_id", texts.schema["doc"].dataType),
@@ -261,26 +357,37 @@ def cross_entropy_difference(
         ]
     )
 
-    def loss(batch: Batch, counts: np.ndarray, total: int, scale: float) -> np.ndarray:
-        pair, begin, end = (x * scale for x in batch.split(counts))
-        share = (end + 1.0) / (total * scale + symbols)
-        found = -np.log2((pair + smoothing * share) / (begin + smoothing))
-        sums, some = np.zeros(len(batch.sizes)), batch.sizes > 0
-        if some.any():
-            sums[some] = np.add.reduceat(found[batch.at], batch.starts[some])
+    def loss(batch: Batch, counts: np.ndarray, total: int, scale: float, member: np.ndarray) -> np.ndarray:
+        """The sum of each document's losses; those of ``member`` are left out of the counts."""
+        pair, begin, end = batch.split(counts)
+        sums = np.zeros(len(batch.sizes))
+        for docs, tokens, doc in batch.parts():
+            mine, size = member[docs].astype(np.float64), batch.sizes[docs]
+            at, u, w, off = batch.at[tokens], batch.begins[tokens], batch.ends[tokens], mine[doc]
+            uw, us, ws = ((c[i] - off * _own(doc, i)) * scale for c, i in ((pair, at), (begin, u), (end, w)))
+            share = (ws + 1.0) / ((total - mine * size) * scale + symbols)[doc]
+            sums[docs] = np.bincount(doc, -np.log2((uw + smoothing * share) / (us + smoothing)), len(size))
         return sums
 
     def score(table: pa.Table, answer: pa.Table) -> pa.Table:
-        batch, answer = Batch(table), answer.sort_by("range")
+        give_back()
+        batch, kind = Batch(table), answer.column("range").to_numpy()
+        member = np.isin(batch.places, answer.column("n").to_numpy()[kind < 0])
+        answer = answer.filter(pa.array(kind >= 0)).sort_by("range")
         sizes = answer.column("n").to_pylist()
         target, every = (
             np.concatenate([_unpack(x, n, "<i8") for x, n in zip(answer.column(c).to_pylist(), sizes, strict=True)])
             for c in ("target", "every")
         )
-        far = loss(batch, every, n_every, n_target / n_every if n_target else 1.0)
-        near = loss(batch, target, n_target, 1.0) if n_target else far
+        scale = n_target / n_every if n_target else 1.0
+        del batch.keys, answer
+        far = loss(batch, every, n_every, scale, np.ones(len(batch.sizes), bool))
+        near = loss(batch, target, n_target, 1.0, member) if n_target else far
         n = np.maximum(batch.sizes, 1)
         columns = [pa.array(x) for x in (batch.sizes, near / n, far / n, (far - near) / n)]
         return pa.Table.from_arrays([table.column("doc").take(pa.array(batch.rows)), *columns], names=schema.names)
 
+    nothing = F.lit(None).cast("binary")
+    members = marks.select("of", F.lit(-1).cast("long").alias("range"), F.col("place").cast("long").alias("n"), nothing.alias("target"), nothing.alias("every"))
+    answers = answers.unionByName(members)
     return texts.groupBy("batch").cogroup(answers.groupBy("of")).applyInArrow(score, schema)

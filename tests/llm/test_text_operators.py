@@ -3,7 +3,7 @@
 import base64
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from hashlib import sha256
 
 import numpy as np
@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from haulbook.llm import bpe, langid, lmscore, sketch, toxicity
-from haulbook.llm.common import ship, word_chunks
+from haulbook.llm.common import ship, word_chunks, written
 from haulbook.llm.queries import QUERIES
 
 ODD = [
@@ -300,12 +300,14 @@ def test_lm_score_against_brute_force(shipped):
         return counts
 
     target, every = table([0, 1], 1), table(range(7), 1)
-    near, far = lmscore.losses(target, 2.0), lmscore.losses(every * target.sum() / every.sum(), 2.0)
+    scale = target.sum() / every.sum()
     for i, seq in enumerate(ids):
+        near = lmscore.losses(table({0, 1} - {i}, 1), 2.0)
+        far = lmscore.losses(table(set(range(7)) - {i}, scale), 2.0)
         steps = list(zip([4, *seq], seq))
         expected = sum(far[u, w] - near[u, w] for u, w in steps) / max(1, len(steps))
         assert rows[i].n_tokens == len(seq) and abs(rows[i].score - expected) < 1e-5
-    assert rows[0].score == rows[6].score and rows[0].score > 0 > rows[4].score
+    assert rows[0].background_loss == rows[6].background_loss and rows[6].score > rows[4].score
 
 
 def test_lm_score_without_targets_or_rows(shipped):
@@ -314,8 +316,30 @@ def test_lm_score_without_targets_or_rows(shipped):
     assert lmscore.cross_entropy_difference(documents(shipped, []), none).count() == 0
 
 
-def test_lm_score_knows_every_word_of_a_large_vocabulary(shipped, monkeypatch):
+def test_messages_per_token_do_not_grow_with_the_corpus(shipped, monkeypatch):
+    for name, value in {"BATCH_TOKENS": 100, "RANGE_TOKENS": 100, "FAN": 4}.items():
+        monkeypatch.setattr(lmscore, name, value)
+    rng = np.random.default_rng(9)
+    rates = []
+    for n in (40, 400):
+        docs = documents(shipped, [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 100)) for _ in range(n)]).repartition(4)
+        docs = docs.select(F.col("doc_id").alias("doc"), "text")
+        texts = written(lmscore._batches(docs, None), "tokens")
+        marks = texts.filter("place >= 0").select(F.col("batch").alias("of"), "place")
+        sent = lmscore._sent(texts, marks, n, n)
+        assert len(sent) == {40: 3, 400: 5}[n]
+        for messages in sent:
+            sizes = [r["count"] for r in messages.groupBy("at").count().collect()]
+            assert max(sizes) <= 16  # some FAN senders
+            rates.append(sum(sizes) / (100 * n))
+    assert max(rates) <= 0.06 and max(rates[3:]) < 1.5 * max(rates[:3])
+
+
+@pytest.mark.parametrize("fan", [2, 256])
+def test_lm_score_knows_every_word_of_a_large_vocabulary(shipped, monkeypatch, fan):
     monkeypatch.setattr(lmscore, "BATCH_TOKENS", 4000)
+    monkeypatch.setattr(lmscore, "RANGE_TOKENS", 1500)
+    monkeypatch.setattr(lmscore, "FAN", fan)
     rng = np.random.default_rng(6)
     often = [f"often{i}" for i in range(2100)]
     texts = [" ".join([*often, *often]), "red fox", "blue fish", "red fox", "blue fish", "", None]
@@ -333,13 +357,29 @@ def test_lm_score_knows_every_word_of_a_large_vocabulary(shipped, monkeypatch):
                 near[key] += i in (1, 7)
     n_near, n_far = 302, sum(map(len, words))
 
-    def loss(table, total, scale, u, w):
-        share = (table[None, w] * scale + 1) / (total * scale + len(known) + 2)
-        return -np.log2((table[u, w] * scale + 20 * share) / (table[u, None] * scale + 20))
+    def loss(table, total, scale, u, w, own):
+        count = lambda *key: (table[key] - own[key]) * scale
+        share = (count(None, w) + 1) / ((total - own["n"]) * scale + len(known) + 2)
+        return -np.log2((count(u, w) + 20 * share) / (count(u, None) + 20))
 
     for i, ws in enumerate(words):
-        a = sum(loss(near, n_near, 1, u, w) for u, w in zip(["", *ws], ws)) / max(1, len(ws))
-        b = sum(loss(far, n_far, n_near / n_far, u, w) for u, w in zip(["", *ws], ws)) / max(1, len(ws))
+        own = Counter(key for u, w in zip(["", *ws], ws) for key in ((u, w), (u, None), (None, w)))
+        own["n"] = len(ws)
+        mine = own if i in (1, 7) else Counter()
+        a = sum(loss(near, n_near, 1, u, w, mine) for u, w in zip(["", *ws], ws)) / max(1, len(ws))
+        b = sum(loss(far, n_far, n_near / n_far, u, w, own) for u, w in zip(["", *ws], ws)) / max(1, len(ws))
         assert rows[i].n_tokens == len(ws) and abs(rows[i].target_loss - a) < 1e-9
         assert abs(rows[i].background_loss - b) < 1e-9 and abs(rows[i].score - (b - a)) < 1e-9
-    assert rows[1].score == rows[3].score > 0 > rows[2].score  # both words are rarer than 2048 others
+    # all four words are rarer than 2048 others; the background has one more "red fox" than the target for either document
+    assert rows[3].score > 0 > rows[2].score and rows[1].background_loss == rows[3].background_loss
+
+
+def test_lm_score_tells_documents_that_occur_twice(shipped):
+    """A document's own words do not lower its loss, those of a copy do."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 3000) for _ in range(300)]
+    texts += texts[:40]
+    rows = {r.doc_id: r.background_loss for r in lmscore.cross_entropy_difference(
+        documents(shipped, texts), shipped.createDataFrame([(i,) for i in range(100, 160)], "doc_id long")).collect()}
+    clean = sorted(rows[i] for i in range(40, 300))
+    assert sum(rows[i] < clean[26] for i in range(40)) >= 38  # a tenth of the others
