@@ -95,6 +95,17 @@ def test_shards_are_exact_and_complete(spark):
     assert abs(np.corrcoef(order[:-1], order[1:])[0, 1]) < 0.05 and abs(np.corrcoef(order, range(len(rows)))[0, 1]) < 0.05
 
 
+def test_partitions_are_permuted_before_they_are_cut(spark):
+    """Neighbours in a partition go to shards on their own: pieces of the input against shards, chi-square."""
+    got = sharding.into_shards(spark.range(0, 12_000, 1, 3), 6).collect()
+    found = Counter((r["id"] // 300, r["shard"]) for r in got)
+    mean = 300 / 6
+    assert sum((found[p, s] - mean) ** 2 / mean for p in range(40) for s in range(6)) < 275  # 195 degrees of freedom
+    shards = {r["id"]: r["shard"] for r in got}
+    same = sum(shards[i] == shards[i + 1] for i in range(11_999)) / 11_999
+    assert abs(same - 1 / 6) < 0.02
+
+
 def test_few_and_no_rows_in_shards(spark):
     few = sharding.into_shards(spark.range(3), 24).collect()
     assert sorted((r["shard"], r["slot"]) for r in few) == [(0, 0), (1, 0), (2, 0)]
