@@ -30,11 +30,11 @@ def member_bitmaps(keys: DataFrame, key: str) -> DataFrame:
 def possible_members(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` may occur in ``keys``: all that do and, of a large table, few others.
 
-    A table that Spark estimates below FILTER_FROM is returned as it is, less null keys: the filter takes a job of its own before the
-    scan, which is more than such a table costs. Otherwise: one bit per key in a filter of 4 MB, which Spark computes first and evaluates in the scan's stage, so rows that match nothing
-    are neither aggregated nor shuffled. Some 3 % of the others pass with a million keys, a quarter with ten million; far beyond
-    that the filter lets most pass and costs a hash per row, and facts bucketed by ``key`` are the way to avoid the
-    shuffle. A null key is no member. A join still has to decide.
+    A table that Spark estimates below FILTER_FROM is returned as it is, less null keys: the filter takes a job of its own before
+    the scan, which is more than such a table costs. Otherwise there is one bit per key in a filter of 4 MB, which Spark computes first and
+    evaluates in the scan's stage, so that rows which match nothing are neither aggregated nor shuffled. Some 3 % of the others pass
+    with a million keys, a quarter with ten million; far beyond that the filter lets most pass and costs a hash per row, and
+    facts bucketed by ``key`` are the way to avoid the shuffle. A null key is no member. A join still has to decide.
     """
     if estimated_bytes(df) < FILTER_FROM:
         return df.filter(F.col(key).isNotNull())
