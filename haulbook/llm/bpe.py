@@ -40,6 +40,7 @@ LONG_WORD = 512
 WORDS_AT_ONCE = 10_000
 LONGEST_CUT = 4096
 SLICE = 2_000_000  # bytes of text worked on together, so that common words are encoded once
+SLICE_OF_DIGESTS = 8_000_000  # the same where ids are digested at once and only digests are kept
 CHUNK = 4 << 20  # characters of one text cut by the pattern at a time
 DUCKDB_MEMORY = "200MB"
 SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -392,4 +393,4 @@ def token_digests(df: DataFrame, path: str | None = None, id_column: str = "doc_
 
         return apply
 
-    return add_columns(rows, "text", fields, work, limit=SLICE, arrow=True, keep_text=False)
+    return add_columns(rows, "text", fields, work, limit=SLICE_OF_DIGESTS, arrow=True, keep_text=False)
