@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from haulbook.functions import contains_value, matches_any
 from haulbook.operators.filters import not_blank, without_listed
-from haulbook.operators.joins import exists_flag
-from haulbook.operators.latest import latest_per_key
+from haulbook.operators.joins import exists_flag, fresh
+from haulbook.operators.latest import latest_wide_rows, row_mark
 from haulbook.operators.lists import array_list_columns
 from haulbook.operators.routes import active_route_drivers, route_drivers
 from haulbook.operators.scorecard import DRIVER, scorecard, scorecard_columns
@@ -122,17 +122,19 @@ def driver_facts(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) ->
 def drivers_model(tables: Mapping[str, DataFrame], as_of=None, days: int = 30) -> DataFrame:
     """121 columns, one row per driver, ordered by ``pk``.
 
-    Picking the latest row needs driver columns only, so it is done before the joins, on the columns as they are stored. All facts are
-    brought together on driver ids first; the wide rows then pass one join, on the partitioning the
-    pick left behind. Columns are formatted last, above the final order: once per row of the result, in a stage that the
+    Picking the latest row needs driver columns only, as they are stored, and ranks rows of three columns. All facts are
+    brought together on driver ids first and join that pick; the wide rows then pass one join, which keeps those that were
+    picked. Columns are formatted last, above the final order: once per row of the result, in a stage that the
     sampling for that order does not run. Recent activity would contribute no column, and the pick would undo its
     repeats, so it is not read.
     """
-    admitted = admitted_drivers(tables["drivers"], tables["email_exclusions"])
-    needed = dict.fromkeys([*KEPT, *(out.source for out in LAYOUT)])
-    admitted = admitted.select(*[c for c in needed if c in admitted.columns])
-    picked = latest_per_key(admitted, DRIVER, "last_request_viewed")
-    wide = picked.join(driver_facts(tables, as_of, days), DRIVER, "left").withColumns(
+    drivers = tables["drivers"]
+    needed = [c for c in dict.fromkeys([*KEPT, *(out.source for out in LAYOUT)]) if c in drivers.columns]
+    mark = fresh("mark", drivers)
+    marked = drivers.select(*needed, row_mark(needed).alias(mark))
+    admitted = admitted_drivers(marked, tables["email_exclusions"])
+    picked = latest_wide_rows(admitted, DRIVER, "last_request_viewed", mark, driver_facts(tables, as_of, days))
+    wide = picked.withColumns(
         {
             "certification": ppe_certification(F.col("driver_tags"), F.col("has_ppe")),
             "contact_record_type": F.lit("Driver"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from haulbook.operators import filters, scorecard
 from haulbook.operators.activity import active_drivers, active_entities
-from haulbook.operators.latest import latest_per_key
+from haulbook.operators.latest import latest_per_key, latest_wide_rows, row_mark
 from haulbook.operators.lists import array_list_columns, listagg_distinct, tag_rows
 from haulbook.operators.routes import active_route_drivers, route_drivers, route_history
 
@@ -206,3 +206,20 @@ def test_null_in_the_exclusion_list_excludes_nothing(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "e string")
     listed = spark.createDataFrame([("a",), (None,)], "e string")
     assert [r.e for r in filters.without_listed(df, listed, "e").collect()] == ["b"]
+
+
+def test_latest_wide_rows_are_those_of_latest_per_key(spark, rows):
+    """Null keys and dates, ties, rows that come twice, a null where another row has its value, keys without facts."""
+    data = [
+        ("a", 1, "p", None), ("a", 1, "q", None), ("a", 1, "q", None), ("a", 0, "z", "z"), ("a", None, "y", "y"),
+        ("b", None, None, "r"), ("b", None, "r", None), ("b", None, "r", None), (None, 3, "s", "t"), (None, 3, "s", "t"),
+        (None, 2, "u", "u"), ("", 3, "s", "t"), (None, None, None, None), ("c", 5, None, None), ("c", 5, None, None),
+    ]
+    df = spark.createDataFrame(data, "k string, t int, v string, w string")
+    facts = spark.createDataFrame([("a", 10), ("c", None), ("", 30), ("d", 40)], "k string, n int")
+    marked = df.withColumn("mark", row_mark(df.columns))
+    want = rows(latest_per_key(df, "k", "t").join(facts, "k", "left").select("k", "t", "v", "w", "n"))
+    assert len(want) == 5
+    for parts in (1, 7):
+        got = latest_wide_rows(marked.repartition(parts), "k", "t", "mark", facts)
+        assert got.columns == ["k", "t", "v", "w", "n"] and rows(got) == want

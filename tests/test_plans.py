@@ -56,6 +56,20 @@ def test_wide_driver_rows_move_seldom(spark, small, shuffled_joins):
     assert "email_address" in moves[2]
 
 
+def test_wide_driver_rows_are_not_sorted_where_they_are_read(spark, small):
+    """The exclusions are broadcast, drivers are not: from their scan to their exchange a task holds no wide rows back."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        text = plan(QUERIES["drivers_model"](spark, small))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    branch = text[: text.index("FileScan")]
+    reading = branch[branch.rindex(" Exchange ") :]
+    assert "driver_tags" in reading and "BroadcastHashJoin" in reading and "SortMergeJoin" not in reading
+    for operator in ("Sort", "WindowGroupLimit", "Aggregate"):
+        assert operator not in reading
+
+
 def exchanges(text: str) -> list[str]:
     return [line for line in text.splitlines() if " Exchange " in line]
 
