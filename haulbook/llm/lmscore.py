@@ -9,10 +9,11 @@ advantage over one that is like it. Counts are of whole texts of all rows. The d
 Texts are numbered in batches of about ``BATCH_TOKENS`` tokens. A batch sums its bigrams, first words and second words before
 they are shuffled, and sends each once, by ranges of a 56-bit hash; a range sums what it gets and answers each
 sender with the sums of what it sent. A frequent bigram is thus at most one entry per batch, and a range has about ``RANGE_TOKENS``
-entries at most whatever the corpus is. With more than ``FAN`` batches or ranges the sums travel in hops: a batch sends to ``FAN`` wide
-ranges, a wide range joins what ``FAN`` batches sent and sends it on to ``FAN`` narrower ones, until a range has everything;
-answers return the same way. So the number of messages per token and hop is the same for any corpus, and no group has more than some
-``FAN`` messages. Nothing is left out: all words and all bigrams count.
+entries at most whatever the corpus is. With more than ``FAN`` batches or ranges the sums travel in hops, and the fan is the smallest
+that gets there in so many: a batch sends to some fan of wide ranges, a wide range joins what a team of that many batches sent and sends
+it on to as many narrower ones, until a range has everything; answers return the same way. So a batch sends at most some ``FAN``
+messages in a hop for any corpus, no group has many more, and as a team has about as many batches as there are wide ranges (more only if
+batches are small), a group holds about as many entries as a batch in every hop. Nothing is left out: all words and all bigrams count.
 
 A text's score is its mean loss per token under the background model less that under the target
 model; positive is like the target. A null or empty text, or one without words, has no tokens and
@@ -43,7 +44,7 @@ AT_ONCE = 1 << 19
 BATCH_TOKENS = 1 << 21
 RANGE_TOKENS = 1 << 21
 TOKENS_AT_ONCE = 1 << 18
-FAN = 256  # messages that a batch sends, and that a range gets, in one hop
+FAN = 1 << 13  # messages that a batch sends, and that a range gets, in one hop at most: some 256 tokens each or more
 KEY = (1 << 64) - (1 << 8)  # bits of a hash that make a key: 56, which are shorter to send
 START, OTHER = 1, 2  # in place of a word's hash
 PAIR, BEGIN, END = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
@@ -210,6 +211,14 @@ def _hops(number: int) -> int:
     return out
 
 
+def _fan(number: int, hops: int) -> int:
+    """The smallest fan that reaches ``number`` in so many hops: a larger one gives large teams few wide ranges."""
+    out = 1
+    while out**hops < number:
+        out += 1
+    return out
+
+
 def _place(range_: int, team: int) -> int:
     """The name of a receiver: its range of hashes and the team of senders that it serves."""
     return range_ << 31 | team
@@ -254,14 +263,15 @@ def _answers(table: pa.Table, sizes: list[int], at: np.ndarray, sums: list[np.nd
 def _sent(texts: DataFrame, marks: DataFrame, ranges: int, batches: int) -> list[DataFrame]:
     """The messages of every hop (MESSAGE), the first from the batches."""
     hops = _hops(max(ranges, batches))
-    team = lambda number, hop: number // FAN**hop if hop < hops else 0  # noqa: E731  at last all senders are one team
+    fan = _fan(max(ranges, batches), hops)
+    team = lambda number, hop: number // fan**hop if hop < hops else 0  # noqa: E731  at last all senders are one team
 
     def send(table: pa.Table, marked: pa.Table) -> pa.Table:
         give_back()
         batch, name = Batch(table), table.column("batch")[0].as_py()
-        target, every = batch.counts(marked.column("place").to_numpy()), batch.counts(batch.places)
+        target, every = batch.counts(marked.column("mark").to_numpy()), batch.counts(batch.places)
         number = int(_mix(np.array([name], np.int64).view(np.uint64))[0] % np.uint64(batches))
-        return _messages(name, team(number, 1), batch.keys, target, every, ranges, FAN ** (hops - 1))
+        return _messages(name, team(number, 1), batch.keys, target, every, ranges, fan ** (hops - 1))
 
     def forward(hop: int):
         def run(table: pa.Table) -> pa.Table:
@@ -269,14 +279,14 @@ def _sent(texts: DataFrame, marks: DataFrame, ranges: int, batches: int) -> list
             at = table.column("at")[0].as_py()
             table, sizes, keys, index = _joined(table)
             target, every = (_sums(table, sizes, index, c) for c in ("target", "every"))
-            number = (at & (1 << 31) - 1) * FAN**hop  # of the team's first batch
-            return _messages(at, team(number, hop + 1), keys, target, every, ranges, FAN ** (hops - hop - 1))
+            number = (at & (1 << 31) - 1) * fan**hop  # of the team's first batch
+            return _messages(at, team(number, hop + 1), keys, target, every, ranges, fan ** (hops - hop - 1))
 
         return run
 
-    out = [texts.groupBy("batch").cogroup(marks.groupBy("of")).applyInArrow(send, MESSAGE)]
-    for hop in range(1, hops):
-        out[-1] = written(out[-1], "messages")
+    marked = marks.select("of", F.col("place").alias("mark"))  # a column of its own, also if the marks come from ``texts``
+    out = [texts.groupBy("batch").cogroup(marked.groupBy("of")).applyInArrow(send, MESSAGE)]
+    for hop in range(1, hops):  # not written: the way back reads the same exchange again, and pages of wide rows take JVM memory
         out.append(out[-1].groupBy("at").applyInArrow(forward(hop), MESSAGE))
     return out
 

@@ -335,6 +335,25 @@ def test_messages_per_token_do_not_grow_with_the_corpus(shipped, monkeypatch):
     assert max(rates) <= 0.06 and max(rates[3:]) < 1.5 * max(rates[:3])
 
 
+def test_no_receiver_gets_many_batches_just_above_the_fan(shipped, monkeypatch):
+    """80 batches with a fan of 64 take two hops, but neither teams of 64 batches nor two ranges."""
+    for name, value in {"BATCH_TOKENS": 200, "RANGE_TOKENS": 200, "FAN": 64}.items():
+        monkeypatch.setattr(lmscore, name, value)
+    rng = np.random.default_rng(10)
+    docs = documents(shipped, [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 200)) for _ in range(80)]).repartition(2)
+    texts = written(lmscore._batches(docs.select(F.col("doc_id").alias("doc"), "text"), None), "tokens")
+    marks = texts.filter("place >= 0").select(F.col("batch").alias("of"), "place")
+    sent = lmscore._sent(texts, marks, 80, 80)
+    assert len(sent) == 2
+    for messages in sent:
+        loads = [r.entries for r in messages.groupBy("at").agg(F.sum("n").alias("entries")).collect()]
+        assert max(loads) <= 4 * 604 and 80 * 590 <= sum(loads) <= 80 * 604  # 200 bigrams, 202 first and 202 second words a batch
+    answers = lmscore._answered(sent)
+    assert sum(r.n for r in answers.collect()) == sum(r.n for r in sent[0].collect())  # a batch gets an answer for all that it sent
+    plan = answers._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count(" send(") == 1 and "ReusedExchange" in plan  # what is read on the way back is not made again
+
+
 @pytest.mark.parametrize("fan", [2, 256])
 def test_lm_score_knows_every_word_of_a_large_vocabulary(shipped, monkeypatch, fan):
     monkeypatch.setattr(lmscore, "BATCH_TOKENS", 4000)
